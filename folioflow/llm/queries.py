@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import op2_decontamination
 from .quality_rules import op1_quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_decontamination": op2_decontamination,
 }
 
 #: DuckDB SQL by query name.
