@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op2_decontamination
 from .quality_rules import op1_quality_rules
+from .simhash import op7_simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
+    "op7_simhash": op7_simhash,
 }
 
 #: DuckDB SQL by query name.
