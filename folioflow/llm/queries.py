@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op2_decontamination
+from .mixing import op4_mixing
 from .quality_rules import op1_quality_rules
 from .simhash import op7_simhash
 
@@ -15,6 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
+    "op4_mixing": op4_mixing,
     "op7_simhash": op7_simhash,
 }
 
