@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontamination import op2_decontamination
 from .mixing import op4_mixing
 from .quality_rules import op1_quality_rules
+from .sharding import op9_sharding
 from .simhash import op7_simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_mixing": op4_mixing,
     "op7_simhash": op7_simhash,
+    "op9_sharding": op9_sharding,
 }
 
 #: DuckDB SQL by query name.
