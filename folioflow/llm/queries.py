@@ -11,6 +11,7 @@ from .mixing import op4_mixing
 from .quality_rules import op1_quality_rules
 from .sharding import op9_sharding
 from .simhash import op7_simhash
+from .token_ids import op10_token_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "op4_mixing": op4_mixing,
     "op7_simhash": op7_simhash,
     "op9_sharding": op9_sharding,
+    "op10_token_ids": op10_token_ids,
 }
 
 #: DuckDB SQL by query name.
