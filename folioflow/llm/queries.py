@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op2_decontamination
+from .language_id import op8_language_id
 from .mixing import op4_mixing
 from .quality_rules import op1_quality_rules
 from .sharding import op9_sharding
@@ -20,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_mixing": op4_mixing,
     "op7_simhash": op7_simhash,
+    "op8_language_id": op8_language_id,
     "op9_sharding": op9_sharding,
     "op10_token_ids": op10_token_ids,
 }
