@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op2_decontamination
 from .language_id import op8_language_id
+from .lm_scoring import op6_lm_scoring
 from .mixing import op4_mixing
 from .quality_rules import op1_quality_rules
 from .sharding import op9_sharding
@@ -20,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op4_mixing": op4_mixing,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_simhash": op7_simhash,
     "op8_language_id": op8_language_id,
     "op9_sharding": op9_sharding,
