@@ -10,6 +10,7 @@ from .decontamination import op2_decontamination
 from .language_id import op8_language_id
 from .lm_scoring import op6_lm_scoring
 from .mixing import op4_mixing
+from .pii import op3_pii
 from .quality_rules import op1_quality_rules
 from .sharding import op9_sharding
 from .simhash import op7_simhash
@@ -20,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
+    "op3_pii": op3_pii,
     "op4_mixing": op4_mixing,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_simhash": op7_simhash,
