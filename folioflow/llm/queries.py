@@ -15,6 +15,7 @@ from .quality_rules import op1_quality_rules
 from .sharding import op9_sharding
 from .simhash import op7_simhash
 from .token_ids import op10_token_ids
+from .url_filter import OP5_SQL, op5_url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_pii": op3_pii,
     "op4_mixing": op4_mixing,
+    "op5_url_filter": op5_url_filter,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_simhash": op7_simhash,
     "op8_language_id": op8_language_id,
@@ -31,4 +33,6 @@ QUERIES: dict[str, Query] = {
 }
 
 #: DuckDB SQL by query name.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_url_filter": OP5_SQL,
+}

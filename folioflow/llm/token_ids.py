@@ -21,6 +21,7 @@ doc_id stand in the order of a hash of their ids; repeated rows stay repeated; a
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import Workspace, table
+from ._common import LOWER_AZ, Workspace, table
 
 END_ID = 1
 SCALE = 20
@@ -39,14 +40,18 @@ CHECKPOINT = 256
 CHUNK_IDS = 1 << 20
 CACHE_WORDS = 600_000
 _LOW = np.uint64(1 << 31)
-_SPACE = b" "
+#: One mark between a letter and white space (or the end).
+_MARK = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[\x20\x09-\x0d]|\Z)")
 
 
 class WordCache:
     """Ids of the pieces of a text between ASCII white space.
 
-    The tokenizer drops white space before it merges, so such a piece has the same ids wherever it stands.  New
-    pieces are encoded together and told apart by their offsets; the cache is emptied when it is full.
+    The tokenizer drops white space before it merges, so such a piece has the same ids wherever it stands.  It also
+    lower-cases, and parts letters from what follows them, so A-Z may be lowered before (special tokens' strings apart,
+    which it takes as they are) and one mark that ends a word may be parted from it.  New pieces are encoded together;
+    those of ASCII letters alone end with the one id that ends a word, others are told apart by their offsets.  The cache
+    is emptied when it is full.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
@@ -55,32 +60,58 @@ class WordCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
         self.limit = limit
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: ids that end a word
+        self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        ids = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
+        self.lowers = ids("Ab, aB.") == ids("ab , ab .")
         self.ids: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
+        plain = [w for w in words if w.isalpha()]  # of bytes: ASCII letters only
+        for at in range(0, len(plain), 8192):
+            part = plain[at : at + 8192]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, self.kind)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part):
+                self._keep(part, ids, cuts.tolist())
+            else:  # a tokenizer whose words do not end like that
+                self._by_offsets(part)
+        self._by_offsets([w for w in words if not w.isalpha()])
+
+    def _by_offsets(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 8192):
             part = words[at : at + 8192]
             texts = [w.decode("utf-8", "replace") for w in part]
             ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
             got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            ids = np.array(got.ids, self.kind)
-            begins = np.fromiter((a for a, _ in got.offsets), np.int64, len(ids))
-            cuts = np.searchsorted(begins, ends).tolist()
-            size, raw, low = self.kind.itemsize, ids.tobytes(), 0
-            for word, high in zip(part, cuts, strict=True):
-                self.ids[word] = raw[low * size : high * size]
-                low = high
+            begins = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.offsets))
+            self._keep(part, np.array(got.ids, self.kind), np.searchsorted(begins, ends).tolist())
+
+    def _keep(self, words: list[bytes], ids: np.ndarray, cuts: list[int]) -> None:
+        size, raw, low = self.kind.itemsize, ids.tobytes(), 0
+        for word, high in zip(words, cuts, strict=True):
+            self.ids[word] = raw[low * size : high * size]
+            low = high
+
+    def pieces(self, text: str | None) -> list[bytes]:
+        if not text:
+            return []
+        raw = text.encode("utf-8", "surrogatepass")
+        if self.lowers and b"<" not in raw:
+            raw = _MARK.sub(rb" \1", raw.translate(LOWER_AZ))
+        return raw.split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian bytes, the end id included."""
         end = np.array([END_ID], self.kind).tobytes()
-        split = [t.encode("utf-8", "surrogatepass").split() if t else [] for t in texts]
         out = []
-        for at in range(0, len(split), 256):
-            part = split[at : at + 256]
+        for at in range(0, len(texts), 256):
+            part = [self.pieces(t) for t in texts[at : at + 256]]
             if len(self.ids) > self.limit:
                 self.ids.clear()
-            new = {w for words in part for w in words if w not in self.ids}
+            new = set().union(*part).difference(self.ids)
             if new:
                 self.learn(sorted(new))
             out += [b"".join([*map(self.ids.__getitem__, words), end]) for words in part]
