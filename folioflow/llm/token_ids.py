@@ -121,13 +121,19 @@ class WordCache:
 _CACHES: dict[str, WordCache] = {}
 
 
+def cache_of(path: str) -> WordCache:
+    """The worker's own cache.  Of the module, so that it lives on from task to task: what a shipped function
+    names is copied with it."""
+    if path not in _CACHES:
+        _CACHES[path] = WordCache(path)
+    return _CACHES[path]
+
+
 def tokenise(docs: DataFrame, path: str, work: Workspace) -> DataFrame:
     """doc_id, ids (binary), written to the work folder."""
 
     def ids(texts):
-        if path not in _CACHES:  # a worker keeps its cache from task to task
-            _CACHES[path] = WordCache(path)
-        return pa.array(_CACHES[path].encode(texts.to_pylist()), pa.binary())
+        return pa.array(cache_of(path).encode(texts.to_pylist()), pa.binary())
 
     return work.save(docs.select("doc_id", F.arrow_udf(ids, "binary")(F.col("text")).alias("ids")), "ids")
 
