@@ -138,10 +138,13 @@ def version_cycles(spark, d):
     return integrity.on_cycles(docs.select(F.col("doc_id").alias("node"), F.when(F.col("doc_id") % 10 != 0, (F.col("doc_id") * 7 + 3) % n).alias("next")))
 
 
-@query()
+@query("""
+SELECT event_id AS line_no, CASE event_id % 50 WHEN 0 THEN 'blank' WHEN 1 THEN 'not_json' WHEN 2 THEN 'not_json' ELSE 'not_canonical' END AS problem FROM events WHERE event_id % 50 < 4""")
 def strict_json_lines(spark, d):
-    """Lines that are not strict canonical JSON."""
-    lines = read(spark, d, "events").select(F.col("event_id").alias("line_no"), F.col("props").alias("value"))
+    """Lines that are not strict canonical JSON; of every fifty, four are made so."""
+    k = F.col("event_id") % 50
+    value = F.when(k == 0, " ").when(k == 1, '{"a": 1,"a": 2}').when(k == 2, '{"a": NaN}').when(k == 3, '{"b": 1,"a": 2}').otherwise(F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), F.lit("}")))
+    lines = read(spark, d, "events").select(F.col("event_id").alias("line_no"), value.alias("value"))
     return integrity.strict_lines(lines, i.canonical_json(F.col("value")))
 
 
