@@ -13,8 +13,8 @@ more copy of the one document whose size comes nearest.  The point is found by p
 one bucket that holds it, so no source is ever sorted as a whole.
 
 Defined results: null text has size 0; documents of size 0 take part with taken 0 and get one copy in
-:func:`mixed_corpus`; a null source is a source of its own, after all others; repeated rows share a priority and are
-interchangeable; an empty table gives an empty result; sources
+:func:`mixed_corpus`; a null source is a source of its own, after all others; repeated rows (equal id, text and source)
+are taken together, equally often; an empty table gives an empty result; sources
 without words have target 0; other columns are only carried along.
 """
 
@@ -104,7 +104,7 @@ def _few(state: DataFrame, limit: int = 50_000) -> bool:
 
 
 def copies(sizes: DataFrame, work: Workspace, weights=WEIGHTS, cap: float = CAP, tilt: float = TILT) -> DataFrame:
-    """``sizes`` (row, key, source, size and others) with source_size, target, rate and copies."""
+    """``sizes`` (doc_id, key, source, size and others) with source_size, target, rate and copies."""
     solved = work.save(solve_rates(sizes, targets(sizes, weights, cap), work, cap, tilt).coalesce(1), "solved")
     d = sizes.withColumn("u", (F.pmod(F.col("key"), F.lit(1 << 40)) + 1) / F.lit(float(1 << 40))).alias("d")
     s = _side(solved).alias("s")
@@ -124,7 +124,7 @@ def copies(sizes: DataFrame, work: Workspace, weights=WEIGHTS, cap: float = CAP,
     last = _side(plan.groupBy("of").agg(F.max(F.when(F.col("all"), F.col("at"))).alias("last"), F.max(F.when(~F.col("all"), F.struct("at", "room"))).alias("edge")))
     out = rated.join(last, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     at_edge = F.coalesce(F.col("bucket") == F.col("edge.at"), F.lit(False))
-    inner = Window.partitionBy("source").orderBy("priority", "key", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = Window.partitionBy("source").orderBy("priority", "key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     edge = out.where(at_edge).withColumn("extra", (F.sum("size").over(inner) <= F.col("edge.room")).cast("long"))
     rest = out.where(~at_edge).withColumn("extra", F.coalesce(F.col("bucket") <= F.col("last"), F.lit(False)).cast("long"))
     out = work.save(rest.unionByName(edge).drop("last", "edge"), "picked")
@@ -132,10 +132,10 @@ def copies(sizes: DataFrame, work: Workspace, weights=WEIGHTS, cap: float = CAP,
     lack = _side(out.groupBy("source").agg((F.max("target") - F.sum((F.col("base") + F.col("extra")) * F.col("size"))).alias("lack")).select(F.col("source").alias("of"), "lack"))
     miss = F.abs(F.col("size") - F.col("lack"))
     fits = out.where(F.col("base") + F.col("extra") + 1 <= cap).join(lack, F.col("source").eqNullSafe(F.col("of"))).where((F.col("size") > 0) & (miss < F.col("lack")))
-    top = fits.groupBy("source").agg(F.min(F.struct(miss.alias("miss"), "key", "row")).alias("top")).select(F.col("top.row").alias("one"))
-    out = out.join(_side(top), F.col("row") == F.col("one"), "left")
-    more = F.col("extra") + F.col("one").isNotNull().cast("long")
-    return out.withColumn("copies", F.col("base") + more).drop("u", "base", "priority", "bucket", "extra", "one")
+    top = fits.groupBy("source").agg(F.min(F.struct(miss.alias("miss"), "key", "doc_id")).alias("top"))
+    top = _side(top.select(F.col("source").alias("of"), F.col("top.key").alias("top_key"), F.col("top.doc_id").alias("top_doc"), F.lit(1).alias("one_more")))
+    out = out.join(top, F.col("source").eqNullSafe(F.col("of")) & (F.col("key") == F.col("top_key")) & F.col("doc_id").eqNullSafe(F.col("top_doc")), "left")
+    return out.withColumn("copies", F.col("base") + F.col("extra") + F.coalesce("one_more", F.lit(0))).drop("u", "base", "priority", "bucket", "extra", "of", "top_key", "top_doc", "one_more")
 
 
 def _side(frame: DataFrame) -> DataFrame:
@@ -148,24 +148,32 @@ def _keyed(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), "doc_id", "text")
 
 
+def _units(docs: DataFrame, seed: int) -> DataFrame:
+    """One row for each document; repeated rows (equal id, text and source) are one unit of ``n`` rows and taken together."""
+    rows = docs.select("doc_id", "source", _keyed(seed).alias("key"), word_count(F.col("text")).alias("one"))
+    return rows.groupBy("doc_id", "source", "key", "one").agg(F.count("*").alias("n")).withColumn("size", F.col("one") * F.col("n"))
+
+
 def mix(docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
     """doc_id, size, source_size, target, taken, rate, copies for every row of ``docs``."""
     work = Workspace(docs.sparkSession, "mix")
-    sizes = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", _keyed(seed).alias("key"), word_count(F.col("text")).alias("size"))
-    out = copies(work.save(sizes, "sizes"), work, **how)
-    return out.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (F.col("copies") * F.col("size")).alias("taken"), "rate", "copies")
+    out = copies(work.save(_units(docs, seed), "sizes"), work, **how)
+    each = out.withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    return each.select("doc_id", F.col("one").alias("size"), "source_size", F.col("target").cast("double").alias("target"), (F.col("copies") * F.col("one")).alias("taken"), "rate", "copies")
 
 
 def mixed_corpus(docs: DataFrame, seed: int = SEED, **how) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it is taken, with the columns of ``docs``."""
-    size, row, key, of, n, each = fresh(docs, "size", "row", "key", "of", "copies", "each")
+    """The mix itself: each row of ``docs`` as often as it is taken, with the columns of ``docs``.
+
+    Rows meet their numbers of copies by id, text hash and source, so no copy of the texts is written on the way."""
+    key, n, each = fresh(docs, "key", "copies", "each")
     work = Workspace(docs.sparkSession, "mix")
-    # row numbers are kept with the rows, so that repeated ids are told apart
-    held = work.save(docs.withColumns({row: F.monotonically_increasing_id(), key: _keyed(seed), size: word_count(F.col("text"))}), "docs", codec="snappy")
-    sizes = held.select(F.col(row).alias("row"), F.col("source").alias("source"), F.col(key).alias("key"), F.col(size).alias("size"))
-    counted = copies(sizes, work, **how).select(F.col("row").alias(of), F.col("copies").alias(n)).where(F.col(n) > 0)
-    joined = held.join(counted, F.col(row) == F.col(of))
-    return joined.withColumn(each, F.explode(F.array_repeat(F.lit(0), F.col(n).cast("int")))).select(*docs.columns)
+    counted = work.save(copies(work.save(_units(docs, seed), "sizes"), work, **how).where("copies > 0").select("doc_id", "source", "key", F.col("copies").cast("int").alias("n")), "copies")
+    c = counted.alias("c")
+    d = docs.withColumn(key, _keyed(seed)).alias("d")
+    same = (F.col(f"d.{key}") == F.col("c.key")) & F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.source").eqNullSafe(F.col("c.source"))
+    joined = d.join(c, same).select("d.*", F.col("c.n").alias(n))
+    return joined.withColumn(each, F.explode(F.array_repeat(F.lit(0), F.col(n)))).select(*docs.columns)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

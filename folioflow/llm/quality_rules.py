@@ -266,14 +266,17 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
 def quality_filter(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that the base rule and the learned list keep, with the columns of ``docs``.
 
-    The statistics are written next to the rows once, so that learning and filtering read the same table.
+    The list is learned from a slim table of statistics; filtering computes them again, which costs a second pass over
+    the texts and saves a written copy of them.
     """
-    (stats,) = fresh(docs, "stats")
+    stats, kept = fresh(docs, "stats", "kept")
     work = Workspace(docs.sparkSession, "quality")
-    held = work.save(with_text_stats(docs, "text", stats), "docs", codec="snappy")
-    rules = learn_from(held, "doc_id", stats, labels, **how)
+    slim = work.save(with_text_stats(docs.select("doc_id", "text"), "text", "s").select("doc_id", "s"), "stats")
+    rules = learn_from(slim, "doc_id", "s", labels, **how)
     keep = ~base_failed(stats) & rules.reason(feature_columns(stats)).isNull()
-    return held.where(keep).select(*docs.columns)
+    # the row number keeps the filter above the statistics: pushed below, each use would compute them anew
+    verdict = keep & (F.monotonically_increasing_id() >= 0)
+    return with_text_stats(docs, "text", stats).withColumn(kept, verdict).where(kept).select(*docs.columns)
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
