@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .decontamination import op2_decontamination
+from .decontamination import OP2_SQL, op2_decontamination
 from .language_id import op8_language_id
 from .lm_scoring import op6_lm_scoring
 from .mixing import op4_mixing
@@ -34,5 +34,6 @@ QUERIES: dict[str, Query] = {
 
 #: DuckDB SQL by query name.
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": OP2_SQL,
     "op5_url_filter": OP5_SQL,
 }
