@@ -38,10 +38,10 @@ LANES = 64
 BLOCK = 1 << 16
 CHECKPOINT = 256
 CHUNK_IDS = 1 << 20
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_500_000
 _LOW = np.uint64(1 << 31)
-#: One mark between a letter and white space (or the end).
-_MARK = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[\x20\x09-\x0d]|\Z)")
+#: Marks (no apostrophe) between an ASCII letter and white space or the end.
+_MARK = re.compile(rb"(?<=[a-z])([!-&(-/:-@\[-`{-~]+)(?=[\x20\x09-\x0d]|\Z)")
 
 
 class WordCache:
@@ -49,8 +49,8 @@ class WordCache:
 
     The tokenizer drops white space before it merges, so such a piece has the same ids wherever it stands.  It also
     lower-cases, and parts letters from what follows them, so A-Z may be lowered before (special tokens' strings apart,
-    which it takes as they are) and one mark that ends a word may be parted from it.  New pieces are encoded together;
-    those of ASCII letters alone end with the one id that ends a word, others are told apart by their offsets.  The cache
+    which it takes as they are) and the marks that end a word may be parted from it.  New pieces are encoded together;
+    those of letters alone end with the one id that ends a word, others are told apart by their offsets.  The cache
     is emptied when it is full.
     """
 
@@ -69,16 +69,17 @@ class WordCache:
         self.ids: dict[bytes, bytes] = {}
 
     def learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if w.isalpha()]  # of bytes: ASCII letters only
+        letters = {w: w.decode("utf-8", "replace").isalpha() for w in words}
+        plain = [w for w, only in letters.items() if only]
         for at in range(0, len(plain), 8192):
             part = plain[at : at + 8192]
             ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, self.kind)
             cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part):
+            if len(cuts) == len(part):  # each has one end at least, so each has exactly one
                 self._keep(part, ids, cuts.tolist())
             else:  # a tokenizer whose words do not end like that
                 self._by_offsets(part)
-        self._by_offsets([w for w in words if not w.isalpha()])
+        self._by_offsets([w for w, only in letters.items() if not only])
 
     def _by_offsets(self, words: list[bytes]) -> None:
         for at in range(0, len(words), 8192):
@@ -99,7 +100,7 @@ class WordCache:
         if not text:
             return []
         raw = text.encode("utf-8", "surrogatepass")
-        if self.lowers and b"<" not in raw:
+        if self.lowers and b"<|" not in raw:
             raw = _MARK.sub(rb" \1", raw.translate(LOWER_AZ))
         return raw.split()
 
