@@ -145,3 +145,20 @@ def pointer(text: Column) -> Column:
     """Struct (oid, size) of a large-file pointer of exactly three lines, else null."""
     form = r"^version https://git-lfs\.github\.com/spec/v1\noid sha256:([0-9a-f]{64})\nsize (0|[1-9]\d*)\n$"
     return F.when(text.rlike(form), F.struct(F.regexp_extract(text, form, 1).alias("oid"), F.regexp_extract(text, form, 2).try_cast("long").alias("size")))
+
+
+def portable_identity(values: Column) -> Column:
+    """Whether an identity is in NFC and case-folded, without separators, a final dot or space, or a device's name.  An
+    Arrow batch function for the Unicode part; the rest are expressions."""
+    import unicodedata
+
+    def folded(batch):
+        return pa.array([None if v is None else v == unicodedata.normalize("NFC", v).casefold() for v in batch.to_pylist()], pa.bool_())
+
+    return F.coalesce(F.arrow_udf(folded, "boolean")(values) & portable_component(values), F.lit(False))
+
+
+def same_provenance(source: Column, document: Column) -> Column:
+    """Whether a source and a document name the same handle and version (``kind-number[.version]``)."""
+    form = r"-(\d+(?:\.\d+)?)$"
+    return (F.regexp_extract(source, form, 1) == F.regexp_extract(document, form, 1)) & (F.regexp_extract(source, form, 1) != "")
