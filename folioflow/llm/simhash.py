@@ -21,6 +21,7 @@ an empty table gives an empty result; other columns pass through.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ TILE_POINTS = 1024
 #: Points that share a cell, as a part of all points, when bits are even: sum over k of (C(b,k)/2^b)^2, to the power of the parts.
 _SHARE = {1: 0.0995, 2: 0.140**2, 4: 0.1964**4, 8: 0.2728**8, 16: 0.2734**16}
 _HASH_SEED = 42
+MAX_STEPS = 400
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
@@ -69,11 +71,21 @@ def with_fingerprint(docs: DataFrame, out: str, text: str = "text", shingle: int
     return docs.withColumn(out, F.arrow_udf(prints, "long")(F.col(text)))
 
 
-def _blocks(points: int, tile_points: int) -> int:
+def _blocks(points: int, tile_points: int, radius: int) -> int:
+    """The fewest parts that keep a cell near a tile, while a cell has at most ``MAX_STEPS`` neighbours to meet."""
+    best = 1
     for blocks, share in _SHARE.items():
+        if blocks > 1 and _balls(blocks, radius) > 2 * MAX_STEPS:
+            break
+        best = blocks
         if points * share <= tile_points:
-            return blocks
-    return 16
+            break
+    return best
+
+
+def _balls(blocks: int, radius: int) -> int:
+    """How many integer vectors have absolute values of a sum of at most ``radius``."""
+    return sum(math.comb(blocks, k) * math.comb(radius, k) << k for k in range(min(blocks, radius) + 1))
 
 
 def _cells(values: np.ndarray, blocks: int) -> np.ndarray:
@@ -132,7 +144,7 @@ def _compare(a: np.ndarray, b: np.ndarray | None, radius: int, chunk: int = 1 <<
 def near_edges(points: DataFrame, work: Workspace, radius: int = RADIUS, tile_points: int = TILE_POINTS, blocks: int | None = None) -> DataFrame:
     """Links (a, b) that connect exactly the points (column ``fp``, distinct longs) within ``radius`` bits."""
     count = points.count()
-    blocks = blocks or _blocks(count, tile_points)
+    blocks = blocks or _blocks(count, tile_points, radius)
     step = 7 if blocks <= 8 else 3
     steps = [sum(d << (k * step) for k, d in enumerate(x)) for x in _steps(blocks, radius)]
 
@@ -140,9 +152,11 @@ def near_edges(points: DataFrame, work: Workspace, radius: int = RADIUS, tile_po
         return pa.array(_cells(values.to_numpy(zero_copy_only=False).view(np.uint64), blocks))
 
     placed = points.select("fp", F.arrow_udf(cell, "long")("fp").alias("cell"))
-    # tiles: a cell's points, dealt by hash into as many tiles as its size asks for
-    sized = placed.groupBy("cell").agg(F.ceil(F.count("*") / tile_points).alias("tiles"))
-    placed = placed.join(sized, "cell").select("cell", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int").alias("tile"), "fp")
+    # tiles: a cell's points, dealt by hash into as many tiles as its size asks for.  Cells of more than one tile are few,
+    # at most points / tile_points; while they can be broadcast, points are shuffled once, by cell and tile
+    crowded = placed.groupBy("cell").agg(F.ceil(F.count("*") / tile_points).alias("tiles")).where("tiles > 1")
+    crowded = F.broadcast(crowded) if count <= 100_000 * tile_points else crowded
+    placed = placed.join(crowded, "cell", "left").select("cell", F.pmod(F.xxhash64("fp"), F.coalesce("tiles", F.lit(1))).cast("int").alias("tile"), "fp")
     tiles = work.save(placed.groupBy("cell", "tile").agg(F.sort_array(F.collect_list("fp")).alias("fps")), "tiles")
     names = tiles.select("cell", "tile")
     pairs = (
