@@ -34,8 +34,8 @@ from ._common import LOWER_AZ, Workspace, table
 
 END_ID = 1
 SCALE = 20
-LANES = 64
-BLOCK = 1 << 16
+LANES = 256
+BLOCK = 1 << 17
 CHECKPOINT = 256
 CHUNK_IDS = 1 << 20
 CACHE_WORDS = 1_500_000
@@ -149,11 +149,13 @@ def count_ids(ids: DataFrame, width: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                got = np.bincount(np.frombuffer(value.as_buffer(), f"<u{width}"))
-                if len(got) > len(total):
-                    total = np.pad(total, (0, len(got) - len(total)))
-                total[: len(got)] += got
+            column = batch.column(0)
+            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+            # the ids of all rows lie next to each other
+            got = np.bincount(np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].copy().view(f"<u{width}")) if len(column) else total[:0]
+            if len(got) > len(total):
+                total = np.pad(total, (0, len(got) - len(total)))
+            total[: len(got)] += got
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
