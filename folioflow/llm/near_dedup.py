@@ -8,7 +8,9 @@ similar sets have sizes within the factor s, so tiles hold documents of one size
 classes are compared, and rows of a tile pair meet only the columns within the factor.
 
 Each tile pair passes on a minimum spanning forest of its candidates, nearest first: at most an edge for each
-document, never all pairs of a group.  Edges are verified by the exact similarity and become components.
+document, never all pairs of a group.  Edges are verified by the exact similarity and become components.  An edge that
+fails may have stood for true links between the same groups, so groups that failed edges connect are compared
+again: all their pairs of different groups, by the sets themselves, in tiles of at most about ``TILE_HASHES`` shingles.
 
 Texts are told apart by 64-bit XXH64.  The number of compared pairs grows with the square of a size class; exact copies and equal sketches are one point.
 
@@ -34,6 +36,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 SIGMAS = 3.2
 TILE_POINTS = 8192
+TILE_HASHES = 1 << 18
 _WORDS = ("w0", "w1", "w2", "w3")
 
 
@@ -139,7 +142,77 @@ def _tile(array: pa.StructScalar) -> dict:
     return out | {"n": flat.field("n").to_numpy(zero_copy_only=False), "pid": flat.field("pid").to_numpy(zero_copy_only=False)}
 
 
-def near_dedup(docs: DataFrame, shingle: int = SHINGLE_WORDS, similarity: float = SIMILARITY, text: str = "text", doc_id: str = "doc_id", tile_points: int = TILE_POINTS) -> DataFrame:
+def _links(a: pa.ListScalar, b: pa.ListScalar | None, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of exact similarity that join different groups, inside a tile of sets or between two: enough of them to connect
+    what all such pairs connect."""
+    flat = a.values if b is None else pa.concat_arrays([a.values, b.values])
+    lists, pids = flat.field("s"), flat.field("end").to_numpy(zero_copy_only=False)
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    begins = np.cumsum(sizes) - sizes
+    distinct, ids = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+    group = np.unique(flat.field("group").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    second = np.arange(len(pids)) >= len(a.values)
+    order = np.argsort(sizes, kind="stable")
+    by_size, inside, out = sizes[order], np.zeros(len(distinct), bool), []
+    for at, x in enumerate(order.tolist()):
+        cols = order[at + 1 : np.searchsorted(by_size, sizes[x] / similarity + 1e-9, side="right")]
+        keep = (group[cols] != group[x]) & (sizes[cols] > 0)
+        if b is not None:
+            keep &= second[cols] != second[x]
+        cols = cols[keep]
+        if not len(cols):
+            continue
+        own, widths = ids[begins[x] : begins[x] + sizes[x]], sizes[cols]
+        starts = np.cumsum(widths) - widths
+        inside[own] = True
+        common = np.add.reduceat(inside[ids[np.repeat(begins[cols] - starts, widths) + np.arange(widths.sum())]], starts, dtype=np.int64)
+        inside[own] = False
+        hits = cols[common >= similarity * (sizes[x] + widths - common)]
+        for g, k in zip(*np.unique(group[hits], return_index=True), strict=True):
+            out.append((int(pids[x]), int(pids[hits[k]])))
+            group[group == g] = group[x]
+    return out
+
+
+def _lost_links(failed: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float, tile_hashes: int, work: Workspace) -> DataFrame | None:
+    """Links (a, b) between verified groups that failed edges connect; none if no failed edge is left between groups."""
+    of = lambda end, name: roots.select(F.col("node").alias(end), F.col("root").alias(name))
+    groups = failed.join(of("a", "ga"), "a", "left").join(of("b", "gb"), "b", "left").select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b"))
+    groups = work.save(groups.where("a <> b").distinct(), "loose")
+    if groups.isEmpty():
+        return None
+    found = components(groups, work)
+    cluster = work.save(found.union(found.select("root", "root")).distinct().toDF("group", "cluster"), "clusters")
+    named = sets.select("end", F.size("s").cast("long").alias("n")).join(of("end", "root"), "end", "left").select("end", "n", F.coalesce("root", "end").alias("group"))
+    named = work.save(named.join(cluster, "group"), "members")
+    # a group of more than a tile has tiles of its own, which need not be compared with each other; the others of a cluster share tiles
+    large = named.groupBy("cluster", "group").agg((F.sum("n") > tile_hashes).alias("large"))
+    named = named.join(large, ["cluster", "group"]).withColumn("part", F.when(F.col("large"), F.col("group")).otherwise(F.lit(0)))
+    key = ["cluster", "large", "part"]
+    count = named.groupBy(*key).agg(F.ceil(F.sum("n") / tile_hashes).cast("long").alias("count"))
+    placed = work.save(named.join(count, key).select("end", "group", *key, F.pmod(F.xxhash64("end"), F.greatest("count", F.lit(1))).alias("tile")), "placed")
+    tiles = placed.join(sets, "end").groupBy(*key, "tile").agg(F.collect_list(F.struct("end", "group", "s")).alias("points"))
+    tiles = work.save(tiles, "set-tiles")
+    a, b = (tiles.select("cluster", *[F.col(c).alias(f"{c}_{x}") for c in ("large", "part", "tile")]) for x in "ab")
+    order = lambda x: F.struct(f"large_{x}", f"part_{x}", f"tile_{x}")
+    same = F.col("large_a") & F.col("large_b") & (F.col("part_a") == F.col("part_b"))
+    names = work.save(a.join(b, "cluster").where((order("a") <= order("b")) & ~same).withColumn("own", order("a") == order("b")), "set-pairs")
+    sides = [tiles.select("cluster", *[F.col(c).alias(f"{c}_{x}") for c in ("large", "part", "tile")], F.col("points").alias(x)) for x in "ab"]
+    dealt = names.join(sides[0], ["cluster", "large_a", "part_a", "tile_a"]).join(sides[1], ["cluster", "large_b", "part_b", "tile_b"]).select("own", "a", "b")
+
+    def compare(batches):
+        for batch in batches:
+            found = []
+            for own, x, y in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                found += _links(x, None if own else y, similarity)
+            if found:
+                both = np.array(found, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+    return work.save(dealt.mapInArrow(compare, "a long, b long").distinct(), "lost")
+
+
+def near_dedup(docs: DataFrame, shingle: int = SHINGLE_WORDS, similarity: float = SIMILARITY, text: str = "text", doc_id: str = "doc_id", tile_points: int = TILE_POINTS, tile_hashes: int = TILE_HASHES) -> DataFrame:
     """One row of each group of near copies, with the columns of ``docs``."""
     work = Workspace(docs.sparkSession, "near-dedup")
     # a row is known by its id and hashes of its text; row numbers would not survive a second scan
@@ -192,14 +265,20 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE_WORDS, similarity: float
     sets = work.save(sets.groupBy("end").agg(F.first("s").alias("s")), "sets")
     both = edges.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    true = both.where(common >= F.lit(similarity) * (F.size("sa") + F.size("sb") - common)).select("a", "b")
-    roots = components(true, work)
+    judged = work.save(both.select("a", "b", (common >= F.lit(similarity) * (F.size("sa") + F.size("sb") - common)).alias("holds")), "judged")
+    true = judged.where("holds").select("a", "b")
+    roots, again, final = components(true, work), Workspace(docs.sparkSession, "near-dedup"), Workspace(docs.sparkSession, "near-dedup")
+    lost = _lost_links(judged.where("NOT holds").select("a", "b"), roots, sets, similarity, tile_hashes, again)
+    if lost is not None:
+        roots = components(true.union(lost), final)
+        again.drop()
     grouped = points.join(roots, points["pid"] == roots["node"], "left").select(*_WORDS, "n", F.coalesce("root", "pid").alias("group"))
     ranked = rows.join(grouped, [*_WORDS, "n"]).select("doc", "mark", "group")
     first = F.min(F.struct(F.col("doc").isNull().alias("last"), "doc", "mark")).alias("first")
     keep = work.save(ranked.groupBy("group").agg(first).select(F.coalesce("first.doc", F.lit(-1)).alias(doc), F.col("first.mark").alias(mark)).distinct(), "keep")
-    for name in ("sets", "candidates", "tiles", "sketches"):
+    for name in ("sets", "candidates", "judged", "tiles", "sketches"):
         work.drop(name)
+    final.drop()
     kept = docs.withColumns({of: id_or, mark: row_hash}).join(keep.withColumnRenamed(doc, of), [of, mark])
     # rows of equal id and text are repetitions; the join has them next to each other
     return kept.dropDuplicates([of, mark]).select(*docs.columns)

@@ -401,3 +401,21 @@ def test_url_filter_edges(spark):
     kept = url_filter.url_filter(pages.selectExpr("*", "1 AS host", "2 AS action"), events)
     assert kept.columns == ["id", "url", "fetched", "host", "action"] and kept.count() == 7
     assert url_filter.judge(pages, events.limit(0)).where("NOT kept").count() == 0 and url_filter.judge(pages.limit(0), events).count() == 0
+
+
+@pytest.mark.parametrize("tile_hashes", [near_dedup.TILE_HASHES, 900])
+def test_near_dedup_of_edited_copies(spark, tile_hashes):
+    """Groups of many edited copies of one text, whose similarities lie on both sides of the limit."""
+    rng, rows = np.random.default_rng(11), []
+    for group in range(12):
+        text = [f"g{group}w{k}" for k in range(300)]
+        for copy in range(30):
+            own = list(text)
+            for k in rng.choice(60, int(rng.integers(3, 6)), replace=False) * 5 + rng.integers(0, 5):
+                own[k] = f"c{copy}e{k}"
+            rows.append((len(rows), " ".join(own)))
+    sets = [frozenset(" ".join(w[i : i + 5]) for i in range(len(w) - 4)) for w in (t.split() for _, t in rows)]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    want = sorted(set(roots(len(rows), links)))
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), tile_hashes=tile_hashes)
+    assert sorted(r["doc_id"] for r in got.collect()) == want
