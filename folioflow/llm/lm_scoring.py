@@ -1,25 +1,25 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
 Words are lower-cased runs of non-white-space; one end token closes each text.  All training tokens are counted
-exactly.  The bigram model works on classes: the ``VOCABULARY`` most frequent words are classes of their own, all others
-share one class, so its table has a fixed bound.  Bigrams of classes are counted over all training texts, and
-a bigram of count c >= 2 goes into the filter with each level 1..floor(log2 c).  A reader asks for level 1, 2, ...
-until the filter says no; the last yes gives the quantised count.
+exactly, and so are the bigrams of all words over all training texts.  A bigram of count c >= 2 goes into the filter with
+each level 1..floor(log2 c).  A reader asks for level 1, 2, ... until the filter says no; the last yes gives the quantised
+count.
 
-    P(w|v) = (c(v,class w) + A*P1(class w)) / (c(v) + A) * P1(w) / P1(class w),   P1(w) = (c(w)+0.5) / (N+0.5*(V+1))
+    P(w|v) = (c(v,w) + A*P1(w)) / (c(v) + A),   P1(w) = (c(w)+0.5) / (N+0.5*(V+1))
 
-so a score is the base score plus one correction for each token, which needs the classes and the filter only.
+so a score is the base score plus one correction for each token, which needs the filter and the counts of the two words.
 
 The filter has ``BITS`` bits for each entry, in blocks of 128 kB that are built apart, one task for a few blocks.
 Segments of at most ``SEGMENT_BYTES`` are broadcast.  If the corpus needs more than one segment, each is
 broadcast in a pass of its own: a bigram belongs to one block, so corrections add up over segments.
 
-The base score needs the exact count of every word.  Frequent words have theirs in the broadcast table; the few
-others, counted in each document, meet the full count table in a shuffled join.
+Counts of words are exact.  The ``VOCABULARY`` most frequent words have theirs in a broadcast table; the others of each
+document meet the full count table in a shuffled join, and come back to the document before its bigrams are looked up.
+Which words are in the broadcast table makes no difference to the scores.
 
 Defined results: null and empty texts have the end token alone; a null doc_id is in the training folds; an empty
 training set has N = V = 0, so every token has P1 = 0.5/0.5 and the base score is 0; repeated rows count and are
-scored as often as they stand there.  Words are told apart by 62 bits of XXH64.
+scored as often as they stand there.  Words are told apart by 62 bits of XXH64, bigrams by 58 bits of a mix of two of these.
 """
 
 from __future__ import annotations
@@ -43,48 +43,45 @@ BLOCK_BITS = 1 << 20
 SEGMENT_BYTES = 64 << 20
 _END = b"\n"  # no word can be this
 _CACHE_WORDS = 1_000_000
-#: Marks a word that is not in memory; no hash, class or negative of a hash.
+#: Marks a word that is not in memory; no hash.
 _NEW = -(1 << 63)
 
 
 def _hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) >> 2  # 62 bits, so a hash and its negative are longs, and none is _NEW
+    return xxhash.xxh64_intdigest(word) >> 2  # 62 bits, so a hash is a long, and none is _NEW
 
 
 END_HASH = _hash(_END)
 
 
 class Words:
-    """A worker's memory of word hashes and classes; emptied when full, so it stays bounded."""
+    """A worker's memory of word hashes; emptied when full, so it stays bounded."""
 
-    def __init__(self, classes: dict[int, int] | None = None):
-        self.classes, self.memo = classes, {}
+    def __init__(self):
+        self.memo = {}
 
     def __call__(self, text: str | None) -> np.ndarray:
-        """For each word, the end left out: its hash, or with classes its class, or -1 - hash if it has none of its own."""
+        """The hash of each word, the end left out."""
         words = text.encode("utf-8", "surrogatepass").translate(LOWER_AZ).split() if text else []
         codes = np.fromiter(map(self.memo.get, words, repeat(_NEW)), np.int64, len(words))
         new = np.flatnonzero(codes == _NEW).tolist()
         if new:
             if len(self.memo) > _CACHE_WORDS:
                 self.memo.clear()
-            memo, classes = self.memo, self.classes
             for i in new:
-                h = _hash(words[i])
-                codes[i] = memo[words[i]] = h if classes is None else classes.get(h, -1 - h)
+                codes[i] = self.memo[words[i]] = _hash(words[i])
         return codes
 
 
 _WORDS: dict[str, Words] = {}
 
 
-def words_for(run: str, classes: dict[int, int] | None = None) -> Words:
+def words_for(run: str) -> Words:
     """The worker's memory for one run, kept from task to task (of the module: what a shipped function names is copied)."""
-    key = f"{run} {classes is None}"
-    if key not in _WORDS:
+    if run not in _WORDS:
         _WORDS.clear()
-        _WORDS[key] = Words(classes)
-    return _WORDS[key]
+        _WORDS[run] = Words()
+    return _WORDS[run]
 
 
 def _tally(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -137,7 +134,7 @@ def train_fold(doc_id: Column, folds: int = 5) -> Column:
 
 
 class Model:
-    """What scoring needs: totals, classes with their counts, and the filter's blocks in the shared folder."""
+    """What scoring needs: totals, counts of frequent words, and the filter's blocks in the shared folder."""
 
     def __init__(self, work: Workspace, train: DataFrame, vocabulary: int = VOCABULARY, alpha: float = ALPHA, block_bits: int = BLOCK_BITS, segment_bytes: int = SEGMENT_BYTES):
         self.alpha, self.spark, self.block_bits, self.segment_bytes = alpha, train.sparkSession, block_bits, segment_bytes
@@ -151,7 +148,7 @@ class Model:
         self.counts = work.save(_counted(train, hashes, "h"), "unigrams")
         total = self.counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
         self.tokens, self.types = total["n"], total["v"]
-        # classes: all words from a count on, the lowest at which they are no more than the vocabulary
+        # frequent: all words from a count on, the lowest at which they are no more than the vocabulary
         bins = {r["bin"]: r["n"] for r in self.counts.groupBy(F.floor(4 * F.log2("c")).cast("int").alias("bin")).agg(F.count("*").alias("n")).collect()}
         cut, held = None, 0
         for b in sorted(bins, reverse=True):
@@ -160,25 +157,16 @@ class Model:
                 break
             cut = b
         frequent = self.counts.where((F.floor(4 * F.log2("c")) >= cut) if cut is not None else F.lit(False)).orderBy("h").collect()
-        known = {r["h"]: r["c"] for r in frequent}
-        ends = self.counts.where(F.col("h") == END_HASH).first()
-        known.setdefault(END_HASH, ends["c"] if ends else 0)
-        self.classes = {h: k for k, h in enumerate(known)}
-        #: counts by class; the last class is that of all other words
-        self.class_counts = np.array([*known.values(), self.tokens - sum(known.values())], np.float64)
-        others = self.types - sum(1 for c in known.values() if c)
-        z = self.tokens + 0.5 * (self.types + 1)
-        self.class_probs = np.append((self.class_counts[:-1] + 0.5) / z, max(self.class_counts[-1] + 0.5 * (others + 1), 0.5) / z)
-        self.z = z
+        self.frequent = np.array([r["h"] for r in frequent], np.int64), np.array([r["c"] for r in frequent], np.int64)
+        self.z = self.tokens + 0.5 * (self.types + 1)
         self._filter(work, train)
 
     def _filter(self, work: Workspace, train: DataFrame) -> None:
-        run, shared, size = work.root, self.spark.sparkContext.broadcast(self.classes), len(self.class_counts)
-        end = self.classes[END_HASH]
+        run = work.root
 
         def bigrams():
-            words = words_for(run, shared.value)
-            return lambda text: _pairs(words(text), size, end)
+            words = words_for(run)
+            return lambda text: _pairs(*_neighbours(words(text)))
 
         pairs = _counted(train, bigrams, "g").where("c >= 2").select("g", F.floor(F.log2("c")).cast("int").alias("level"))
         pairs = work.save(pairs, "bigrams")
@@ -210,10 +198,32 @@ class Model:
             yield first, bits
 
 
-def _pairs(classes: np.ndarray, size: int, end: int) -> np.ndarray:
-    """Bigrams (previous class, class) of one text, from the end token before it to its own."""
-    own = np.where(classes < 0, size - 1, classes)
-    return np.concatenate([[end], own]) * size + np.concatenate([own, [end]])
+def _neighbours(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The previous word and the word of each bigram of one text, from the end token before it to its own."""
+    return np.concatenate([[END_HASH], words]), np.concatenate([words, [END_HASH]])
+
+
+def _pairs(before: np.ndarray, now: np.ndarray) -> np.ndarray:
+    """Keys of bigrams."""
+    return _mix(_mix(before.view(np.uint64)) + now.view(np.uint64)).view(np.int64)
+
+
+def _read(level: np.ndarray, before: np.ndarray, now: np.ndarray) -> np.ndarray:
+    """The count that a level stands for; no bigram occurs more often than its words."""
+    return np.where(level > 0, np.minimum(np.exp2(level + 0.5), np.minimum(before, now)), 0.0)
+
+
+def quantised(c: int, before: int, now: int) -> float:
+    """What the filter gives back for a bigram of count c, whose words have the given counts."""
+    return float(_read(np.array([int(math.log2(c)) if c >= 2 else 0]), np.array([before]), np.array([now]))[0])
+
+
+def _counts(h: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The counts of words by sorted keys; 0 for a word that has none there."""
+    if not len(keys):
+        return np.zeros(len(h), np.int64)
+    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+    return np.where(keys[at] == h, counts[at], 0)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -257,72 +267,84 @@ def score(docs: DataFrame, folds: int = 5, **how) -> DataFrame:
     spark, work = docs.sparkSession, Workspace(docs.sparkSession, "lm")
     rows = docs.select("doc_id", "text").withColumn("train", train_fold(F.col("doc_id"), folds))
     model = Model(work, rows.where("train"), **how)
-    size, end, alpha, blocks = len(model.class_counts), model.classes[END_HASH], model.alpha, model.blocks
-    run, frame = work.root, rows.withColumn("row", F.monotonically_increasing_id())
-    held = spark.sparkContext.broadcast((model.classes, model.class_counts, model.class_probs))
-    ddl = "struct<gain:double,n:bigint,frequent:double,known:bigint,h:array<bigint>,tf:array<bigint>>"
-    first_pass = True
+    alpha, blocks, z, run = model.alpha, model.blocks, model.z, work.root
+    held = spark.sparkContext.broadcast(model.frequent)
+
+    def others(texts):
+        """The words of each text that are not in the broadcast table, once each."""
+        keys, words, out = held.value[0], words_for(run), []
+        for value in texts:
+            h = np.unique(np.append(words(value.as_py()), END_HASH))
+            at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
+            out.append(h[keys[at] != h] if len(keys) else h)
+        return pa.array(out, pa.list_(pa.int64()))
+
+    frame = work.save(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("h", F.arrow_udf(others, "array<bigint>")(F.col("text"))), "texts")
+    met = frame.select("row", F.explode("h").alias("h")).join(model.counts, "h")
+    rare = met.groupBy("row").agg(F.collect_list("h").alias("rare"), F.collect_list("c").alias("rare_c"))
+    frame = frame.drop("h").join(rare, "row", "left")
+    ddl = "struct<gain:double,n:bigint,base:double,known:bigint>"
+    first_pass, last_name = True, "texts"
     for first, bits in model.segments():
         segment = spark.sparkContext.broadcast(bits)
 
-        def look(texts, first=first, segment=segment, whole=first_pass):
-            classes, counts, probs = held.value
-            bits, words, logs = segment.value, words_for(run, classes), np.log10(counts + 0.5)
-            gains, sizes, frequent, known, rare, codes, width = [], [], [], [], [], [], 0
+        def look(texts, rare, rare_counts, first=first, segment=segment, whole=first_pass):
+            bits, words = segment.value, words_for(run)
+            gains, sizes, base, known, codes, near, width = [], [], [], [], [], [], 0
 
             def flush():
                 """Texts are looked up together: pairs of all of them, each distinct pair once."""
-                pairs, turn = np.unique(np.concatenate([_pairs(c, size, end) for c in codes]), return_inverse=True)
+                before, now = (np.concatenate(x) for x in zip(*map(_neighbours, codes), strict=True))
+                keys, at = np.unique(np.concatenate([h for h, _ in near]), return_index=True)
+                some = keys, np.concatenate([c for _, c in near])[at]
+                count = lambda h: _counts(h, *held.value) + _counts(h, *some)  # noqa: E731  no word is in both
+                pairs, at, turn = np.unique(_pairs(before, now), return_index=True, return_inverse=True)
+                counts = count(now[at])
+                probs = (counts + 0.5) / z
                 block = _spark_xxhash64(pairs) % np.int64(blocks) - first
                 mine = np.flatnonzero((block >= 0) & (block < len(bits)))
                 level, gain = _levels(pairs[mine], block[mine], bits), np.zeros(len(pairs))
-                before, now = counts[pairs[mine] // size], probs[pairs[mine] % size]
-                c = np.where(level > 0, np.minimum(np.exp2(level + 0.5), np.maximum(before, 1)), 0.0)
-                gain[mine] = np.log10(c + alpha * now) - np.log10(before + alpha) - np.log10(now)
+                context, own = count(before[at[mine]]), probs[mine]
+                c = _read(level, context, counts[mine])
+                gain[mine] = np.log10(c + alpha * own) - np.log10(context + alpha) - np.log10(own)
                 begins = np.cumsum([0, *[len(c) + 1 for c in codes[:-1]]])
                 gains.append(np.add.reduceat(gain[turn], begins))
-                for own in codes if whole else ():
-                    mine = own[own >= 0]
-                    sizes.append(len(own) + 1)
-                    frequent.append(float(logs[mine].sum() + logs[end]))
-                    known.append(len(mine) + int(counts[end] > 0))
-                    rare.append(np.unique(-1 - own[own < 0], return_counts=True))
+                if whole:
+                    sizes.extend(len(c) + 1 for c in codes)
+                    base.append(np.add.reduceat(np.log10(counts + 0.5)[turn], begins))
+                    known.append(np.add.reduceat((counts > 0).astype(np.int64)[turn], begins))
                 codes.clear()
+                near.clear()
 
-            for value in texts:
+            empty = np.zeros(0, np.int64)
+            for value, h, c in zip(texts, rare, rare_counts, strict=True):
                 codes.append(words(value.as_py()))
+                near.append((h.values.to_numpy(), c.values.to_numpy()) if h.is_valid else (empty, empty))
                 width += len(codes[-1])
                 if width > 200_000:
                     flush()
                     width = 0
             if codes:
                 flush()
-            first_gain = pa.array(np.concatenate(gains) if gains else np.zeros(0))
+            gained = pa.array(np.concatenate(gains) if gains else np.zeros(0))
             if not whole:
-                return first_gain
-            ends = pa.array(np.cumsum([0, *[len(h) for h, _ in rare]]), pa.int32())
-            flat = [pa.array(np.concatenate([r[k] for r in rare]) if rare else np.zeros(0, np.int64), pa.int64()) for k in (0, 1)]
-            lists = [pa.ListArray.from_arrays(ends, f) for f in flat]
-            return pa.StructArray.from_arrays([first_gain, pa.array(sizes, pa.int64()), pa.array(frequent, pa.float64()), pa.array(known, pa.int64()), *lists], names=["gain", "n", "frequent", "known", "h", "tf"])
+                return gained
+            rest = [pa.array(sizes, pa.int64()), pa.array(np.concatenate(base) if base else np.zeros(0)), pa.array(np.concatenate(known) if known else empty, pa.int64())]
+            return pa.StructArray.from_arrays([gained, *rest], names=["gain", "n", "base", "known"])
 
-        seen = F.arrow_udf(look, ddl if first_pass else "double")(F.col("text"))
+        seen = F.arrow_udf(look, ddl if first_pass else "double")(F.col("text"), F.col("rare"), F.col("rare_c"))
         if first_pass:
             frame = frame.withColumn("s", seen).withColumn("gain", F.col("s.gain"))
         else:
             frame = frame.withColumn("t", seen).withColumn("gain", F.col("gain") + F.col("t")).drop("t")
-        last = first + len(bits) >= blocks
-        if last:
-            frame = frame.select("row", "doc_id", "train", "gain", "s.n", "s.frequent", "s.known", "s.h", "s.tf")
+        if first + len(bits) >= blocks:
+            frame = frame.select("doc_id", "train", "gain", "s.n", "s.base", "s.known")
         frame = work.save(frame, f"scored{first}")
-        first_pass = False
-    # words outside the broadcast table meet all counts
-    rare = frame.select("row", F.explode(F.arrays_zip("h", "tf")).alias("x")).select("row", F.col("x.h").alias("h"), F.col("x.tf").alias("tf"))
-    met = rare.join(model.counts, "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    sums = met.groupBy("row").agg(F.sum(F.col("tf") * F.log10(F.col("c") + 0.5)).alias("others"), F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("others_known"))
-    done = frame.drop("h", "tf").join(sums, "row", "left")
-    base = F.col("frequent") + F.coalesce("others", F.lit(0.0)) - F.col("n") * F.lit(math.log10(model.z))
-    return done.select(
-        "doc_id", (~F.col("train")).alias("held_out"), F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("others_known", F.lit(0))).alias("n_known"),
+        work.drop(last_name)
+        first_pass, last_name = False, f"scored{first}"
+    base = F.col("base") - F.col("n") * F.lit(math.log10(z))
+    return frame.select(
+        "doc_id", (~F.col("train")).alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"),
     )
 
