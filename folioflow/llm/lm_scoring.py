@@ -1,9 +1,9 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
 Words are lower-cased runs of non-white-space; one end token closes each text.  All training tokens are counted
-exactly, and so are the bigrams of all words over all training texts.  A bigram of count c >= 2 goes into the filter with
-each level 1..floor(log2 c).  A reader asks for level 1, 2, ... until the filter says no; the last yes gives the quantised
-count.
+exactly, and so are the bigrams of all words over all training texts.  A bigram of count c goes into the filter with each
+level 1..1+floor(log2 c), so one seen once has level 1.  A reader asks for level 1, 2, ... until the filter says no; the last
+yes q stands for a count of 2**(q-0.5), and of 1 for level 1, which has no other.
 
     P(w|v) = (c(v,w) + A*P1(w)) / (c(v) + A),   P1(w) = (c(w)+0.5) / (N+0.5*(V+1))
 
@@ -168,7 +168,7 @@ class Model:
             words = words_for(run)
             return lambda text: _pairs(*_neighbours(words(text)))
 
-        pairs = _counted(train, bigrams, "g").where("c >= 2").select("g", F.floor(F.log2("c")).cast("int").alias("level"))
+        pairs = _counted(train, bigrams, "g").select("g", (F.floor(F.log2("c")) + 1).cast("int").alias("level"))
         pairs = work.save(pairs, "bigrams")
         entries = pairs.agg(F.coalesce(F.sum("level"), F.lit(0))).first()[0]
         self.blocks = max(1, math.ceil(entries * BITS / self.block_bits))
@@ -210,12 +210,12 @@ def _pairs(before: np.ndarray, now: np.ndarray) -> np.ndarray:
 
 def _read(level: np.ndarray, before: np.ndarray, now: np.ndarray) -> np.ndarray:
     """The count that a level stands for; no bigram occurs more often than its words."""
-    return np.where(level > 0, np.minimum(np.exp2(level + 0.5), np.minimum(before, now)), 0.0)
+    return np.where(level > 0, np.minimum(np.where(level > 1, np.exp2(level - 0.5), 1.0), np.minimum(before, now)), 0.0)
 
 
 def quantised(c: int, before: int, now: int) -> float:
     """What the filter gives back for a bigram of count c, whose words have the given counts."""
-    return float(_read(np.array([int(math.log2(c)) if c >= 2 else 0]), np.array([before]), np.array([now]))[0])
+    return float(_read(np.array([1 + int(math.log2(c)) if c else 0]), np.array([before]), np.array([now]))[0])
 
 
 def _counts(h: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:

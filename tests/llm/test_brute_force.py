@@ -441,3 +441,13 @@ def test_lm_every_word_has_its_own_bigrams(spark):
         for r in lm_scoring.score(docs, **how).collect():
             want = sum(gain(v, w) for v, w in itertools.pairwise(tokens[r["doc_id"]]))
             assert abs(r["score"] - r["base_score"] - want) < 0.3  # false yes answers of the filter are rare
+
+
+def test_lm_a_bigram_seen_once_counts(spark):
+    """Two held-out texts of the same words: the one whose bigrams were seen once scores higher."""
+    train = next(k for k in range(9) if zlib.crc32(str(k).encode()) % 5 != 1)
+    first, second = [k for k in range(20, 99) if zlib.crc32(str(k).encode()) % 5 == 1][:2]
+    rows = [(train, "a b c d e f g h"), (first, "a b c d e f g h"), (second, "h g f e d c b a")]
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[first] > got[second]
+    assert lm_scoring.quantised(0, 9, 9) == 0 and lm_scoring.quantised(1, 9, 9) == 1 and 2 < lm_scoring.quantised(2, 9, 9) < 4
