@@ -1,11 +1,11 @@
 """Token ids and their binary files: range asymmetric numeral systems with one shared static table.
 
-Writing takes three passes.  Texts are tokenised once, to 16-bit ids (32-bit for larger vocabularies) in the shared
-folder; the ids of all documents are counted and the counts scaled to the table; then documents are ordered by
-id over range partitions and encoded.
+Writing takes two passes.  Texts are tokenised once, to 16-bit ids (32-bit for larger vocabularies) in the shared
+folder, and counted as they are; the counts are scaled to the table; then documents are ordered by id over range
+partitions and encoded.
 
-File format: a Parquet table, written by Spark's own committer (a lost task leaves nothing behind), with a row for
-each chunk of whole documents.  A chunk holds its documents' ids, lengths and optional null marks, and
+File format: two Parquet tables, written by Spark's own committer (a lost task leaves nothing behind): ``table``, one row
+with the scaled frequencies and the block settings, and ``chunks``, a row for each chunk of whole documents.  A chunk holds its documents' ids, lengths and optional null marks, and
 independent blocks of ``BLOCK`` symbols.  Symbol j of a block belongs to lane j % ``LANES``; lanes share one
 stream of 32-bit words.  Every ``CHECKPOINT`` rows of a block the lanes' states and the place in the stream are
 kept, so a decoder can begin at any checkpoint, and all of them are decoded side by side.  Each chunk carries
@@ -21,16 +21,20 @@ doc_id stand in the order of a hash of their ids; repeated rows stay repeated; a
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from ._common import LOWER_AZ, Workspace, table
+from ._common import Workspace, partitions_for, table
 
 END_ID = 1
 SCALE = 20
@@ -38,85 +42,150 @@ LANES = 256
 BLOCK = 1 << 17
 CHECKPOINT = 256
 CHUNK_IDS = 1 << 20
-CACHE_WORDS = 1_500_000
+#: Bytes of cached words in a worker, and of text that is encoded together.
+CACHE_BYTES = 192 << 20
+PART_BYTES = 4 << 20
+_ENTRY_BYTES = 150  # of two small objects and a place in a dictionary
+_END_WORD = "\n"  # no piece can be this
 _LOW = np.uint64(1 << 31)
-#: Marks (no apostrophe) between an ASCII letter and white space or the end.
-_MARK = re.compile(rb"(?<=[a-z])([!-&(-/:-@\[-`{-~]+)(?=[\x20\x09-\x0d]|\Z)")
+#: Marks (no apostrophe) at the end of a word, after an ASCII letter.
+_MARKS = re.compile(r"(?<=[a-z])[!-&(-/:-@\[-`{-~]+\Z")
+#: Letters whose lower-case form is one letter and the same with or without composition: ASCII and Latin-1.
+_PLAIN = re.compile("[a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _alphabet() -> dict[int, str]:
+    """The printable stand-in of each byte in byte-level vocabularies, the space left as it is."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + k) for k, b in enumerate(hidden) if b != 32}
+
+
+_BYTE_LEVEL = _alphabet()
 
 
 class WordCache:
     """Ids of the pieces of a text between ASCII white space.
 
-    The tokenizer drops white space before it merges, so such a piece has the same ids wherever it stands.  It also
-    lower-cases, and parts letters from what follows them, so A-Z may be lowered before (special tokens' strings apart,
-    which it takes as they are) and the marks that end a word may be parted from it.  New pieces are encoded together;
-    those of letters alone end with the one id that ends a word, others are told apart by their offsets.  The cache
-    is emptied when it is full.
+    A tokenizer that drops white space before it merges gives such a piece the same ids wherever it stands.  One that
+    also lower-cases, and parts letters from what follows them, lets A-Z be lowered and the marks at the end of a word be
+    parted from it before the look-up.  Whether a tokenizer is of this form is read from its own description; any other
+    one encodes each text whole.  Texts in which lowering could matter (strings of special tokens, or marks that
+    combine with the letter before) are not lowered.
+
+    Words of a batch are told apart by Arrow, so Python sees each distinct word of a batch once.  New words are encoded
+    together.  The cache is emptied when its entries come to ``limit`` bytes.
     """
 
-    def __init__(self, path: str, limit: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, limit: int = CACHE_BYTES):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
-        self.limit = limit
+        self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        #: ids that end a word
-        self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.size = max([self.size, END_ID + 1, *(i + 1 for i in vocab.values())])
+        self.kind = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
+        self.limit = limit
+        form = json.loads(self.tokenizer.to_str())
+        self.special = [t["content"] for t in form.get("added_tokens", [])]
+        steps = (form.get("normalizer") or {}).get("normalizers", [])
+        cuts = (form.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.by_word = (
+            [x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"]
+            and steps[1]["pattern"] == {"Regex": r"\s+"}
+            and [x["type"] for x in cuts] == ["Split", "ByteLevel"]
+            and cuts[0]["pattern"] == {"Regex": _SPLIT}
+            and (cuts[0]["behavior"], cuts[0]["invert"]) == ("Removed", True)
+            and not (cuts[1]["add_prefix_space"] or cuts[1]["use_regex"])
+            and form["model"]["end_of_word_suffix"] == "</w>"
+            and form["post_processor"] is None
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or any(map(str.isspace, t["content"])) for t in form["added_tokens"])
+        )
+        self.ends = np.zeros(self.size, bool)  # ids that end a word
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        ids = lambda x: self.tokenizer.encode(x, add_special_tokens=False).ids
-        self.lowers = ids("Ab, aB.") == ids("ab , ab .")
-        self.ids: dict[bytes, bytes] = {}
-
-    def learn(self, words: list[bytes]) -> None:
-        letters = {w: w.decode("utf-8", "replace").isalpha() for w in words}
-        plain = [w for w, only in letters.items() if only]
+        if self.by_word:  # the same merges over words that are cut and mapped already
+            self.bare = Tokenizer(self.tokenizer.model)
+            self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self._empty()
+
+    def _empty(self) -> None:
+        self.ids: dict[str, bytes] = {"": b"", _END_WORD: np.array([END_ID], self.kind).tobytes()}
+        self.held = 0
+
+    def learn(self, words: list[str]) -> None:
+        """Adds the ids of new words, the marks at their ends parted."""
+        cuts = {}
+        for w in words:
+            at = _MARKS.search(w) if "<|" not in w else None
+            cuts[w] = (w[: at.start()], w[at.start() :]) if at else (w, "")
+        new = {p for both in cuts.values() for p in both if p not in self.ids}
+        plain = [p for p in new if _PLAIN.fullmatch(p)]
         for at in range(0, len(plain), 8192):
             part = plain[at : at + 8192]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, self.kind)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part):  # each has one end at least, so each has exactly one
-                self._keep(part, ids, cuts.tolist())
-            else:  # a tokenizer whose words do not end like that
-                self._by_offsets(part)
-        self._by_offsets([w for w, only in letters.items() if not only])
-
-    def _by_offsets(self, words: list[bytes]) -> None:
+            mapped = " ".join(part).lower().encode().decode("latin-1").translate(_BYTE_LEVEL)
+            ids = np.array(self.bare.encode_batch_fast([mapped], add_special_tokens=False)[0].ids, self.kind)
+            self._keep(part, ids, (np.flatnonzero(self.ends[ids]) + 1).tolist())
+        self._by_offsets(sorted(new.difference(plain)))
+        for w, (stem, marks) in cuts.items():
+            if marks:
+                self._put(w, self.ids[stem] + self.ids[marks])
+
+    def _by_offsets(self, words: list[str]) -> None:
         for at in range(0, len(words), 8192):
             part = words[at : at + 8192]
-            texts = [w.decode("utf-8", "replace") for w in part]
-            ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
-            got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             begins = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.offsets))
             self._keep(part, np.array(got.ids, self.kind), np.searchsorted(begins, ends).tolist())
 
-    def _keep(self, words: list[bytes], ids: np.ndarray, cuts: list[int]) -> None:
+    def _keep(self, words: list[str], ids: np.ndarray, cuts: list[int]) -> None:
         size, raw, low = self.kind.itemsize, ids.tobytes(), 0
         for word, high in zip(words, cuts, strict=True):
-            self.ids[word] = raw[low * size : high * size]
+            self._put(word, raw[low * size : high * size])
             low = high
 
-    def pieces(self, text: str | None) -> list[bytes]:
-        if not text:
-            return []
-        raw = text.encode("utf-8", "surrogatepass")
-        if self.lowers and b"<|" not in raw:
-            raw = _MARK.sub(rb" \1", raw.translate(LOWER_AZ))
-        return raw.split()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian bytes, the end id included."""
-        end = np.array([END_ID], self.kind).tobytes()
-        out = []
-        for at in range(0, len(texts), 256):
-            part = [self.pieces(t) for t in texts[at : at + 256]]
-            if len(self.ids) > self.limit:
-                self.ids.clear()
-            new = set().union(*part).difference(self.ids)
-            if new:
-                self.learn(sorted(new))
-            out += [b"".join([*map(self.ids.__getitem__, words), end]) for words in part]
-        return out
+    def _put(self, word: str, ids: bytes) -> None:
+        self.ids[word] = ids
+        self.held += _ENTRY_BYTES + 2 * len(word) + len(ids)
+
+    def _lowered(self, texts: pa.StringArray) -> pa.StringArray:
+        low = pc.ascii_lower(texts)
+        keep = [pc.match_substring(low, t.lower()) for t in self.special]
+        data = texts.buffers()[2]
+        if data is not None and ((np.frombuffer(data, np.uint8) & 0xFE) == 0xCC).any():  # U+0300 to U+037F
+            keep.append(pc.match_substring_regex(texts, "[A-Z][\u0300-\u036f]"))
+        for k in keep:
+            if pc.any(k).as_py():
+                low = pc.if_else(k, texts, low)
+        return low
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, end ids included, and how many each text has."""
+        texts = pc.fill_null(texts, "")
+        if not self.by_word:
+            got = [np.array([*e.ids, END_ID], self.kind) for e in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+            return np.concatenate(got), np.fromiter(map(len, got), np.int64, len(got))
+        pieces = pc.ascii_split_whitespace(self._lowered(texts))
+        coded = pieces.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if self.held > self.limit:
+            self._empty()
+        new = [w for w in words if w not in self.ids]
+        if new:
+            self.learn(new)
+        words.append(_END_WORD)
+        ids = [*map(self.ids.__getitem__, words)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        flat = np.frombuffer(b"".join(ids), self.kind)
+        many = pieces.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        order = np.insert(coded.indices.to_numpy(zero_copy_only=False), np.cumsum(many), len(words) - 1)
+        widths = sizes[order]
+        ends = np.cumsum(widths)
+        begins = (np.cumsum(sizes) - sizes)[order] - (ends - widths)
+        out = flat[np.repeat(begins, widths) + np.arange(ends[-1])]
+        last = ends[np.cumsum(many + 1) - 1]
+        return out, np.diff(last, prepend=0)
 
 
 _CACHES: dict[str, WordCache] = {}
@@ -130,40 +199,52 @@ def cache_of(path: str) -> WordCache:
     return _CACHES[path]
 
 
-def tokenise(docs: DataFrame, path: str, work: Workspace) -> DataFrame:
-    """doc_id, ids (binary), written to the work folder."""
-
-    def ids(texts):
-        return pa.array(cache_of(path).encode(texts.to_pylist()), pa.binary())
-
-    return work.save(docs.select("doc_id", F.arrow_udf(ids, "binary")(F.col("text")).alias("ids")), "ids")
+def parts_of(texts: pa.Array, limit: int = PART_BYTES):
+    """Slices (begin, length) of a batch with about ``limit`` bytes of text each, one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(texts):
+        base = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        yield begin, end - begin
+        begin = end
 
 
-def _width(path: str) -> int:
-    return WordCache(path).kind.itemsize
+def tokenise(docs: DataFrame, path: str, work: Workspace) -> tuple[DataFrame, np.ndarray, int]:
+    """doc_id, ids (binary), tie (a hash of the ids), written to the work folder; how often each id occurs in all
+    documents; the bytes of an id.  Each task counts its own ids and writes the counts as one more row, which has no ids."""
 
-
-def count_ids(ids: DataFrame, width: int) -> np.ndarray:
-    """How often each id occurs in all documents; the driver gets one row for each distinct id of the vocabulary."""
-
-    def count(batches):
-        total = np.zeros(0, np.int64)
+    def run(batches):
+        cache = cache_of(path)
+        counts, key = np.zeros(cache.size, np.int64), None
         for batch in batches:
-            column = batch.column(0)
-            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-            # the ids of all rows lie next to each other
-            got = np.bincount(np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].copy().view(f"<u{width}")) if len(column) else total[:0]
-            if len(got) > len(total):
-                total = np.pad(total, (0, len(got) - len(total)))
-            total[: len(got)] += got
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
-
-    rows = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(max([r["id"] for r in rows], default=0) + 1, np.int64)
+            key = batch.column(0).type
+            for begin, many in parts_of(batch.column(1)):
+                ids, sizes = cache.encode(batch.column(1).slice(begin, many))
+                counts += np.bincount(ids, minlength=cache.size)
+                at = np.concatenate([[0], np.cumsum(sizes * cache.kind.itemsize)])
+                if at[-1] >= 1 << 31:
+                    raise ValueError("the ids of one text do not fit in 2 GB")
+                column = pa.Array.from_buffers(pa.binary(), many, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, many), column, pa.nulls(many, pa.binary())], names=["doc_id", "ids", "counts"])
+        if key is not None:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, key), pa.nulls(1, pa.binary()), pa.array([counts.astype("<i8").tobytes()], pa.binary())], names=["doc_id", "ids", "counts"])
+
+    key = StructField("doc_id", docs.schema["doc_id"].dataType)
+    coded = docs.select("doc_id", "text").mapInArrow(run, StructType([key, StructField("ids", BinaryType()), StructField("counts", BinaryType())]))
+    table = work.save(coded.withColumn("tie", F.xxhash64("ids")), "ids")
+
+    def unpacked(batches):
+        for batch in batches:
+            total = sum(np.frombuffer(c.as_buffer(), "<i8") for c in batch.column(0))
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.atleast_1d(total)[at])], names=["id", "n"])
+
+    rows = table.where("ids IS NULL").select("counts").mapInArrow(unpacked, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # a row for each id of the vocabulary
+    counts = np.zeros(max([r["id"] for r in rows], default=0) + 1, np.int64)
     for r in rows:
-        out[r["id"]] = r["n"]
-    return out
+        counts[r["id"]] = r["n"]
+    return table.where("ids IS NOT NULL").select("doc_id", "ids", "tie"), counts, WordCache(path).kind.itemsize
 
 
 def scaled(counts: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -280,75 +361,100 @@ def _step(state, place, words, t, mask):
     return s, state, place + rank[:, -1]
 
 
-_CHUNK = "docs array<bigint>, lengths array<bigint>, n bigint, words binary, states binary, places array<bigint>, words_crc bigint, ids_crc bigint"
+def _chunk_type(key) -> StructType:
+    many = ArrayType(LongType())
+    kinds = [("docs", ArrayType(key)), ("lengths", many), ("n", LongType()), ("words", BinaryType()), ("states", BinaryType()), ("places", many), ("words_crc", LongType()), ("ids_crc", LongType())]
+    return StructType([StructField(k, kind) for k, kind in kinds])
 
 
-def write_files(docs: DataFrame, path: str, out: str, work: Workspace) -> np.ndarray:
-    """Writes the ids of all documents below ``out`` in ascending doc_id order; returns the scaled frequencies."""
+def write_files(docs: DataFrame, path: str, out: str, work: Workspace) -> None:
+    """Writes the ids of all documents below ``out`` in ascending doc_id order: the chunks, and the table that decodes them."""
     spark = docs.sparkSession
-    ids, width = tokenise(docs, path, work), _width(path)
-    freq = scaled(count_ids(ids, width))
-    shared = spark.sparkContext.broadcast(freq)
+    ids, counts, width = tokenise(docs, path, work)
+    freq = scaled(counts)
+    shared = spark.sparkContext.broadcast(freq)  # at most as long as the vocabulary
+    kind = _chunk_type(docs.schema["doc_id"].dataType)
 
     def chunks(batches):
         t = Table.of(shared.value)
         held, keys, size = [], [], 0
 
         def flush():
-            lengths = [len(x) for x in held]
-            return {"docs": list(keys), "lengths": lengths, **encode(np.concatenate(held), t)}
+            lengths = np.fromiter(map(len, held), np.int64, len(held))
+            return {"docs": pa.concat_arrays(keys), "lengths": lengths, **encode(np.concatenate(held), t)}
 
         for batch in batches:
-            rows = []
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held.append(np.frombuffer(value.as_buffer(), f"<u{width}"))
-                keys.append(key)
-                size += len(held[-1])
+            rows, column = [], batch.column(1)
+            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+            # the ids of all rows lie next to each other
+            flat = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].copy().view(f"<u{width}")
+            ends = (ends - ends[0]) // width
+            begin = 0
+            while begin < len(column):
+                end = min(len(column), int(np.searchsorted(ends, ends[begin] + CHUNK_IDS - size)))
+                end = max(end, begin + 1)
+                held += np.split(flat[ends[begin] : ends[end]], ends[begin + 1 : end] - ends[begin])
+                keys.append(batch.column(0).slice(begin, end - begin))
+                size += int(ends[end] - ends[begin])
                 if size >= CHUNK_IDS:
                     rows.append(flush())
                     held, keys, size = [], [], 0
-            held = [x.copy() for x in held]  # batches end here
+                begin = end
             if rows:
-                yield _batch(rows)
+                yield _batch(rows, kind)
         if held:
-            yield _batch([flush()])
+            yield _batch([flush()], kind)
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = ids.withColumn("tie", F.xxhash64("ids")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    coded = ordered.select("doc_id", "ids").mapInArrow(chunks, _CHUNK)
+    parts = partitions_for(spark, int(counts.sum()) * width, 32 << 20)
+    ordered = ids.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    coded = ordered.select("doc_id", "ids").mapInArrow(chunks, kind)
     coded = coded.select(F.monotonically_increasing_id().alias("seq"), "*")
-    coded.write.mode("overwrite").option("compression", "none").parquet(out)
-    return freq
-
-
-def _batch(rows: list[dict]) -> pa.RecordBatch:
-    big = pa.list_(pa.int64())
-    kinds = [("docs", big), ("lengths", big), ("n", pa.int64()), ("words", pa.binary()), ("states", pa.binary()), ("places", big), ("words_crc", pa.int64()), ("ids_crc", pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in kinds], names=[k for k, _ in kinds])
+    coded.write.mode("overwrite").option("compression", "none").parquet(f"{out}/chunks")
+    header = spark.createDataFrame([(SCALE, LANES, BLOCK, CHECKPOINT, freq.tolist())], "scale int, lanes int, block int, checkpoint int, freq array<bigint>")
+    header.coalesce(1).write.mode("overwrite").parquet(f"{out}/table")
+
+
+def _batch(rows: list[dict], kind: StructType) -> pa.RecordBatch:
+    arrays = []
+    for f in kind:
+        if f.name == "docs":
+            values = pa.concat_arrays([r["docs"] for r in rows])
+            ends = np.cumsum([0, *[len(r["docs"]) for r in rows]])
+            arrays.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
+        else:
+            arrays.append(pa.array([r[f.name] for r in rows], to_arrow_type(f.dataType)))
+    return pa.RecordBatch.from_arrays(arrays, names=kind.names)
 
 
-def read_files(spark: SparkSession, out: str, freq: np.ndarray, digest: bool = True) -> DataFrame:
-    """Documents from the files: doc_id, start, n_tokens and ids_crc32, or with ``digest`` False the ids."""
-    shared = spark.sparkContext.broadcast(freq)
-    coded = spark.read.parquet(out)
+def read_files(spark: SparkSession, out: str, digest: bool = True) -> DataFrame:
+    """Documents from the files alone: doc_id, start, n_tokens and ids_crc32, or with ``digest`` False the ids."""
+    header = spark.read.parquet(f"{out}/table").first()
+    if (header["scale"], header["lanes"], header["block"], header["checkpoint"]) != (SCALE, LANES, BLOCK, CHECKPOINT):
+        raise ValueError("the files were written with other block settings")
+    shared = spark.sparkContext.broadcast(np.array(header["freq"], np.int64))
+    coded = spark.read.parquet(f"{out}/chunks")
+    key = coded.schema["docs"].dataType.elementType
 
     def documents(batches):
         t = Table.of(shared.value)
         for batch in batches:
-            for row in batch.to_pylist():
+            docs, chunks = batch.column("docs"), batch.drop_columns(["docs", "lengths"]).to_pylist()
+            for at, row in enumerate(chunks):
                 ids = decode(row, t).astype("<u4")
-                ends = np.cumsum(np.array(row["lengths"], np.int64))
-                begins = ends - np.array(row["lengths"], np.int64)
-                parts = [ids[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+                lengths = batch.column("lengths")[at].values.to_numpy()
+                ends = np.cumsum(lengths)
+                begins = ends - lengths
+                parts = (ids[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True))
                 last = pa.array([zlib.crc32(p) for p in parts], pa.int64()) if digest else pa.array([p.tolist() for p in parts], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["seq"]] * len(parts), pa.int64()), pa.array(row["docs"], pa.int64()), pa.array(begins), pa.array(row["lengths"], pa.int64()), last],
+                    [pa.array(np.full(len(lengths), row["seq"])), docs[at].values, pa.array(begins), pa.array(lengths), last],
                     names=["seq", "doc_id", "within", "n_tokens", "last"],
                 )
 
-    last = "long" if digest else "array<long>"
-    rows = coded.select("seq", "docs", "lengths", "n", "words", "states", "places", "words_crc", "ids_crc").mapInArrow(documents, f"seq long, doc_id long, within long, n_tokens long, last {last}")
+    last = LongType() if digest else ArrayType(LongType())
+    kinds = [("seq", LongType()), ("doc_id", key), ("within", LongType()), ("n_tokens", LongType()), ("last", last)]
+    rows = coded.select("seq", "docs", "lengths", "n", "words", "states", "places", "words_crc", "ids_crc").mapInArrow(documents, StructType([StructField(k, kind) for k, kind in kinds]))
     # partitions are in doc_id order and chunk numbers ascend in each, so chunk numbers give the order of all
     upto = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     begin = coded.select("seq", "n").select("seq", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("begin"))
@@ -361,9 +467,9 @@ def encode_corpus(docs: DataFrame, path: str, digest: bool = True) -> DataFrame:
     """Tokenises, writes the files, and returns what reading them back gives."""
     work = Workspace(docs.sparkSession, "token-ids")
     out = f"{work.root}/files"
-    freq = write_files(docs, path, out, work)
+    write_files(docs, path, out, work)
     work.drop("ids")
-    return read_files(docs.sparkSession, out, freq, digest)
+    return read_files(docs.sparkSession, out, digest)
 
 
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -367,12 +368,40 @@ def test_word_cache_equals_tokenizer():
 
     import public_tokenizers
 
-    cache = token_ids.WordCache(public_tokenizers.path("word_bpe_49k.json"), limit=50)
+    cache = token_ids.WordCache(public_tokenizers.path("word_bpe_49k.json"), limit=5000)
+    assert cache.by_word
     rng = random.Random(5)
-    parts = ["a", "B", "É", "é", " ", "\n", "\xa0", "\x1c", ",", ".", "'", "'s", "1", "ß", "İ", "Σ", "！", "<|endoftext|>", "<|ENDOFTEXT|>", "<", "|", "日", "😀", "‍", "b,,", "क़", "ng", "(", ")", "_", "!!"]
-    for _ in range(3000):
-        x = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
-        assert np.frombuffer(cache.encode([x])[0], "<u2").tolist() == [*cache.tokenizer.encode(x, add_special_tokens=False).ids, 1], x
+    parts = ["a", "B", "É", "é", " ", "\n", "\xa0", "\x1c", ",", ".", "'", "'s", "1", "ß", "İ", "Σ", "！", "<|endoftext|>", "<|ENDOFTEXT|>", "<", "|", "日", "😀", "‍", "b,,", "क़", "ng", "(", ")", "_", "!!", "H", "\u0331", "T", "\u0308", "Ж", "ǰ", "ÿ", "\x85", "\xad"]
+    for _ in range(300):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(10)] + [None]
+        ids, sizes = cache.encode(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [[*cache.tokenizer.encode(x or "", add_special_tokens=False).ids, 1] for x in texts], texts
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+
+    cache = token_ids.WordCache(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["Hello,  world\n x", "", "é 日本 <|endoftext|> a"]
+    ids, sizes = cache.encode(pa.array(texts))
+    assert not cache.by_word
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [[*cache.tokenizer.encode(x, add_special_tokens=False).ids, 1] for x in texts]
+
+
+def test_token_files_alone(spark, tmp_path):
+    """Ids of another type, texts without spaces, and files that a reader knows only the folder of."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from folioflow.llm._common import Workspace
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [("b", "日本語の文章" * 4000), ("a", "Q0hBUlM9" * 3000), (None, "x y"), ("c", None), ("b", "zz " * 700_000)]
+    token_ids.write_files(spark.createDataFrame(rows, "doc_id string, text string"), path, str(tmp_path / "f"), Workspace(spark, "t"))
+    got = token_ids.read_files(spark.newSession(), str(tmp_path / "f"), digest=False).orderBy("start").collect()
+    t = Tokenizer.from_file(path)
+    want = {(k, *t.encode(x or "", add_special_tokens=False).ids, 1) for k, x in rows}
+    assert [r["doc_id"] for r in got] == [None, "a", "b", "b", "c"] and {(r["doc_id"], *r["ids"]) for r in got} == want
 
 
 def test_url_filter_equals_sql(spark):
