@@ -6,6 +6,9 @@ import atexit
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,3 +90,32 @@ def text_or_empty(name: str = "text") -> Column:
 def partitions_for(spark: SparkSession, nbytes: int, target: int = 64 << 20) -> int:
     """Partitions of about ``target`` bytes, at least the session's own number of shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-nbytes // target))
+
+
+def parts_of(texts: pa.Array, limit: int):
+    """Slices (begin, length) of a batch with about ``limit`` bytes of text each, one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(texts):
+        base = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, base + limit, side="right")))
+        yield begin, end - begin
+        begin = end
+
+
+def word_codes(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words (A-Z lowered, cut at white space) of some texts, the number of each word in text order, and how many words each
+    text has; a null text has none."""
+    pieces = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = pieces.flatten().dictionary_encode()
+    words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    many = pieces.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    if "" in words:  # white space at the ends of a text
+        void = words.index("")
+        keep = codes != void
+        upto, ends = np.concatenate([[0], np.cumsum(keep)]), np.cumsum(many)
+        many = upto[ends] - upto[ends - many]
+        codes = codes[keep]
+        codes -= codes > void
+        words.pop(void)
+    return words, codes, many

@@ -1,352 +1,388 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
-Words are lower-cased runs of non-white-space; one end token closes each text.  All training tokens are counted
-exactly, and so are the bigrams of all words over all training texts.  A bigram of count c goes into the filter with each
-level 1..1+floor(log2 c), so one seen once has level 1.  A reader asks for level 1, 2, ... until the filter says no; the last
-yes q stands for a count of 2**(q-0.5), and of 1 for level 1, which has no other.
+Words are lower-cased runs of non-white-space; one end token closes each text.  The n-grams of order one and two of all
+training texts are counted exactly.  An n-gram of count c goes into the filter with each level 1..1+floor(log2 c), so
+one seen once has level 1.  A reader asks for level 1, 2, ... until the filter says no; the last yes q stands for a count
+of 2**(q-0.5), and of 1 for level 1, which has no other.
 
     P(w|v) = (c(v,w) + A*P1(w)) / (c(v) + A),   P1(w) = (c(w)+0.5) / (N+0.5*(V+1))
 
-so a score is the base score plus one correction for each token, which needs the filter and the counts of the two words.
+Here c(v,w) comes from the filter; c(v) and c(w) come from a broadcast table of the ``VOCABULARY`` most frequent words, and from
+the filter for all other words.  The base score has exact counts of all words: those outside the table meet the full
+counts in a join on the word, which only numbers pass, never texts.
 
-The filter has ``BITS`` bits for each entry, in blocks of 128 kB that are built apart, one task for a few blocks.
-Segments of at most ``SEGMENT_BYTES`` are broadcast.  If the corpus needs more than one segment, each is
-broadcast in a pass of its own: a bigram belongs to one block, so corrections add up over segments.
+Counting is one pass over the training texts.  Each task sorts the n-grams that it has seen and sends them on as packed arrays, cut
+into blocks by ranges of their hashes; one task for each block adds up the counts and builds that block's part of the filter, so there is
+about one block for each ``BLOCK_TEXT`` bytes of training text and none depends on the size of the whole.
 
-Counts of words are exact.  The ``VOCABULARY`` most frequent words have theirs in a broadcast table; the others of each
-document meet the full count table in a shuffled join, and come back to the document before its bigrams are looked up.
-Which words are in the broadcast table makes no difference to the scores.
+Scoring is one pass over all texts, whatever the size of the filter.  A filter of at most ``BROADCAST_BYTES`` is broadcast to the workers.  A
+larger one stays in its blocks: each task asks for the distinct n-grams of ``PART_BYTES`` of text at a time, requests go to the
+blocks, and levels come back to the part.  Both ways give the same levels.
 
 Defined results: null and empty texts have the end token alone; a null doc_id is in the training folds; an empty
-training set has N = V = 0, so every token has P1 = 0.5/0.5 and the base score is 0; repeated rows count and are
-scored as often as they stand there.  Words are told apart by 62 bits of XXH64, bigrams by 58 bits of a mix of two of these.
+training set has N = V = 0, so every token has P1 = 0.5/0.5 and both scores are 0; repeated rows count and are
+scored as often as they stand there.  N-grams are told apart by 64 bits of a mix of XXH64 hashes of words.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import _parse_datatype_string as ddl
 
-from ._common import LOWER_AZ, Workspace, table
+from ._common import Workspace, parts_of, table, word_codes
 
-VOCABULARY = 1 << 17
+VOCABULARY = 1 << 18
 ALPHA = 200.0
 BITS = 12
 PROBES = 6
-BLOCK_BITS = 1 << 20
-SEGMENT_BYTES = 64 << 20
-_END = b"\n"  # no word can be this
-_CACHE_WORDS = 1_000_000
-#: Marks a word that is not in memory; no hash.
-_NEW = -(1 << 63)
+BLOCK_TEXT = 16 << 20
+BROADCAST_BYTES = 128 << 20
+PART_BYTES = 4 << 20
+#: N-grams that a task holds before it sorts them and sends them on.
+HELD_GRAMS = 4_000_000
+END_HASH = xxhash.xxh64_intdigest("\n")  # no word can be this
+_WORD_SEED = np.uint64(0x9E3779B97F4A7C15)
+_BINS = 256
+_MODEL = "block int, bits binary, words binary, counts binary, tokens bigint, types bigint, bins array<bigint>"
 
 
-def _hash(word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word) >> 2  # 62 bits, so a hash is a long, and none is _NEW
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-END_HASH = _hash(_END)
+def _pairs(before: np.ndarray, now: np.ndarray) -> np.ndarray:
+    """Keys of bigrams, from the hashes of their words."""
+    return _mix(_mix(before) + now)
 
 
-class Words:
-    """A worker's memory of word hashes; emptied when full, so it stays bounded."""
+def _singles(words: np.ndarray) -> np.ndarray:
+    """Keys of words as n-grams of order one."""
+    return _mix(words ^ _WORD_SEED)
 
-    def __init__(self):
-        self.memo = {}
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        """The hash of each word, the end left out."""
-        words = text.encode("utf-8", "surrogatepass").translate(LOWER_AZ).split() if text else []
-        codes = np.fromiter(map(self.memo.get, words, repeat(_NEW)), np.int64, len(words))
-        new = np.flatnonzero(codes == _NEW).tolist()
-        if new:
-            if len(self.memo) > _CACHE_WORDS:
-                self.memo.clear()
-            for i in new:
-                codes[i] = self.memo[words[i]] = _hash(words[i])
-        return codes
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct tokens of some texts (the first is the end), the number of each token in text order, end tokens
+    included, and how many each text has."""
+    words, codes, many = word_codes(texts)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return np.concatenate([np.array([END_HASH], np.uint64), hashes]), np.insert(codes + 1, np.cumsum(many), 0), many + 1
 
 
-_WORDS: dict[str, Words] = {}
+def _before(codes: np.ndarray) -> np.ndarray:
+    """The token before each; before a text's first word stands an end."""
+    return np.concatenate([np.zeros(1, codes.dtype), codes[:-1]])
 
 
-def words_for(run: str) -> Words:
-    """The worker's memory for one run, kept from task to task (of the module: what a shipped function names is copied)."""
-    if run not in _WORDS:
-        _WORDS.clear()
-        _WORDS[run] = Words()
-    return _WORDS[run]
+def _cuts(blocks: int) -> np.ndarray:
+    """The least key of each block but the first."""
+    return np.array([-(-(k << 64) // blocks) for k in range(1, blocks)], np.uint64)
 
 
-def _tally(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
+def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and how often they occur."""
+    if counts is None:
+        keys = np.sort(keys)
+        counts = np.ones(len(keys), np.int64)
+    else:
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _counted(frame: DataFrame, keys_of, name: str) -> DataFrame:
-    """(name, c): how often each key occurs; ``keys_of`` makes, in the worker, a function from text to keys.
+def train_fold(doc_id: Column, folds: int = 5) -> Column:
+    """True for training rows: crc32 of the id as text, modulo ``folds``, is not 1 (a null id trains)."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds != 1, F.lit(True))
 
-    Keys are counted in each task before anything is shuffled, in memory bounded by about a million keys.
-    """
 
-    def count(batches):
-        keys, parts, size = keys_of(), [], 0
+def _places(keys: np.ndarray, level: int, probe: int, size: np.ndarray) -> np.ndarray:
+    """The bit of a block of ``size`` bits that a probe of (n-gram, level) looks at."""
+    h = _mix(keys + np.uint64(level * int(_WORD_SEED) & 0xFFFFFFFFFFFFFFFF))
+    return (((h + np.uint64(probe) * ((h << np.uint64(32)) | np.uint64(1 << 32))) >> np.uint64(32)) * size) >> np.uint64(32)
 
-        def flush():
-            k, n = _tally(parts)
-            return pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], names=[name, "c"])
 
-        for batch in batches:
-            held, width = [], 0
-            for value in batch.column(0):
-                held.append(keys(value.as_py()))
-                width += len(held[-1])
-                if width > 400_000:
-                    parts.append(np.unique(np.concatenate(held), return_counts=True))
-                    size, held, width = size + len(parts[-1][0]), [], 0
-                    if size > 1_500_000:
-                        parts = [_tally(parts)]
-                        size = len(parts[0][0])
-                        if size > 750_000:
-                            yield flush()
-                            parts, size = [], 0
-            if held:
-                parts.append(np.unique(np.concatenate(held), return_counts=True))
-                size += len(parts[-1][0])
-        if parts:
-            yield flush()
+def filter_of(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The packed bits of a block: every n-gram with all its levels, ``BITS`` bits for each entry."""
+    levels = np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64) + 1
+    size = max(64, -(-int(levels.sum()) * BITS // 64) * 64)
+    if size >= 1 << 32:
+        raise ValueError("a block of the filter is too large: lower BLOCK_TEXT")
+    bits = np.zeros(size, np.uint8)
+    for q in range(1, int(levels.max(initial=0)) + 1):
+        at = keys[levels >= q]
+        for p in range(PROBES):
+            bits[_places(at, q, p, np.uint64(size)).astype(np.int64)] = 1
+    return np.packbits(bits)
+
+
+def levels_in(keys: np.ndarray, bits: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Quantised levels of n-grams by repeated membership probes; ``begin`` and ``size`` give the first byte and the number of bits of the
+    block of each."""
+    out, left = np.zeros(len(keys), np.uint8), np.arange(len(keys))
+    for q in range(1, 64):
+        for p in range(PROBES):
+            at = _places(keys[left], q, p, size[left])
+            byte = bits[begin[left] + (at >> np.uint64(3)).astype(np.int64)]
+            left = left[(byte >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1]
+            if not len(left):
+                return out
+        out[left] = q
+    return out
 
-    return frame.select("text").mapInArrow(count, f"{name} long, c long").groupBy(name).agg(F.sum("c").alias("c"))
 
+def _read(level: np.ndarray) -> np.ndarray:
+    """The count that a level stands for."""
+    level = level.astype(np.float64)
+    return np.where(level > 1, np.exp2(level - 0.5), level)
 
-def train_fold(doc_id: Column, folds: int = 5) -> Column:
-    """True for training rows: crc32 of the id as text, modulo ``folds``, is not 1 (a null id trains)."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds != 1, F.lit(True))
+
+def quantised(c: int) -> float:
+    """What the filter gives back for a count."""
+    return float(_read(np.array([1 + int(math.log2(c)) if c else 0]))[0])
 
 
 class Model:
     """What scoring needs: totals, counts of frequent words, and the filter's blocks in the shared folder."""
 
-    def __init__(self, work: Workspace, train: DataFrame, vocabulary: int = VOCABULARY, alpha: float = ALPHA, block_bits: int = BLOCK_BITS, segment_bytes: int = SEGMENT_BYTES):
-        self.alpha, self.spark, self.block_bits, self.segment_bytes = alpha, train.sparkSession, block_bits, segment_bytes
-
-        run = work.root
+    def __init__(self, work: Workspace, train: DataFrame, vocabulary: int = VOCABULARY, alpha: float = ALPHA, block_text: int = BLOCK_TEXT):
+        self.alpha, self.work = alpha, work
+        nbytes = train.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        blocks = self.blocks = max(1, -(-nbytes // block_text))
+        cuts = _cuts(blocks)
 
-        def hashes():
-            words = words_for(run)
-            return lambda text: np.append(words(text), END_HASH)
+        def count(batches):
+            pairs, singles, held = [], [], 0
 
-        self.counts = work.save(_counted(train, hashes, "h"), "unigrams")
-        total = self.counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-        self.tokens, self.types = total["n"], total["v"]
+            def flush():
+                parts = [(*_summed(np.concatenate(pairs)), False), (*_summed(np.concatenate(singles)), True)]
+                for keys, counts, single in parts:
+                    keyed = _singles(keys) if single else keys  # a word's block goes by its key as an n-gram
+                    if single:
+                        order = np.argsort(keyed)
+                        keys, counts, keyed = keys[order], counts[order], keyed[order]
+                    ends = np.concatenate([[0], np.searchsorted(keyed, cuts), [len(keyed)]])
+                    full = np.flatnonzero(np.diff(ends)).tolist()
+                    sides = [[x[ends[b] : ends[b + 1]].astype(kind).tobytes() for b in full] for x, kind in ((keys, "<u8"), (counts, "<u4"))]
+                    yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([single] * len(full), pa.bool_()), *[pa.array(s, pa.binary()) for s in sides]], names=["block", "single", "keys", "counts"])
+
+            for batch in batches:
+                for begin, many in parts_of(batch.column(0), PART_BYTES):
+                    hashes, codes, _ = tokens_of(batch.column(0).slice(begin, many))
+                    stream = hashes[codes]
+                    pairs.append(_pairs(hashes[_before(codes)], stream))
+                    singles.append(stream)
+                    held += len(stream)
+                    if held >= HELD_GRAMS:
+                        yield from flush()
+                        pairs, singles, held = [], [], 0
+            if held:
+                yield from flush()
+
+        def build(batches):
+            got: dict = {}
+            for batch in batches:
+                for block, single, keys, counts in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
+                    got.setdefault(block, ([], []))[single].append((np.frombuffer(keys, "<u8"), np.frombuffer(counts, "<u4").astype(np.int64)))
+            for block, kinds in got.items():
+                (pairs, n), (words, c) = (_summed(*map(np.concatenate, zip(*rows, strict=True))) if rows else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for rows in kinds)
+                bits = filter_of(np.concatenate([pairs, _singles(words)]), np.concatenate([n, c]))
+                bins = np.bincount(np.floor(4 * np.log2(c)).astype(np.int64), minlength=_BINS)
+                row = {"block": block, "bits": bits.tobytes(), "words": words.tobytes(), "counts": c.tobytes(), "tokens": int(c.sum()), "types": len(c), "bins": bins.tolist()}
+                yield pa.RecordBatch.from_pylist([row], pa.schema([("block", pa.int32()), ("bits", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64()), ("bins", pa.list_(pa.int64()))]))
+
+        grams = train.select("text").mapInArrow(count, "block int, single boolean, keys binary, counts binary")
+        self.table = work.save(grams.repartitionById(blocks, F.col("block")).mapInArrow(build, _MODEL), "model", codec="none")
+        sums = self.table.select(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("types"), F.lit(0)).alias("v"), F.coalesce(F.sum(F.octet_length("bits")), F.lit(0)).alias("bytes")).first()
+        self.tokens, self.types, self.bytes = sums
+        self.z = self.tokens + 0.5 * (self.types + 1)
         # frequent: all words from a count on, the lowest at which they are no more than the vocabulary
-        bins = {r["bin"]: r["n"] for r in self.counts.groupBy(F.floor(4 * F.log2("c")).cast("int").alias("bin")).agg(F.count("*").alias("n")).collect()}
-        cut, held = None, 0
+        bins = {r["bin"]: r["n"] for r in self.table.select(F.posexplode("bins").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n")).collect()}
+        cut, held = _BINS, 0
         for b in sorted(bins, reverse=True):
             held += bins[b]
             if held > vocabulary:
                 break
             cut = b
-        frequent = self.counts.where((F.floor(4 * F.log2("c")) >= cut) if cut is not None else F.lit(False)).orderBy("h").collect()
-        self.frequent = np.array([r["h"] for r in frequent], np.int64), np.array([r["c"] for r in frequent], np.int64)
-        self.z = self.tokens + 0.5 * (self.types + 1)
-        self._filter(work, train)
-
-    def _filter(self, work: Workspace, train: DataFrame) -> None:
-        run = work.root
-
-        def bigrams():
-            words = words_for(run)
-            return lambda text: _pairs(*_neighbours(words(text)))
-
-        pairs = _counted(train, bigrams, "g").select("g", (F.floor(F.log2("c")) + 1).cast("int").alias("level"))
-        pairs = work.save(pairs, "bigrams")
-        entries = pairs.agg(F.coalesce(F.sum("level"), F.lit(0))).first()[0]
-        self.blocks = max(1, math.ceil(entries * BITS / self.block_bits))
-        blocks, block_bits = self.blocks, self.block_bits
-
-        def build(key, rows):
-            bits = np.zeros(block_bits, np.uint8)
-            g, level = rows.column("g").to_numpy(), rows.column("level").to_numpy()
-            for q in range(1, int(level.max()) + 1):
-                at = g[level >= q]
-                for p in range(PROBES):
-                    bits[_spot(at, q, p, block_bits)] = 1
-            return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["block", "bits"])
-
-        placed = pairs.withColumn("block", F.pmod(F.xxhash64("g"), F.lit(blocks)).cast("int"))
-        self.bits = work.save(placed.groupBy("block").applyInArrow(build, "block int, bits binary"), "filter")
-        work.drop("bigrams")
-
-    def segments(self):
-        """Broadcasts the filter, a bounded number of blocks at a time."""
-        per = max(1, self.segment_bytes * 8 // self.block_bits)
-        for first in range(0, self.blocks, per):
-            rows = self.bits.where((F.col("block") >= first) & (F.col("block") < first + per)).collect()
-            bits = np.zeros((min(per, self.blocks - first), self.block_bits // 8), np.uint8)
-            for r in rows:
-                bits[r["block"] - first] = np.frombuffer(r["bits"], np.uint8)
-            yield first, bits
-
-
-def _neighbours(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The previous word and the word of each bigram of one text, from the end token before it to its own."""
-    return np.concatenate([[END_HASH], words]), np.concatenate([words, [END_HASH]])
-
-
-def _pairs(before: np.ndarray, now: np.ndarray) -> np.ndarray:
-    """Keys of bigrams."""
-    return _mix(_mix(before.view(np.uint64)) + now.view(np.uint64)).view(np.int64)
-
-
-def _read(level: np.ndarray, before: np.ndarray, now: np.ndarray) -> np.ndarray:
-    """The count that a level stands for; no bigram occurs more often than its words."""
-    return np.where(level > 0, np.minimum(np.where(level > 1, np.exp2(level - 0.5), 1.0), np.minimum(before, now)), 0.0)
-
-
-def quantised(c: int, before: int, now: int) -> float:
-    """What the filter gives back for a bigram of count c, whose words have the given counts."""
-    return float(_read(np.array([1 + int(math.log2(c)) if c else 0]), np.array([before]), np.array([now]))[0])
-
-
-def _counts(h: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The counts of words by sorted keys; 0 for a word that has none there."""
-    if not len(keys):
-        return np.zeros(len(h), np.int64)
-    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-    return np.where(keys[at] == h, counts[at], 0)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _spot(g: np.ndarray, level: int, probe: int, block_bits: int) -> np.ndarray:
-    """The bit of a block that a probe of (bigram, level) looks at."""
-    h = _mix(g.astype(np.uint64) * np.uint64(64) + np.uint64(level))
-    return ((h + np.uint64(probe) * ((h >> np.uint64(32)) | np.uint64(1))) & np.uint64(block_bits - 1)).astype(np.int64)
-
-
-def _levels(g: np.ndarray, row: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Quantised levels of bigrams in given rows of the filter, by repeated membership probes."""
-    out, left = np.zeros(len(g), np.int64), np.arange(len(g))
-    for q in range(1, 63):
-        for p in range(PROBES):
-            at = _spot(g[left], q, p, bits.shape[1] * 8)
-            left = left[(bits[row[left], at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
-            if not len(left):
-                return out
-        out[left] = q
-    return out
+        found = self.words(cut).orderBy("h").collect()
+        h, c = np.array([r["h"] for r in found], np.int64).view(np.uint64), np.array([r["c"] for r in found], np.int64)
+        order = np.argsort(h)
+        self.frequent = h[order], c[order]
+        self.cut = cut
+
+    def words(self, low: int = 0, below: int = _BINS) -> DataFrame:
+        """(h, c) of the words whose counts lie in the given bins."""
+
+        def unpack(batches):
+            for batch in batches:
+                for words, counts in zip(batch.column(0), batch.column(1), strict=True):
+                    h, c = np.frombuffer(words.as_buffer(), "<i8"), np.frombuffer(counts.as_buffer(), "<i8")
+                    at = np.floor(4 * np.log2(c))
+                    keep = (at >= low) & (at < below)
+                    yield pa.RecordBatch.from_arrays([pa.array(h[keep]), pa.array(c[keep])], names=["h", "c"])
+
+        return self.table.select("words", "counts").mapInArrow(unpack, "h long, c long")
+
+    def filter(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The whole filter, and the first byte and the number of bits of each block."""
+        rows = {r["block"]: r["bits"] for r in self.table.select("block", "bits").collect()}
+        sizes = np.array([len(rows.get(b, b"\0" * 8)) for b in range(self.blocks)], np.int64)
+        bits = np.concatenate([np.frombuffer(rows.get(b, b"\0" * 8), np.uint8) for b in range(self.blocks)])
+        return bits, np.cumsum(sizes) - sizes, (sizes * 8).astype(np.uint64)
+
+
+class Part:
+    """Some texts: their distinct n-grams, and what a score needs beside the levels of these."""
+
+    def __init__(self, texts: pa.Array, frequent: tuple[np.ndarray, np.ndarray]):
+        hashes, codes, self.many = tokens_of(texts)
+        keys, counts = frequent
+        at = np.minimum(np.searchsorted(keys, hashes), max(len(keys) - 1, 0))
+        known = keys[at] == hashes if len(keys) else np.zeros(len(hashes), bool)
+        #: counts of words in the table, -1 for others
+        self.counts = np.where(known, counts[at], -1) if len(keys) else np.full(len(hashes), -1)
+        pair = _before(codes) * np.int64(len(hashes)) + codes
+        order = np.argsort(pair)
+        new = np.concatenate([[True], pair[order[1:]] != pair[order[:-1]]])
+        self.turn = np.empty(len(pair), np.int32)
+        self.turn[order] = np.cumsum(new, dtype=np.int32) - 1
+        first = pair[order[new]]
+        self.before, self.now = (first // len(hashes)).astype(np.int32), (first % len(hashes)).astype(np.int32)
+        rare = np.flatnonzero(~known)
+        grams = np.concatenate([_pairs(hashes[self.before], hashes[self.now]), _singles(hashes[rare])])
+        self.order = np.argsort(grams)
+        self.keys = grams[self.order]  # in the order of blocks
+        self.rare = rare
+        # the words outside the table, for their exact counts
+        out = np.flatnonzero(self.counts[codes] < 0)
+        row = np.repeat(np.arange(len(self.many)), self.many)[out]
+        word, n = np.unique(row * np.int64(len(hashes)) + codes[out], return_counts=True)
+        ends = np.searchsorted(word, np.arange(len(self.many) + 1) * np.int64(len(hashes))).astype(np.int32)
+        lists = (hashes[word % len(hashes)].view(np.int64), n.astype(np.int64))
+        self.others = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in lists]
+        begins = np.cumsum(self.many) - self.many
+        exact = np.log10(np.maximum(self.counts, 0) + 0.5)[codes]  # a word outside the table counts as unseen until it meets its count
+        self.base = np.add.reduceat(exact, begins)
+        self.seen = np.add.reduceat((self.counts > 0)[codes].astype(np.int64), begins)
+
+    def state(self) -> dict[str, bytes]:
+        return {k: getattr(self, k).tobytes() for k in ("turn", "before", "now", "order", "rare", "counts")}
+
+    @staticmethod
+    def scores(state: dict[str, np.ndarray], levels: np.ndarray, many: np.ndarray, alpha: float, z: float) -> np.ndarray:
+        """log10 probabilities of the texts, from the levels of the keys."""
+        got = np.empty(len(levels))
+        got[state["order"]] = _read(levels)
+        pairs = len(state["before"])
+        c = state["counts"].astype(np.float64)
+        c[state["rare"]] = got[pairs:]
+        before, now = c[state["before"]], c[state["now"]]
+        both = np.minimum(got[:pairs], np.minimum(before, now))  # no bigram occurs more often than its words
+        logs = np.log10(both + alpha * ((now + 0.5) / z)) - np.log10(before + alpha)
+        return np.add.reduceat(logs[state["turn"]], np.cumsum(many) - many)
+
+
+_KINDS = {"turn": np.int32, "before": np.int32, "now": np.int32, "order": np.int64, "rare": np.int64, "counts": np.int64}
+
+
+def score(docs: DataFrame, folds: int = 5, broadcast_bytes: int = BROADCAST_BYTES, part_bytes: int = PART_BYTES, **how) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``."""
+    work = Workspace(docs.sparkSession, "lm")
+    rows = docs.select("doc_id", "text", train_fold(F.col("doc_id"), folds).alias("train"))
+    model = Model(work, rows.where("train"), **how)
+    one = _scored_by_broadcast if model.bytes <= broadcast_bytes else _scored_by_blocks
+    scored = work.save(one(rows, model, work, part_bytes).withColumn("row", F.monotonically_increasing_id()), "scored")
+    # exact counts of the words outside the table; the rows have no texts any more
+    met = scored.select("row", F.explode(F.arrays_zip("h", "tf")).alias("x")).select("row", "x.h", "x.tf").join(model.words(below=model.cut), "h")
+    more = met.groupBy("row").agg(F.sum(F.col("tf") * (F.log10(F.col("c") + 0.5) - math.log10(0.5))).alias("more"), F.sum("tf").alias("also"))
+    base = F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n") * F.lit(math.log10(model.z))
+    return scored.drop("h", "tf").join(more, "row", "left").select(
+        "doc_id", (~F.col("train")).alias("held_out"), F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("also", F.lit(0))).alias("n_known"),
+        F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score",
+    )
 
 
-def _spark_xxhash64(g: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64 of a long (XXH64 of its 8 bytes, seed 42), vectorised."""
-    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-    rot = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
-    h = np.uint64(42) + p5 + np.uint64(8)
-    h = rot(h ^ (rot(g.astype(np.uint64) * p2, 31) * p1), 27) * p1 + p4
-    h = (h ^ (h >> np.uint64(33))) * p2
-    h = (h ^ (h >> np.uint64(29))) * p3
-    return (h ^ (h >> np.uint64(32))).view(np.int64)
+def _result(key: StructField) -> StructType:
+    return StructType([key, *ddl("train boolean, n bigint, base double, known bigint, score double, h array<bigint>, tf array<bigint>").fields])
 
 
-def score(docs: DataFrame, folds: int = 5, **how) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``."""
-    spark, work = docs.sparkSession, Workspace(docs.sparkSession, "lm")
-    rows = docs.select("doc_id", "text").withColumn("train", train_fold(F.col("doc_id"), folds))
-    model = Model(work, rows.where("train"), **how)
-    alpha, blocks, z, run = model.alpha, model.blocks, model.z, work.root
-    held = spark.sparkContext.broadcast(model.frequent)
-
-    def others(texts):
-        """The words of each text that are not in the broadcast table, once each."""
-        keys, words, out = held.value[0], words_for(run), []
-        for value in texts:
-            h = np.unique(np.append(words(value.as_py()), END_HASH))
-            at = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
-            out.append(h[keys[at] != h] if len(keys) else h)
-        return pa.array(out, pa.list_(pa.int64()))
-
-    frame = work.save(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("h", F.arrow_udf(others, "array<bigint>")(F.col("text"))), "texts")
-    met = frame.select("row", F.explode("h").alias("h")).join(model.counts, "h")
-    rare = met.groupBy("row").agg(F.collect_list("h").alias("rare"), F.collect_list("c").alias("rare_c"))
-    frame = frame.drop("h").join(rare, "row", "left")
-    ddl = "struct<gain:double,n:bigint,base:double,known:bigint>"
-    first_pass, last_name = True, "texts"
-    for first, bits in model.segments():
-        segment = spark.sparkContext.broadcast(bits)
-
-        def look(texts, rare, rare_counts, first=first, segment=segment, whole=first_pass):
-            bits, words = segment.value, words_for(run)
-            gains, sizes, base, known, codes, near, width = [], [], [], [], [], [], 0
+def _scored_by_broadcast(rows: DataFrame, model: Model, work: Workspace, part_bytes: int) -> DataFrame:
+    spark, alpha, z, cuts = rows.sparkSession, model.alpha, model.z, _cuts(model.blocks)
+    table, whole = spark.sparkContext.broadcast(model.frequent), spark.sparkContext.broadcast(model.filter())
 
-            def flush():
-                """Texts are looked up together: pairs of all of them, each distinct pair once."""
-                before, now = (np.concatenate(x) for x in zip(*map(_neighbours, codes), strict=True))
-                keys, at = np.unique(np.concatenate([h for h, _ in near]), return_index=True)
-                some = keys, np.concatenate([c for _, c in near])[at]
-                count = lambda h: _counts(h, *held.value) + _counts(h, *some)  # noqa: E731  no word is in both
-                pairs, at, turn = np.unique(_pairs(before, now), return_index=True, return_inverse=True)
-                counts = count(now[at])
-                probs = (counts + 0.5) / z
-                block = _spark_xxhash64(pairs) % np.int64(blocks) - first
-                mine = np.flatnonzero((block >= 0) & (block < len(bits)))
-                level, gain = _levels(pairs[mine], block[mine], bits), np.zeros(len(pairs))
-                context, own = count(before[at[mine]]), probs[mine]
-                c = _read(level, context, counts[mine])
-                gain[mine] = np.log10(c + alpha * own) - np.log10(context + alpha) - np.log10(own)
-                begins = np.cumsum([0, *[len(c) + 1 for c in codes[:-1]]])
-                gains.append(np.add.reduceat(gain[turn], begins))
-                if whole:
-                    sizes.extend(len(c) + 1 for c in codes)
-                    base.append(np.add.reduceat(np.log10(counts + 0.5)[turn], begins))
-                    known.append(np.add.reduceat((counts > 0).astype(np.int64)[turn], begins))
-                codes.clear()
-                near.clear()
-
-            empty = np.zeros(0, np.int64)
-            for value, h, c in zip(texts, rare, rare_counts, strict=True):
-                codes.append(words(value.as_py()))
-                near.append((h.values.to_numpy(), c.values.to_numpy()) if h.is_valid else (empty, empty))
-                width += len(codes[-1])
-                if width > 200_000:
-                    flush()
-                    width = 0
-            if codes:
-                flush()
-            gained = pa.array(np.concatenate(gains) if gains else np.zeros(0))
-            if not whole:
-                return gained
-            rest = [pa.array(sizes, pa.int64()), pa.array(np.concatenate(base) if base else np.zeros(0)), pa.array(np.concatenate(known) if known else empty, pa.int64())]
-            return pa.StructArray.from_arrays([gained, *rest], names=["gain", "n", "base", "known"])
-
-        seen = F.arrow_udf(look, ddl if first_pass else "double")(F.col("text"), F.col("rare"), F.col("rare_c"))
-        if first_pass:
-            frame = frame.withColumn("s", seen).withColumn("gain", F.col("s.gain"))
-        else:
-            frame = frame.withColumn("t", seen).withColumn("gain", F.col("gain") + F.col("t")).drop("t")
-        if first + len(bits) >= blocks:
-            frame = frame.select("doc_id", "train", "gain", "s.n", "s.base", "s.known")
-        frame = work.save(frame, f"scored{first}")
-        work.drop(last_name)
-        first_pass, last_name = False, f"scored{first}"
-    base = F.col("base") - F.col("n") * F.lit(math.log10(z))
-    return frame.select(
-        "doc_id", (~F.col("train")).alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"),
-    )
+    def look(batches):
+        bits, begin, size = whole.value
+        for batch in batches:
+            for at, many in parts_of(batch.column(1), part_bytes):
+                p = Part(batch.column(1).slice(at, many), table.value)
+                block = np.searchsorted(cuts, p.keys, side="right")
+                levels = levels_in(p.keys, bits, begin[block], size[block])
+                score = Part.scores({k: getattr(p, k) for k in _KINDS}, levels, p.many, alpha, z)
+                arrays = [batch.column(0).slice(at, many), batch.column(2).slice(at, many), pa.array(p.many), pa.array(p.base), pa.array(p.seen), pa.array(score), *p.others]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "train", "n", "base", "known", "score", "h", "tf"])
+
+    return rows.mapInArrow(look, _result(rows.schema["doc_id"]))
+
+
+def _scored_by_blocks(rows: DataFrame, model: Model, work: Workspace, part_bytes: int) -> DataFrame:
+    """The same scores from a filter that is too large to broadcast: requests go to its blocks, levels come back."""
+    spark, alpha, z, cuts = rows.sparkSession, model.alpha, model.z, _cuts(model.blocks)
+    table = spark.sparkContext.broadcast(model.frequent)
+    result = _result(rows.schema["doc_id"])
+    texts = StructType([f for f in result if f.name != "score"])
+    blobs = ", ".join(f"{k} binary" for k in _KINDS)
+    kind = StructType([*ddl("part bigint, at int, block int, keys binary").fields, *texts.fields, *ddl(blobs).fields])
+
+    def ask(batches):
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for at, many in parts_of(batch.column(1), part_bytes):
+                p = Part(batch.column(1).slice(at, many), table.value)
+                ends = np.concatenate([[0], np.searchsorted(p.keys, cuts), [len(p.keys)]])
+                full = np.flatnonzero(np.diff(ends)).tolist()
+                asked = len(full)
+                own = [batch.column(0).slice(at, many), batch.column(2).slice(at, many), pa.array(p.many), pa.array(p.base), pa.array(p.seen), *p.others]
+                state = {k: pa.array([v], pa.binary()) for k, v in p.state().items()}
+                # requests, then a row for each text, the first of which carries the state of the part
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number] * asked, pa.int64()), pa.nulls(asked, pa.int32()), pa.array(full, pa.int32()), pa.array([p.keys[ends[b] : ends[b + 1]].tobytes() for b in full], pa.binary()), *[pa.nulls(asked, x.type) for x in own], *[pa.nulls(asked, pa.binary())] * len(_KINDS)],
+                    names=kind.names,
+                )
+                yield pa.RecordBatch.from_arrays([pa.array([number] * many, pa.int64()), pa.array(range(many), pa.int32()), pa.nulls(many, pa.int32()), pa.nulls(many, pa.binary()), *own, *[pa.concat_arrays([state[k], pa.nulls(many - 1, pa.binary())]) for k in _KINDS]], names=kind.names)
+                number += 1
+
+    asked = work.save(rows.mapInArrow(ask, kind), "asked")
+    requests, parts = asked.where("block IS NOT NULL").select("part", "block", "keys"), asked.where("block IS NULL").drop("block", "keys")
+
+    def answer(key, requests, blocks):
+        if not len(requests):
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int32()), pa.array([], pa.binary())], names=["part", "block", "levels"])
+        bits = np.frombuffer(blocks.column("bits")[0].as_py() if len(blocks) else b"\0" * 8, np.uint8)  # a block without n-grams has no row
+        size = np.uint64(8 * len(bits))
+        sent = requests.column("keys").to_pylist()
+        keys = np.frombuffer(b"".join(sent), "<u8")
+        levels = levels_in(keys, bits, np.zeros(len(keys), np.int64), np.full(len(keys), size)).tobytes()
+        ends = np.cumsum([0, *[len(x) // 8 for x in sent]]).tolist()
+        return pa.table([requests.column("part"), requests.column("block"), pa.array([levels[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["part", "block", "levels"])
+
+    def finish(key, texts, levels):
+        own = texts.sort_by("at")
+        state = {k: np.frombuffer(own.column(k)[0].as_py(), kind) for k, kind in _KINDS.items()}
+        got = sorted(zip(levels.column("block").to_pylist(), levels.column("levels").to_pylist(), strict=True))
+        score = Part.scores(state, np.frombuffer(b"".join(x for _, x in got), np.uint8), own.column("n").to_numpy(), alpha, z)
+        return pa.table([own.column(k) if k != "score" else pa.array(score) for k in result.names], names=result.names)
+
+    answers = requests.groupBy("block").cogroup(model.table.select("block", "bits").groupBy("block")).applyInArrow(answer, "part long, block int, levels binary")
+    return parts.groupBy("part").cogroup(work.save(answers, "levels").groupBy("part")).applyInArrow(finish, result)
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

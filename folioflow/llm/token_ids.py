@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from ._common import Workspace, partitions_for, table
+from ._common import Workspace, partitions_for, parts_of, table
 
 END_ID = 1
 SCALE = 20
@@ -199,17 +199,6 @@ def cache_of(path: str) -> WordCache:
     return _CACHES[path]
 
 
-def parts_of(texts: pa.Array, limit: int = PART_BYTES):
-    """Slices (begin, length) of a batch with about ``limit`` bytes of text each, one text at least."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    begin = 0
-    while begin < len(texts):
-        base = ends[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(ends, base + limit, side="right")))
-        yield begin, end - begin
-        begin = end
-
-
 def tokenise(docs: DataFrame, path: str, work: Workspace) -> tuple[DataFrame, np.ndarray, int]:
     """doc_id, ids (binary), tie (a hash of the ids), written to the work folder; how often each id occurs in all
     documents; the bytes of an id.  Each task counts its own ids and writes the counts as one more row, which has no ids."""
@@ -219,7 +208,7 @@ def tokenise(docs: DataFrame, path: str, work: Workspace) -> tuple[DataFrame, np
         counts, key = np.zeros(cache.size, np.int64), None
         for batch in batches:
             key = batch.column(0).type
-            for begin, many in parts_of(batch.column(1)):
+            for begin, many in parts_of(batch.column(1), PART_BYTES):
                 ids, sizes = cache.encode(batch.column(1).slice(begin, many))
                 counts += np.bincount(ids, minlength=cache.size)
                 at = np.concatenate([[0], np.cumsum(sizes * cache.kind.itemsize)])
