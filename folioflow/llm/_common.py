@@ -17,6 +17,9 @@ SPACE_CLASS = r"[\x20\x09-\x0D]+"
 #: Lower-cases A-Z in UTF-8 bytes and leaves every other byte as it is.
 LOWER_AZ = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
+#: Lets a write's shuffle files go when it has ended, not when the driver happens to collect its garbage.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables; Spark's own reader, so any store that Spark knows will do."""
@@ -53,8 +56,13 @@ class Workspace:
 
     def save(self, frame: DataFrame, name: str, codec: str = "zstd", partition_by: list[str] | None = None) -> DataFrame:
         path = f"{self.root}/{name}"
-        writer = frame.write.mode("overwrite").option("compression", codec)
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        before = self.spark.conf.get(_CLEAN_UP, "false")
+        self.spark.conf.set(_CLEAN_UP, "true")  # the written table stands for the frame from here on
+        try:
+            writer = frame.write.mode("overwrite").option("compression", codec)
+            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        finally:
+            self.spark.conf.set(_CLEAN_UP, before)
         return self.load(name, frame.schema if not partition_by else None)
 
     def load(self, name: str, schema=None) -> DataFrame:

@@ -44,7 +44,7 @@ ALPHA = 200.0
 BITS = 12
 PROBES = 6
 BLOCK_TEXT = 16 << 20
-BROADCAST_BYTES = 128 << 20
+BROADCAST_BYTES = 64 << 20
 PART_BYTES = 4 << 20
 #: N-grams that a task holds before it sorts them and sends them on.
 HELD_GRAMS = 4_000_000
@@ -233,11 +233,15 @@ class Model:
         return self.table.select("words", "counts").mapInArrow(unpack, "h long, c long")
 
     def filter(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The whole filter, and the first byte and the number of bits of each block."""
-        rows = {r["block"]: r["bits"] for r in self.table.select("block", "bits").collect()}
-        sizes = np.array([len(rows.get(b, b"\0" * 8)) for b in range(self.blocks)], np.int64)
-        bits = np.concatenate([np.frombuffer(rows.get(b, b"\0" * 8), np.uint8) for b in range(self.blocks)])
-        return bits, np.cumsum(sizes) - sizes, (sizes * 8).astype(np.uint64)
+        """The whole filter, and the first byte and the number of bits of each block; the blocks come one after the other."""
+        sizes = np.full(self.blocks, 8, np.int64)  # a block without n-grams has no row
+        for r in self.table.select("block", F.octet_length("bits").alias("n")).collect():
+            sizes[r["block"]] = r["n"]
+        begin = np.cumsum(sizes) - sizes
+        bits = np.zeros(int(sizes.sum()), np.uint8)
+        for r in self.table.select("block", "bits").toLocalIterator():
+            bits[begin[r["block"]] : begin[r["block"]] + sizes[r["block"]]] = np.frombuffer(r["bits"], np.uint8)
+        return bits, begin, (sizes * 8).astype(np.uint64)
 
 
 class Part:
@@ -253,15 +257,17 @@ class Part:
         pair = _before(codes) * np.int64(len(hashes)) + codes
         order = np.argsort(pair)
         new = np.concatenate([[True], pair[order[1:]] != pair[order[:-1]]])
-        self.turn = np.empty(len(pair), np.int32)
-        self.turn[order] = np.cumsum(new, dtype=np.int32) - 1
+        turn = np.empty(len(pair), np.int32)
+        turn[order] = np.cumsum(new, dtype=np.int32) - 1
         first = pair[order[new]]
-        self.before, self.now = (first // len(hashes)).astype(np.int32), (first % len(hashes)).astype(np.int32)
-        rare = np.flatnonzero(~known)
-        grams = np.concatenate([_pairs(hashes[self.before], hashes[self.now]), _singles(hashes[rare])])
-        self.order = np.argsort(grams)
-        self.keys = grams[self.order]  # in the order of blocks
-        self.rare = rare
+        self.rare = np.flatnonzero(~known).astype(np.int32)
+        grams = np.concatenate([_pairs(hashes[first // len(hashes)], hashes[first % len(hashes)]), _singles(hashes[self.rare])])
+        by_key = np.argsort(grams)
+        self.keys = grams[by_key]  # in the order of blocks
+        place = np.empty(len(grams), np.int32)
+        place[by_key] = np.arange(len(grams), dtype=np.int32)
+        #: where the bigram of each token, and each word outside the table, stands among the keys
+        self.turn, self.rare_at, self.codes = place[turn], place[len(first) :], codes.astype(np.int32)
         # the words outside the table, for their exact counts
         out = np.flatnonzero(self.counts[codes] < 0)
         row = np.repeat(np.arange(len(self.many)), self.many)[out]
@@ -274,24 +280,23 @@ class Part:
         self.base = np.add.reduceat(exact, begins)
         self.seen = np.add.reduceat((self.counts > 0)[codes].astype(np.int64), begins)
 
-    def state(self) -> dict[str, bytes]:
-        return {k: getattr(self, k).tobytes() for k in ("turn", "before", "now", "order", "rare", "counts")}
+    def state(self) -> dict[str, np.ndarray]:
+        return {k: getattr(self, k).astype(kind) for k, kind in _KINDS.items()}
 
     @staticmethod
     def scores(state: dict[str, np.ndarray], levels: np.ndarray, many: np.ndarray, alpha: float, z: float) -> np.ndarray:
         """log10 probabilities of the texts, from the levels of the keys."""
-        got = np.empty(len(levels))
-        got[state["order"]] = _read(levels)
-        pairs = len(state["before"])
-        c = state["counts"].astype(np.float64)
-        c[state["rare"]] = got[pairs:]
-        before, now = c[state["before"]], c[state["now"]]
-        both = np.minimum(got[:pairs], np.minimum(before, now))  # no bigram occurs more often than its words
+        got, c, turn = _read(levels), state["counts"].astype(np.float64), state["turn"]
+        c[state["rare"]] = got[state["rare_at"]]
+        before, now = np.zeros(len(got), np.int32), np.zeros(len(got), np.int32)
+        before[turn], now[turn] = _before(state["codes"]), state["codes"]
+        before, now = c[before], c[now]
+        both = np.minimum(got, np.minimum(before, now))  # no bigram occurs more often than its words
         logs = np.log10(both + alpha * ((now + 0.5) / z)) - np.log10(before + alpha)
-        return np.add.reduceat(logs[state["turn"]], np.cumsum(many) - many)
+        return np.add.reduceat(logs[turn], np.cumsum(many) - many)
 
 
-_KINDS = {"turn": np.int32, "before": np.int32, "now": np.int32, "order": np.int64, "rare": np.int64, "counts": np.int64}
+_KINDS = {"turn": np.int32, "codes": np.int32, "rare": np.int32, "rare_at": np.int32, "counts": np.int64}
 
 
 def score(docs: DataFrame, folds: int = 5, broadcast_bytes: int = BROADCAST_BYTES, part_bytes: int = PART_BYTES, **how) -> DataFrame:
@@ -301,6 +306,8 @@ def score(docs: DataFrame, folds: int = 5, broadcast_bytes: int = BROADCAST_BYTE
     model = Model(work, rows.where("train"), **how)
     one = _scored_by_broadcast if model.bytes <= broadcast_bytes else _scored_by_blocks
     scored = work.save(one(rows, model, work, part_bytes).withColumn("row", F.monotonically_increasing_id()), "scored")
+    work.drop("asked")
+    work.drop("levels")
     # exact counts of the words outside the table; the rows have no texts any more
     met = scored.select("row", F.explode(F.arrays_zip("h", "tf")).alias("x")).select("row", "x.h", "x.tf").join(model.words(below=model.cut), "h")
     more = met.groupBy("row").agg(F.sum(F.col("tf") * (F.log10(F.col("c") + 0.5) - math.log10(0.5))).alias("more"), F.sum("tf").alias("also"))
@@ -326,7 +333,7 @@ def _scored_by_broadcast(rows: DataFrame, model: Model, work: Workspace, part_by
                 p = Part(batch.column(1).slice(at, many), table.value)
                 block = np.searchsorted(cuts, p.keys, side="right")
                 levels = levels_in(p.keys, bits, begin[block], size[block])
-                score = Part.scores({k: getattr(p, k) for k in _KINDS}, levels, p.many, alpha, z)
+                score = Part.scores(p.state(), levels, p.many, alpha, z)
                 arrays = [batch.column(0).slice(at, many), batch.column(2).slice(at, many), pa.array(p.many), pa.array(p.base), pa.array(p.seen), pa.array(score), *p.others]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "train", "n", "base", "known", "score", "h", "tf"])
 
@@ -351,7 +358,7 @@ def _scored_by_blocks(rows: DataFrame, model: Model, work: Workspace, part_bytes
                 full = np.flatnonzero(np.diff(ends)).tolist()
                 asked = len(full)
                 own = [batch.column(0).slice(at, many), batch.column(2).slice(at, many), pa.array(p.many), pa.array(p.base), pa.array(p.seen), *p.others]
-                state = {k: pa.array([v], pa.binary()) for k, v in p.state().items()}
+                state = {k: pa.array([v.tobytes()], pa.binary()) for k, v in p.state().items()}
                 # requests, then a row for each text, the first of which carries the state of the part
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number] * asked, pa.int64()), pa.nulls(asked, pa.int32()), pa.array(full, pa.int32()), pa.array([p.keys[ends[b] : ends[b + 1]].tobytes() for b in full], pa.binary()), *[pa.nulls(asked, x.type) for x in own], *[pa.nulls(asked, pa.binary())] * len(_KINDS)],
