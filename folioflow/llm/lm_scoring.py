@@ -88,6 +88,12 @@ def _cuts(blocks: int) -> np.ndarray:
     return np.array([-(-(k << 64) // blocks) for k in range(1, blocks)], np.uint64)
 
 
+def _within(keys: np.ndarray, block: np.ndarray | int, blocks: int) -> np.ndarray:
+    """The 40 bits that tell n-grams of one block apart in the filter: the leading bits of the distance from its least key."""
+    least = np.concatenate([np.zeros(1, np.uint64), _cuts(blocks)])
+    return (keys - least[block]) >> np.uint64(24 - (blocks.bit_length() - 1) if blocks < 1 << 24 else 0)
+
+
 def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order and how often they occur."""
     if counts is None:
@@ -195,7 +201,7 @@ class Model:
                     got.setdefault(block, ([], []))[single].append((np.frombuffer(keys, "<u8"), np.frombuffer(counts, "<u4").astype(np.int64)))
             for block, kinds in got.items():
                 (pairs, n), (words, c) = (_summed(*map(np.concatenate, zip(*rows, strict=True))) if rows else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for rows in kinds)
-                bits = filter_of(np.concatenate([pairs, _singles(words)]), np.concatenate([n, c]))
+                bits = filter_of(_within(np.concatenate([pairs, _singles(words)]), block, blocks), np.concatenate([n, c]))
                 bins = np.bincount(np.floor(4 * np.log2(c)).astype(np.int64), minlength=_BINS)
                 row = {"block": block, "bits": bits.tobytes(), "words": words.tobytes(), "counts": c.tobytes(), "tokens": int(c.sum()), "types": len(c), "bins": bins.tolist()}
                 yield pa.RecordBatch.from_pylist([row], pa.schema([("block", pa.int32()), ("bits", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64()), ("bins", pa.list_(pa.int64()))]))
@@ -254,20 +260,8 @@ class Part:
         known = keys[at] == hashes if len(keys) else np.zeros(len(hashes), bool)
         #: counts of words in the table, -1 for others
         self.counts = np.where(known, counts[at], -1) if len(keys) else np.full(len(hashes), -1)
-        pair = _before(codes) * np.int64(len(hashes)) + codes
-        order = np.argsort(pair)
-        new = np.concatenate([[True], pair[order[1:]] != pair[order[:-1]]])
-        turn = np.empty(len(pair), np.int32)
-        turn[order] = np.cumsum(new, dtype=np.int32) - 1
-        first = pair[order[new]]
-        self.rare = np.flatnonzero(~known).astype(np.int32)
-        grams = np.concatenate([_pairs(hashes[first // len(hashes)], hashes[first % len(hashes)]), _singles(hashes[self.rare])])
-        by_key = np.argsort(grams)
-        self.keys = grams[by_key]  # in the order of blocks
-        place = np.empty(len(grams), np.int32)
-        place[by_key] = np.arange(len(grams), dtype=np.int32)
-        #: where the bigram of each token, and each word outside the table, stands among the keys
-        self.turn, self.rare_at, self.codes = place[turn], place[len(first) :], codes.astype(np.int32)
+        self.hashes, self.codes = hashes, codes.astype(np.int32)
+        self.keys, self.turn, self.rare, self.rare_at = Part.placed(hashes, codes, self.counts)
         # the words outside the table, for their exact counts
         out = np.flatnonzero(self.counts[codes] < 0)
         row = np.repeat(np.arange(len(self.many)), self.many)[out]
@@ -280,23 +274,37 @@ class Part:
         self.base = np.add.reduceat(exact, begins)
         self.seen = np.add.reduceat((self.counts > 0)[codes].astype(np.int64), begins)
 
-    def state(self) -> dict[str, np.ndarray]:
-        return {k: getattr(self, k).astype(kind) for k, kind in _KINDS.items()}
+    @staticmethod
+    def placed(hashes: np.ndarray, codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct keys in order, where the bigram of each token stands among them, the words outside the table, and where these stand."""
+        pair = _before(codes) * np.int64(len(hashes)) + codes
+        order = np.argsort(pair)
+        new = np.concatenate([[True], pair[order[1:]] != pair[order[:-1]]])
+        turn = np.empty(len(pair), np.int32)
+        turn[order] = np.cumsum(new, dtype=np.int32) - 1
+        first, rare = pair[order[new]], np.flatnonzero(counts < 0)
+        grams = np.concatenate([_pairs(hashes[first // len(hashes)], hashes[first % len(hashes)]), _singles(hashes[rare])])
+        by_key = np.lexsort((np.arange(len(grams)), grams))
+        place = np.empty(len(grams), np.int32)
+        place[by_key] = np.arange(len(grams), dtype=np.int32)
+        return grams[by_key], place[turn], rare, place[len(first) :]
 
     @staticmethod
-    def scores(state: dict[str, np.ndarray], levels: np.ndarray, many: np.ndarray, alpha: float, z: float) -> np.ndarray:
+    def scores(placed: tuple, codes: np.ndarray, counts: np.ndarray, levels: np.ndarray, many: np.ndarray, alpha: float, z: float) -> np.ndarray:
         """log10 probabilities of the texts, from the levels of the keys."""
-        got, c, turn = _read(levels), state["counts"].astype(np.float64), state["turn"]
-        c[state["rare"]] = got[state["rare_at"]]
+        _, turn, rare, rare_at = placed
+        got, c = _read(levels), counts.astype(np.float64)
+        c[rare] = got[rare_at]
         before, now = np.zeros(len(got), np.int32), np.zeros(len(got), np.int32)
-        before[turn], now[turn] = _before(state["codes"]), state["codes"]
+        before[turn], now[turn] = _before(codes), codes
         before, now = c[before], c[now]
         both = np.minimum(got, np.minimum(before, now))  # no bigram occurs more often than its words
         logs = np.log10(both + alpha * ((now + 0.5) / z)) - np.log10(before + alpha)
         return np.add.reduceat(logs[turn], np.cumsum(many) - many)
 
 
-_KINDS = {"turn": np.int32, "codes": np.int32, "rare": np.int32, "rare_at": np.int32, "counts": np.int64}
+#: What a part of the texts keeps while its requests are answered.
+_KINDS = {"hashes": np.uint64, "codes": np.int32, "counts": np.int64}
 
 
 def score(docs: DataFrame, folds: int = 5, broadcast_bytes: int = BROADCAST_BYTES, part_bytes: int = PART_BYTES, **how) -> DataFrame:
@@ -332,8 +340,8 @@ def _scored_by_broadcast(rows: DataFrame, model: Model, work: Workspace, part_by
             for at, many in parts_of(batch.column(1), part_bytes):
                 p = Part(batch.column(1).slice(at, many), table.value)
                 block = np.searchsorted(cuts, p.keys, side="right")
-                levels = levels_in(p.keys, bits, begin[block], size[block])
-                score = Part.scores(p.state(), levels, p.many, alpha, z)
+                levels = levels_in(_within(p.keys, block, len(size)), bits, begin[block], size[block])
+                score = Part.scores((p.keys, p.turn, p.rare, p.rare_at), p.codes, p.counts, levels, p.many, alpha, z)
                 arrays = [batch.column(0).slice(at, many), batch.column(2).slice(at, many), pa.array(p.many), pa.array(p.base), pa.array(p.seen), pa.array(score), *p.others]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "train", "n", "base", "known", "score", "h", "tf"])
 
@@ -342,12 +350,12 @@ def _scored_by_broadcast(rows: DataFrame, model: Model, work: Workspace, part_by
 
 def _scored_by_blocks(rows: DataFrame, model: Model, work: Workspace, part_bytes: int) -> DataFrame:
     """The same scores from a filter that is too large to broadcast: requests go to its blocks, levels come back."""
-    spark, alpha, z, cuts = rows.sparkSession, model.alpha, model.z, _cuts(model.blocks)
+    spark, alpha, z, cuts, blocks = rows.sparkSession, model.alpha, model.z, _cuts(model.blocks), model.blocks
     table = spark.sparkContext.broadcast(model.frequent)
     result = _result(rows.schema["doc_id"])
     texts = StructType([f for f in result if f.name != "score"])
     blobs = ", ".join(f"{k} binary" for k in _KINDS)
-    kind = StructType([*ddl("part bigint, at int, block int, keys binary").fields, *texts.fields, *ddl(blobs).fields])
+    kind = StructType([*ddl("part bigint, at int, block int, keys binary, text boolean").fields, *texts.fields, *ddl(blobs).fields])
 
     def ask(batches):
         number = TaskContext.get().partitionId() << 32
@@ -357,18 +365,20 @@ def _scored_by_blocks(rows: DataFrame, model: Model, work: Workspace, part_bytes
                 ends = np.concatenate([[0], np.searchsorted(p.keys, cuts), [len(p.keys)]])
                 full = np.flatnonzero(np.diff(ends)).tolist()
                 asked = len(full)
+                packed = _within(p.keys, np.repeat(np.arange(len(ends) - 1), np.diff(ends)), blocks).view(np.uint8).reshape(-1, 8)[:, :5]
                 own = [batch.column(0).slice(at, many), batch.column(2).slice(at, many), pa.array(p.many), pa.array(p.base), pa.array(p.seen), *p.others]
-                state = {k: pa.array([v.tobytes()], pa.binary()) for k, v in p.state().items()}
+                state = {k: pa.array([getattr(p, k).astype(v).tobytes()], pa.binary()) for k, v in _KINDS.items()}
                 # requests, then a row for each text, the first of which carries the state of the part
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number] * asked, pa.int64()), pa.nulls(asked, pa.int32()), pa.array(full, pa.int32()), pa.array([p.keys[ends[b] : ends[b + 1]].tobytes() for b in full], pa.binary()), *[pa.nulls(asked, x.type) for x in own], *[pa.nulls(asked, pa.binary())] * len(_KINDS)],
+                    [pa.array([number] * asked, pa.int64()), pa.nulls(asked, pa.int32()), pa.array(full, pa.int32()), pa.array([packed[ends[b] : ends[b + 1]].tobytes() for b in full], pa.binary()), pa.array([False] * asked, pa.bool_()), *[pa.nulls(asked, x.type) for x in own], *[pa.nulls(asked, pa.binary())] * len(_KINDS)],
                     names=kind.names,
                 )
-                yield pa.RecordBatch.from_arrays([pa.array([number] * many, pa.int64()), pa.array(range(many), pa.int32()), pa.nulls(many, pa.int32()), pa.nulls(many, pa.binary()), *own, *[pa.concat_arrays([state[k], pa.nulls(many - 1, pa.binary())]) for k in _KINDS]], names=kind.names)
+                yield pa.RecordBatch.from_arrays([pa.array([number] * many, pa.int64()), pa.array(range(many), pa.int32()), pa.nulls(many, pa.int32()), pa.nulls(many, pa.binary()), pa.array([True] * many, pa.bool_()), *own, *[pa.concat_arrays([state[k], pa.nulls(many - 1, pa.binary())]) for k in _KINDS]], names=kind.names)
                 number += 1
 
-    asked = work.save(rows.mapInArrow(ask, kind), "asked")
-    requests, parts = asked.where("block IS NOT NULL").select("part", "block", "keys"), asked.where("block IS NULL").drop("block", "keys")
+    # two folders, so that the requests can go when they are answered
+    asked = work.save(rows.mapInArrow(ask, kind), "asked", partition_by=["text"])
+    requests, parts = asked.where("text = 'false'").select("part", "block", "keys"), asked.where("text = 'true'").drop("block", "keys", "text")
 
     def answer(key, requests, blocks):
         if not len(requests):
@@ -376,20 +386,24 @@ def _scored_by_blocks(rows: DataFrame, model: Model, work: Workspace, part_bytes
         bits = np.frombuffer(blocks.column("bits")[0].as_py() if len(blocks) else b"\0" * 8, np.uint8)  # a block without n-grams has no row
         size = np.uint64(8 * len(bits))
         sent = requests.column("keys").to_pylist()
-        keys = np.frombuffer(b"".join(sent), "<u8")
+        packed = np.frombuffer(b"".join(sent), np.uint8).reshape(-1, 5)
+        keys = np.pad(packed, ((0, 0), (0, 3))).view("<u8").ravel()
         levels = levels_in(keys, bits, np.zeros(len(keys), np.int64), np.full(len(keys), size)).tobytes()
-        ends = np.cumsum([0, *[len(x) // 8 for x in sent]]).tolist()
+        ends = np.cumsum([0, *[len(x) // 5 for x in sent]]).tolist()
         return pa.table([requests.column("part"), requests.column("block"), pa.array([levels[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["part", "block", "levels"])
 
     def finish(key, texts, levels):
         own = texts.sort_by("at")
         state = {k: np.frombuffer(own.column(k)[0].as_py(), kind) for k, kind in _KINDS.items()}
         got = sorted(zip(levels.column("block").to_pylist(), levels.column("levels").to_pylist(), strict=True))
-        score = Part.scores(state, np.frombuffer(b"".join(x for _, x in got), np.uint8), own.column("n").to_numpy(), alpha, z)
+        placed = Part.placed(*state.values())
+        score = Part.scores(placed, state["codes"], state["counts"], np.frombuffer(b"".join(x for _, x in got), np.uint8), own.column("n").to_numpy(), alpha, z)
         return pa.table([own.column(k) if k != "score" else pa.array(score) for k in result.names], names=result.names)
 
     answers = requests.groupBy("block").cogroup(model.table.select("block", "bits").groupBy("block")).applyInArrow(answer, "part long, block int, levels binary")
-    return parts.groupBy("part").cogroup(work.save(answers, "levels").groupBy("part")).applyInArrow(finish, result)
+    levels = work.save(answers, "levels")
+    work.drop("asked/text=false")
+    return parts.groupBy("part").cogroup(levels.groupBy("part")).applyInArrow(finish, result)
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
