@@ -44,7 +44,7 @@ ALPHA = 200.0
 BITS = 12
 PROBES = 6
 BLOCK_TEXT = 16 << 20
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 16 << 20
 PART_BYTES = 4 << 20
 #: N-grams that a task holds before it sorts them and sends them on.
 HELD_GRAMS = 4_000_000
@@ -89,9 +89,10 @@ def _cuts(blocks: int) -> np.ndarray:
 
 
 def _within(keys: np.ndarray, block: np.ndarray | int, blocks: int) -> np.ndarray:
-    """The 40 bits that tell n-grams of one block apart in the filter: the leading bits of the distance from its least key."""
+    """The 32 bits that tell n-grams of one block apart in the filter: the leading bits of the distance from its least key.  A block has
+    some 3 million entries at most, so two n-grams share them once in over 1,000 times, less often than the filter errs."""
     least = np.concatenate([np.zeros(1, np.uint64), _cuts(blocks)])
-    return (keys - least[block]) >> np.uint64(24 - (blocks.bit_length() - 1) if blocks < 1 << 24 else 0)
+    return (keys - least[block]) >> np.uint64(max(0, 33 - blocks.bit_length()))
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -365,7 +366,7 @@ def _scored_by_blocks(rows: DataFrame, model: Model, work: Workspace, part_bytes
                 ends = np.concatenate([[0], np.searchsorted(p.keys, cuts), [len(p.keys)]])
                 full = np.flatnonzero(np.diff(ends)).tolist()
                 asked = len(full)
-                packed = _within(p.keys, np.repeat(np.arange(len(ends) - 1), np.diff(ends)), blocks).view(np.uint8).reshape(-1, 8)[:, :5]
+                packed = _within(p.keys, np.repeat(np.arange(len(ends) - 1), np.diff(ends)), blocks).astype("<u4")
                 own = [batch.column(0).slice(at, many), batch.column(2).slice(at, many), pa.array(p.many), pa.array(p.base), pa.array(p.seen), *p.others]
                 state = {k: pa.array([getattr(p, k).astype(v).tobytes()], pa.binary()) for k, v in _KINDS.items()}
                 # requests, then a row for each text, the first of which carries the state of the part
@@ -386,10 +387,9 @@ def _scored_by_blocks(rows: DataFrame, model: Model, work: Workspace, part_bytes
         bits = np.frombuffer(blocks.column("bits")[0].as_py() if len(blocks) else b"\0" * 8, np.uint8)  # a block without n-grams has no row
         size = np.uint64(8 * len(bits))
         sent = requests.column("keys").to_pylist()
-        packed = np.frombuffer(b"".join(sent), np.uint8).reshape(-1, 5)
-        keys = np.pad(packed, ((0, 0), (0, 3))).view("<u8").ravel()
+        keys = np.frombuffer(b"".join(sent), "<u4").astype(np.uint64)
         levels = levels_in(keys, bits, np.zeros(len(keys), np.int64), np.full(len(keys), size)).tobytes()
-        ends = np.cumsum([0, *[len(x) // 5 for x in sent]]).tolist()
+        ends = np.cumsum([0, *[len(x) // 4 for x in sent]]).tolist()
         return pa.table([requests.column("part"), requests.column("block"), pa.array([levels[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["part", "block", "levels"])
 
     def finish(key, texts, levels):
