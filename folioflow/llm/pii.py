@@ -1,26 +1,33 @@
 """Personal data: high-recall span generators, gradient-boosted trees over format and context, calibrated thresholds.
 
 Only DataFrame and SQL functions.  For each kind a strict base pattern with a check finds spans that always stay.
-A wide generator for the kind proposes more, overlapping ones.  Boosted trees score every proposal from features
-of its format and of the characters before it; the trees are one SQL expression.  Proposals whose calibrated score
-passes the kind's threshold, and that overlap no base span and no better proposal of the kind, are added.
-
-Training needs no marked text: proposals that contain a base span are positives and all other proposals are
-negatives, with the base check itself kept out of the features.  Every proposal of every document counts, but the
+Generators propose more, overlapping ones: written-out and broken forms of addresses, and for cards and phones every
+stretch between two digit groups of a run of numbers whose count of digits fits, so that a number is proposed by itself where the
+base pattern reads it together with its neighbours and fails.  Boosted trees score every proposal from features of its format
+and of the characters around it; the trees are one SQL expression.  Proposals whose calibrated score passes the kind's
+threshold and that touch no base span compete: the best score wins, then the earlier, then the shorter one.
+
+Training needs no marked text.  A proposal that is a base span, begin and end, is a positive; all others are negatives, parts of base
+spans too, so the trees learn where a span begins and ends.  Only parts of a match that failed the base check count as neither.  Each is counted a second time in a rewritten form (no plus
+sign, other separators, ``at`` and ``dot``), positives and negatives alike: by this the trees meet forms that the base patterns
+never accept, and the rewriting itself tells nothing.  Every proposal of every document counts, but the
 trees see only a histogram of feature vectors, which a grouped count makes once.  Scores are calibrated on the
 third of the documents that the trees did not see: the threshold of a kind is the lowest score bin from which on
-at least ``PRECISION`` of the held-out proposals are positives; a kind that never reaches it adds nothing.
+at least ``PRECISION`` of the held-out proposals, and one failure more, are positives; a kind that never reaches it adds nothing.
 
 Patterns use possessive quantifiers and begin only where a run of their first characters begins (or where the last
 match ended), so they find the same leftmost spans as the plain patterns, in linear time and without recursion.
 
-Defined results: null and empty text has no spans; a table without proposals learns nothing and adds nothing; ties
-of scores go to the earlier span; repeated rows are searched each for itself and train as often as they stand there;
-other columns come through :func:`with_spans` unchanged.
+Secrets (a name such as token or password, a sign, and a long string) are found by a pattern alone; they are no kind of span and are
+counted apart.
+
+Defined results: null and empty text has no spans; a table without proposals learns nothing and adds nothing; repeated rows are
+searched each for itself and train as often as they stand there; other columns come through :func:`with_spans` unchanged.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,18 +46,22 @@ BASE = {
 #: A text without these has no proposal of the kind, so its patterns need not run.
 NEEDS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9]", "phone": r"[0-9]"}
 #: Generators: wider than the base patterns, so that they meet written-out, broken and unchecked forms too.
+_AT, _DOT = r"(?:\x20?[@＠]\x20?|\x20?[\[(]at[\])]\x20?|\x20at\x20)", r"(?:\x20?\.|\x20?[\[(]dot[\])]\x20?|\x20dot\x20)"
 WIDE = {
-    "email": rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++[\x20]?[@＠][\x20]?[A-Za-z0-9-]++(?:[\x20]?\.[A-Za-z0-9-]++)*+",
-    "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:[.,][\x20]?[0-9]++){3}+",
-    "card": r"[0-9](?:[\x20.\-_]{0,2}+[0-9]){11,22}+",
-    "phone": r"(?:\+|\(|(?<![0-9]))[0-9](?:[\x20()./-]{0,3}+[0-9]){6,16}+",
+    "email": rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++",
+    "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:(?:[.,]\x20?|\x20\.\x20|\[\.\])[0-9]++){3}+",
+    "card": r"[0-9](?:[\x20.\-_]{0,2}+[0-9])++",
+    "phone": r"[+(]{0,2}+[0-9](?:[\x20()./-]{0,3}+[0-9])++",
 }
-FEATURES = ("digits", "length", "marks", "groups", "first", "lead", "before", "upper", "ends")
+_MAY = {"email": r"[@＠]|[\x20\[(]at[\x20\])]", "ip": r"[0-9][.,\x20\[]", "card": r"[0-9](?:[\x20.\-_]{0,2}[0-9]){11}", "phone": r"[0-9](?:[\x20()./-]{0,3}[0-9]){6}"}
+#: Digits of a stretch that is proposed from a run of numbers.
+STRETCH = {"card": (13, 19), "phone": (7, 15)}
+SECRET = r"(?i)(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\x22']?\x20?[=:]\x20?[\x22']?[A-Za-z0-9+/_-]{16,}+"
+FEATURES = ("digits", "length", "marks", "groups", "first", "lead", "before", "upper", "ends", "check", "head", "tail", "widest")
 ROUNDS = 8
 LEARNING_RATE = 0.5
 PRECISION = 0.98
 SCORE_BINS = 40
-MIN_POSITIVES = 20
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 
@@ -109,36 +120,92 @@ def passes(kind: str, value: Column) -> Column:
     }[kind]
 
 
-def base_spans(text: Column) -> dict[str, Column]:
-    """For each kind the array of (s, e, v) that match and pass the check."""
-    empty = F.array().cast("array<struct<s:int,e:int,v:string>>")
-    return {k: F.when(text.rlike(NEEDS[k]), F.filter(matches(text, BASE[k]), _of(lambda x, k: passes(k, x["v"]), k))).otherwise(empty) for k in KINDS}
+def base_matches(text: Column) -> dict[str, Column]:
+    """For each kind the array of (s, e, ok) that match; ok: the check passes, so it is a base span."""
+    empty = F.array().cast("array<struct<s:int,e:int,ok:boolean>>")
+    judged = {k: F.transform(matches(text, BASE[k]), _of(lambda x, k: F.struct(x["s"].alias("s"), x["e"].alias("e"), passes(k, x["v"]).alias("ok")), k)) for k in KINDS}
+    return {k: F.when(text.rlike(NEEDS[k]), judged[k]).otherwise(empty) for k in KINDS}
 
 
 def proposals(text: Column) -> dict[str, Column]:
+    """For each kind the array of proposed (s, e, v); they may overlap."""
+    empty = F.array().cast("array<struct<s:int,e:int,v:string>>")
+    found = {k: matches(text, WIDE[k]) for k in KINDS}
+    for k, (low, high) in STRETCH.items():
+        found[k] = F.flatten(F.transform(found[k], _of(lambda run, bounds: _stretches(run, *bounds), (low, high))))
+    return {k: F.when(text.rlike(_MAY[k]), found[k]).otherwise(empty) for k in KINDS}
+
+
+def _stretches(run: Column, low: int, high: int) -> Column:
+    """All parts of a run of numbers, from the begin of one digit group to the end of another, that have ``low`` to ``high`` digits; a plus sign or
+    bracket before the first belongs to it."""
     empty = F.array().cast("array<struct<s:int,e:int,v:string>>")
-    need = NEEDS | {"email": r"[@＠]", "ip": r"[0-9][.,]\x20?[0-9]", "card": r"[0-9](?:[\x20.\-_]{0,2}[0-9]){5}", "phone": r"[0-9](?:[\x20()./-]{0,3}[0-9]){5}"}
-    return {k: F.when(text.rlike(need[k]), matches(text, WIDE[k])).otherwise(empty) for k in KINDS}
 
+    def parts(groups: Column) -> Column:
+        def until(i: Column) -> Column:
+            first = groups[i]
+            mark = F.regexp_extract(F.substring(run["v"], F.greatest(first["s"] - 1, F.lit(1)), F.least(first["s"], F.lit(2))), r"\+?\(?$", 0)
+
+            def part(j: Column, begin: Column) -> Column:
+                return F.struct((run["s"] + begin).alias("s"), (run["s"] + groups[j]["e"]).alias("e"), F.substring(run["v"], begin + 1, groups[j]["e"] - begin).alias("v"))
+
+            ends = F.sequence(i, F.least(i + high - 1, F.size(groups) - 1))
+            return _bound(first["s"] - F.length(mark), lambda begin: F.filter(F.transform(ends, lambda j: part(j, begin)), lambda x: F.length(digits_of(x["v"])).between(low, high)))
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(groups) - 1), lambda i: until(i)))
+
+    # a run that is too short has no part
+    return F.when(F.length(digits_of(run["v"])) >= low, _bound(matches(run["v"], "[0-9]+"), parts)).otherwise(empty)
+
+
+def _bound(value: Column, f) -> Column:
+    """``f`` of a value that is worked out once, however often ``f`` names it."""
+    return F.transform(F.array(value), lambda x: f(x))[0]
 
-def features_of(text: Column, span: Column) -> list[Column]:
-    """Small numbers (0..31) that tell proposals apart: format of the span, and what stands before it."""
-    v = span["v"]
-    before = F.substring(text, F.greatest(span["s"] - 23, F.lit(1)), F.least(span["s"], F.lit(24)))
-    last = F.substring(text, span["s"], F.when(span["s"] > 0, F.lit(1)).otherwise(F.lit(0)))
-    after = F.substring(text, span["e"] + 1, F.lit(1))
+
+def rewritten(kind: str, v: Column) -> Column:
+    """Another way to write a span of the kind."""
+    return {
+        "email": F.regexp_replace(F.regexp_replace(v, "@", " at "), r"\.([A-Za-z0-9-]+)$", " dot $1"),
+        "ip": F.regexp_replace(v, r"\.", ", "),
+        "card": F.regexp_replace(v, r"[\x20-]", "."),
+        "phone": F.regexp_replace(v, r"^\+", ""),
+    }[kind]
+
+
+def features_of(kind: str, around: Column, v: Column) -> Column:
+    """Small numbers (0..31) that tell proposals apart: format of the span ``v``, and the text before and after it (``around``)."""
     small = lambda c: F.least(c, F.lit(31)).cast("int")
-    return [
-        small(F.length(digits_of(v))),
-        small(F.length(v)),
-        small(F.length(F.regexp_replace(v, r"[A-Za-z0-9\x20]", ""))),
-        small(F.size(F.split(v, r"[^A-Za-z0-9]+"))),
-        F.when(v.startswith("+"), 0).when(v.startswith("("), 1).when(v.startswith("0"), 2).when(v.rlike("^[1-9]"), 3).otherwise(4),
-        F.when(last == "", 0).when(last == " ", 1).when(last == "\n", 2).when(last.rlike("[A-Za-z0-9]"), 3).when(last.rlike(r"[=:]"), 4).otherwise(5),
-        F.when(before.rlike(r"(?i)(e-?mail|contact)[^A-Za-z]*$"), 1).when(before.rlike(r"(?i)(phone|tel|fax|call|mobile)[^A-Za-z]*$"), 2).when(before.rlike(r"(?i)(card|visa|credit|account)[^A-Za-z]*$"), 3).when(before.rlike(r"(?i)(ip|host|server|address)[^A-Za-z]*$"), 4).when(before.rlike(r"[0-9]\S*\s*$"), 5).otherwise(0),
-        F.when(v.rlike(r"\x20"), 1).otherwise(0) + F.when(v.contains("-"), 2).otherwise(0) + F.when(v.contains("."), 4).otherwise(0) + F.when(v.rlike(r"[_,/@＠]"), 8).otherwise(0),
-        F.when(after == "", 0).when(after == " ", 1).when(after.rlike(r"[.,;!?\n]"), 2).when(after.rlike("[A-Za-z0-9]"), 3).otherwise(4),
-    ]
+
+    def numbers(q: Column) -> Column:
+        v, digits, groups, before, last, after = (q[k] for k in ("v", "digits", "groups", "before", "last", "after"))
+        check = {
+            "card": F.when(F.length(digits).between(12, 19), luhn(digits).cast("int")).otherwise(0),
+            "ip": F.forall(groups, lambda g: g.rlike(f"^{_OCTET}$")).cast("int"),
+        }.get(kind, F.lit(0))
+        values = [
+            small(F.length(digits)),
+            small(F.length(v)),
+            small(F.length(F.regexp_replace(v, r"[A-Za-z0-9\x20]", ""))),
+            small(F.size(groups)),
+            F.when(v.startswith("+"), 0).when(v.startswith("("), 1).when(v.startswith("0"), 2).when(v.rlike("^[1-9]"), 3).otherwise(4),
+            F.when(last == "", 0).when(last == " ", 1).when(last == "\n", 2).when(last.rlike("[A-Za-z0-9]"), 3).when(last.rlike(r"[=:]"), 4).otherwise(5),
+            F.when(before.rlike("(?i)(?:e-?mail|contact)[^A-Za-z]*$"), 1).when(before.rlike("(?i)(?:phone|tel|fax|call|mobile)[^A-Za-z]*$"), 2)
+            .when(before.rlike("(?i)(?:card|visa|credit|account)[^A-Za-z]*$"), 3).when(before.rlike("(?i)(?:ip|host|server|address)[^A-Za-z]*$"), 4).when(before.rlike(r"[0-9]\S*\s*$"), 5).otherwise(0),
+            F.when(v.contains(" "), 1).otherwise(0) + F.when(v.contains("-"), 2).otherwise(0) + F.when(v.contains("."), 4).otherwise(0) + F.when(v.rlike(r"[_,/@＠]"), 8).otherwise(0),
+            F.when(after == "", 0).when(after == " ", 1).when(after.rlike(r"[.,;!?\n]"), 2).when(after.rlike("[A-Za-z0-9]"), 3).otherwise(4),
+            check,
+            small(F.coalesce(F.length(F.try_element_at(groups, F.lit(1))), F.lit(0))),
+            small(F.coalesce(F.length(F.try_element_at(groups, F.lit(-1))), F.lit(0))),
+            small(F.coalesce(F.array_max(F.transform(groups, lambda g: F.length(g))), F.lit(0))),
+        ]
+        return F.array(*[x.cast("int") for x in values])
+
+    parts = F.struct(
+        v.alias("v"), digits_of(v).alias("digits"), F.regexp_extract_all(v, F.lit("[A-Za-z0-9]+"), F.lit(0)).alias("groups"),
+        around["before"].alias("before"), F.when(around["before"] == "", "").otherwise(F.substring(around["before"], -1, 1)).alias("last"), around["after"].alias("after"),
+    )
+    return _bound(parts, numbers)
 
 
 @dataclass(frozen=True)
@@ -195,10 +262,8 @@ def learn(histogram: DataFrame, rounds: int = ROUNDS, rate: float = LEARNING_RAT
     in fact far fewer, because only the chosen split's halves are asked for.
     """
     total = {(r["kind"], r["y"]): r["n"] for r in histogram.where("NOT held").groupBy("kind", "y").agg(F.sum("n").alias("n")).collect()}
-    kinds = [k for k in KINDS if min(total.get((k, 0), 0), total.get((k, 1), 0)) >= MIN_POSITIVES]
-    import math
-
-    d = Detector({k: [] for k in kinds}, {k: math.log(total[k, 1] / total[k, 0]) for k in kinds}, dict.fromkeys(kinds))
+    kinds = [k for k in KINDS if (k, 1) in total]
+    d = Detector({k: [] for k in kinds}, {k: math.log((total[k, 1] + 1) / (total.get((k, 0), 0) + 1)) for k in kinds}, dict.fromkeys(kinds))
     taught = histogram.where(~F.col("held") & F.col("kind").isin(kinds)) if kinds else None
     for _ in range(rounds if kinds else 0):
         roots = {k: _split(c) for (k, _), c in _sums(taught, d, {}).items()}
@@ -222,7 +287,7 @@ def learn(histogram: DataFrame, rounds: int = ROUNDS, rate: float = LEARNING_RAT
         n = y = 0
         for r in sorted(rows, key=lambda r: -r["bin"]):
             n, y = n + r["n"], y + r["y"]
-            if y >= precision * n:
+            if y >= precision * (n + 1):
                 d.threshold[k] = r["bin"]
     return d
 
@@ -246,43 +311,52 @@ def _sums(taught: DataFrame, d: Detector, splits: dict[str, tuple[int, int]]) ->
 
 
 def with_candidates(frame: DataFrame, text: str, base: str, wide: str) -> DataFrame:
-    """Adds struct columns: the base spans of each kind, and the proposals of each kind that hold no base span in
-    part only, each with its features and whether it holds a base span (y)."""
+    """Adds struct columns: the base spans of each kind, and the proposals of each kind, each with its features (x), those of its
+    rewritten form (again), and whether it is a base span (y; null for a part of a match that failed the check)."""
     (whole,) = fresh(frame, "whole")
     step = frame.withColumn(whole, F.coalesce(F.col(text), F.lit("")))
     t = F.col(whole)
     b, w = fresh(step.select("*", *[F.lit(0).alias(c) for c in {base, wide}]), "found", "widest")
-    step = step.withColumns({b: F.struct(*[c.alias(k) for k, c in base_spans(t).items()]), w: F.struct(*[c.alias(k) for k, c in proposals(t).items()])})
+    step = step.withColumns({b: F.struct(*[c.alias(k) for k, c in base_matches(t).items()]), w: F.struct(*[c.alias(k) for k, c in proposals(t).items()])})
 
     def scored(k):
-        return F.transform(
-            F.col(w)[k],
-            lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.array(*[f.cast("int") for f in features_of(t, x)]).alias("x"), F.exists(F.col(b)[k], lambda z: (z["s"] < x["e"]) & (x["s"] < z["e"])).cast("int").alias("y")),
-        )
+        def one(x: Column) -> Column:
+            same = lambda z: (z["s"] == x["s"]) & (x["e"] == z["e"])
+            is_base = F.exists(F.col(b)[k], lambda z: z["ok"] & same(z))
+            unclear = F.exists(F.col(b)[k], lambda z: ~z["ok"] & (z["s"] < x["e"]) & (x["s"] < z["e"]) & ~same(z))
+            around = F.struct(F.substring(t, F.greatest(x["s"] - 23, F.lit(1)), F.least(x["s"], F.lit(24))).alias("before"), F.substring(t, x["e"] + 1, F.lit(1)).alias("after"))
+            return _bound(around, lambda c: F.struct(x["s"].alias("s"), x["e"].alias("e"), features_of(k, c, x["v"]).alias("x"), features_of(k, c, rewritten(k, x["v"])).alias("again"), F.when(is_base, 1).when(~unclear, 0).alias("y")))
+
+        return F.transform(F.col(w)[k], lambda x: one(x))
 
-    bare = F.struct(*[F.transform(F.col(b)[k], lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in KINDS])
+    bare = F.struct(*[F.transform(F.filter(F.col(b)[k], lambda x: x["ok"]), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in KINDS])
     return step.withColumns({base: bare, wide: F.struct(*[scored(k).alias(k) for k in KINDS])}).drop(b, w, whole)
 
 
 def histogram_of(candidates: DataFrame, wide: str, key: Column) -> DataFrame:
-    rows = F.concat(*[F.transform(F.col(wide)[k], _of(lambda x, k: F.struct(F.lit(k).alias("kind"), x["x"].alias("x"), x["y"].alias("y")), k)) for k in KINDS])
-    flat = candidates.where(F.size(rows) > 0).select((F.pmod(key, F.lit(3)) == 0).alias("held"), F.explode(rows).alias("r")).select("held", "r.kind", "r.x", "r.y")
+    """How often each (kind, held, y, x) occurs; every proposal counts as it is and rewritten."""
+    both = [F.transform(F.col(wide)[k], _of(lambda r, which: F.struct(F.lit(which[0]).alias("kind"), r[which[1]].alias("x"), r["y"].alias("y")), (k, form))) for k in KINDS for form in ("x", "again")]
+    rows = F.concat(*both)
+    flat = candidates.where(F.size(rows) > 0).select((F.pmod(key, F.lit(3)) == 0).alias("held"), F.explode(rows).alias("r")).select("held", "r.kind", "r.x", "r.y").where("y IS NOT NULL")
     return flat.groupBy("kind", "held", "y", "x").agg(F.count("*").alias("n"))
 
 
 def added_spans(d: Detector, wide: str, base: str) -> dict[str, Column]:
-    """For each kind the proposals that pass its threshold, without those that touch a base span of any kind or a proposal taken before."""
-    out = {}
-    empty = F.array().cast("array<struct<s:int,e:int>>")
-    for k in KINDS:
+    """For each kind the proposals that pass its threshold, without those that touch a base span of any kind or a better proposal of any kind."""
+    empty = F.array().cast("array<struct<p:double,s:int,e:int,k:int>>")
+    passed = []
+    for n, k in enumerate(KINDS):
         if d.threshold.get(k) is None:
-            out[k] = empty
             continue
-        good = F.filter(F.col(wide)[k], _of(lambda x, k: (x["y"] == 0) & (F.floor(SCORE_BINS / (1 + F.exp(-d.log_odds(k, x["x"])))) >= d.threshold[k]), k))
+        named = F.transform(F.filter(F.col(wide)[k], lambda x: F.coalesce(x["y"], F.lit(0)) == 0), _of(lambda x, kind: F.struct((-1 / (1 + F.exp(-d.log_odds(kind[1], x["x"])))).alias("p"), x["s"].alias("s"), x["e"].alias("e"), F.lit(kind[0]).alias("k")), (n, k)))
+        good = F.filter(named, _of(lambda x, low: F.floor(-x["p"] * SCORE_BINS) >= low, d.threshold[k]))
         for other in KINDS:
             good = F.filter(good, _of(lambda x, other: ~F.exists(F.col(base)[other], lambda z: (z["s"] < x["e"]) & (x["s"] < z["e"])), other))
-        out[k] = F.transform(good, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
-    return out
+        passed.append(good)
+    best = empty
+    if passed:  # best first
+        best = F.aggregate(F.array_sort(F.concat(*passed)), empty, lambda a, x: F.when(F.exists(a, lambda z: (z["s"] < x["e"]) & (x["s"] < z["e"])), a).otherwise(F.array_append(a, x)))
+    return {k: F.transform(F.filter(best, _of(lambda x, n: x["k"] == n, n)), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for n, k in enumerate(KINDS)}
 
 
 def with_spans(docs: DataFrame, base: str, spans: str, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, Detector]:
@@ -304,15 +378,21 @@ def listing(spans: str) -> Column:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans for every row of ``docs``."""
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans for every row of ``docs``; then n_spans (all spans), n_secrets,
+    and n_found (both)."""
     text_free, _ = _slim(docs)
-    return text_free.select("doc_id", *[F.size(F.col("base")[k]).cast("long").alias(f"n_{k}") for k in KINDS], F.sha2(listing("base").cast("binary"), 256).alias("base_sha256"), listing("all").alias("spans"))
+    every = sum((F.size(F.col("all")[k]) for k in KINDS), F.lit(0)).cast("long")
+    return text_free.select(
+        "doc_id", *[F.size(F.col("base")[k]).cast("long").alias(f"n_{k}") for k in KINDS], F.sha2(listing("base").cast("binary"), 256).alias("base_sha256"), listing("all").alias("spans"),
+        every.alias("n_spans"), "n_secrets", (every + F.col("n_secrets")).alias("n_found"),
+    )
 
 
 def _slim(docs: DataFrame) -> tuple[DataFrame, Detector]:
     """Like :func:`with_spans`, but only doc_id and the spans are written."""
     work = Workspace(docs.sparkSession, "pii")
-    held = work.save(with_candidates(docs.select("doc_id", "text"), "text", "base", "wide").drop("text"), "candidates")
+    secrets = F.coalesce(F.regexp_count("text", F.lit(SECRET)), F.lit(0)).cast("long")
+    held = work.save(with_candidates(docs.select("doc_id", "text", secrets.alias("n_secrets")), "text", "base", "wide").drop("text"), "candidates")
     d = learn(work.save(histogram_of(held, "wide", F.xxhash64("doc_id")), "histogram"))
     more = added_spans(d, "wide", "base")
     both = F.struct(*[F.array_sort(F.concat(F.col("base")[k], more[k])).alias(k) for k in KINDS])

@@ -121,17 +121,64 @@ def test_pii_base(spark, sample, odd):
 
 
 def test_pii_learns_and_adds(spark):
+    """Numbers that the base patterns read together with their neighbours, and forms that they never accept, are added; clean numbers are not."""
     from pyspark.sql import functions as F
 
+    card = lambda k: (lambda d: d + str(next(c for c in range(10) if valid("card", d + str(c)))))(str(400000000000000 + 977 * k))
     rows = [(k, f"write to user{k}@mail{k % 9}.example.com today or tel +1 (55{k % 10}) 555-{1000 + k} now") for k in range(300)]
-    rows += [(1000 + k, f"number {5551000000 + k} of {k % 10} items") for k in range(300)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rows += [(1000 + k, f"number {5551000000 + k} of {k % 10} items, item {card(k)} and {4000000000000000 + 7 * k} end") for k in range(300)]
+    broken = [(2000, "tel +1 (555) 555-1234 190.137.223.204 now"), (2001, f"pay {card(7)} {card(8)} end"), (2002, "tel 1 (555) 555-1234 now"), (2003, "write to user7 at mail1.example dot com today")]
+    docs = spark.createDataFrame(rows + broken, "doc_id long, text string")
     found, detector = pii.with_spans(docs, "base", "spans")
-    assert detector.threshold["phone"] is not None and detector.trees["phone"]
-    assert found.count() == len(rows)
+    assert all(detector.threshold[k] is not None for k in ("phone", "card", "email")) and detector.trees["phone"]
+    assert found.count() == len(rows) + len(broken)
     red = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
-    assert red[0] == "write to [email] today or tel [phone] now" and red[1000] == "number 5551000000 of 0 items"
-    assert pii.with_candidates(docs, "text", "base", "wide").where(F.size("wide.phone") > 0).count() >= 300
+    assert red[0] == "write to [email] today or tel [phone] now" and red[1007].startswith("number 5551000007 of 7 items, item [card] and ")
+    assert red[2000] == "tel [phone] [ip] now" and red[2001] == "pay [card] [card] end" and red[2002] == "tel [phone] now"
+    more = {r["doc_id"]: r["n"] for r in found.select("doc_id", sum((F.size(F.col("spans")[k]) - F.size(F.col("base")[k]) for k in pii.KINDS), F.lit(0)).alias("n")).collect()}
+    assert [more[2000], more[2001], more[2002]] == [1, 2, 1] and sum(more[k] for k, _ in rows) <= 6
+
+
+def test_pii_boosting_equals_plain_python(spark):
+    """The same trees from a plain Python boosting run over the same histogram."""
+    rng = np.random.default_rng(4)
+    rows = [("card", bool(rng.integers(3) == 0), int(v[2] > 3 or v[0] > 9), v, int(rng.integers(1, 5))) for v in rng.integers(0, 12, (400, 3)).tolist()]
+    d = pii.learn(spark.createDataFrame(rows, "kind string, held boolean, y int, x array<int>, n long"), rounds=3)
+    train = [r for r in rows if not r[1]]
+    pos, neg = (sum(r[4] for r in train if r[2] == y) for y in (1, 0))
+    score = {id(r): math.log((pos + 1) / (neg + 1)) for r in rows}
+
+    def best(part):
+        cells = collections.defaultdict(lambda: collections.defaultdict(lambda: (0.0, 0.0)))
+        for r in part:
+            p = 1 / (1 + math.exp(-score[id(r)]))
+            for f, v in enumerate(r[3]):
+                g, h = cells[f][v]
+                cells[f][v] = (g + r[4] * (r[2] - p), h + r[4] * p * (1 - p))
+        return pii._split(cells)
+
+    def leaf(part):
+        g = h = 0.0
+        for r in part:
+            p = 1 / (1 + math.exp(-score[id(r)]))
+            g, h = g + r[4] * (r[2] - p), h + r[4] * p * (1 - p)
+        return pii.LEARNING_RATE * g / (h + 1)
+
+    for tree in d.trees["card"]:
+        _, f, v = best(train)
+        assert tree.root == (f, v)
+        step = {}
+        for side, inside in enumerate((lambda r: r[3][f] <= v, lambda r: r[3][f] > v)):
+            half = [r for r in train if inside(r)]
+            inner = best(half)
+            assert tree.sides[side] == (inner and inner[1:])
+            for k, low in enumerate((True, False)):
+                part = [r for r in half if not inner or (r[3][inner[1]] <= inner[2]) == low]
+                assert abs(leaf(part) - tree.leaves[2 * side + k]) < 1e-9
+                step |= {id(r): tree.leaves[2 * side + k] for r in rows if inside(r) and (not inner or (r[3][inner[1]] <= inner[2]) == low)}
+        for k, x in step.items():
+            score[k] += x
+    assert d.threshold["card"] is not None
 
 
 def expected_targets(sizes):
