@@ -19,11 +19,16 @@ TOKEN_PATTERNS = (
 PAGE_MARK = "<!-- page {} -->"
 MIN_VISIBLE_PER_PAGE = 40
 MAX_REPLACEMENT_RATIO = 0.01
+# Fixed values, which must match: name of an empty component, reasons in order, verdicts.
+FALLBACK_NAME = "datei"
+QUALITY_REASONS = ("page_count_mismatch", "too_few_characters", "replacement_ratio", "empty_pages")
+QUALITY_VERDICTS = ("good", "needs_review")
 
 
 def sanitize_url(url: Column) -> Column:
-    """Without query and fragment; a URL with credentials becomes a fixed token."""
-    return F.when(url.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*@"), F.lit("[REDACTED-URL]")).otherwise(F.regexp_replace(url, r"[?#].*$", ""))
+    """Without query and fragment; a URL with credentials, without a host or of another scheme than http(s) becomes a fixed token."""
+    plain = url.rlike(r"(?i)^https?://[^/?#]+") & ~url.rlike(r"^[^/?#]*//[^/?#]*@")
+    return F.when(url.isNull(), None).when(plain, F.regexp_replace(url, r"(?s)[?#].*$", "")).otherwise(F.lit("[REDACTED-URL]"))
 
 
 def redact(text: Column, limit: int = 2000) -> Column:
@@ -64,7 +69,7 @@ def safe_component(text: Column, max_length: int = 100) -> Column:
     out = F.regexp_replace(out, r"[\x00-\x1f\x7f]", "")
     out = F.regexp_replace(out, r'[<>:"/\\|?*]+', "_")
     out = F.regexp_replace(F.regexp_replace(out, r"\s+", " "), r"^[ ._]+|[ ._]+$", "")
-    return F.regexp_replace(F.substring(F.when(out == "", F.lit("file")).otherwise(out), 1, max_length), r"[ ._]+$", "")
+    return F.regexp_replace(F.substring(F.when(out == "", F.lit(FALLBACK_NAME)).otherwise(out), 1, max_length), r"[ ._]+$", "")
 
 
 def joined_identity(values: Column, separator: str, limit: int = 120) -> Column:
@@ -79,10 +84,10 @@ def pages(text: Column) -> Column:
     return F.when(text.endswith("\f"), F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))))
 
 
-def page_markers(page_array: Column) -> Column:
-    """Pages with numbered markers; null if a page holds a marker of its own."""
-    marked = F.transform(page_array, lambda p, i: F.concat(F.lit("<!-- page "), (i + 1).cast("string"), F.lit(" -->\n\n"), F.regexp_replace(p, r"\n+$", "")))
-    return F.when(~F.exists(page_array, lambda p: p.contains("<!-- page ")), F.concat(F.array_join(marked, "\n\n"), F.lit("\n")))
+def page_markers(page_array: Column, name: str = "page") -> Column:
+    """Pages with numbered markers, each on a line of its own; null if a page holds a marker itself.  ``name`` is the marker's own."""
+    marked = F.transform(page_array, lambda p, i: F.concat(F.lit(f"<!-- {name}: "), (i + 1).cast("string"), F.lit(" -->\n"), F.regexp_replace(p, r"\n+$", "")))
+    return F.when(~F.exists(page_array, lambda p: p.contains(f"<!-- {name}:")), F.concat(F.array_join(marked, "\n\n"), F.lit("\n")))
 
 
 def quality(page_array: Column, expected_pages: Column) -> Column:
@@ -94,14 +99,14 @@ def quality(page_array: Column, expected_pages: Column) -> Column:
     empty = F.filter(F.transform(visible, lambda v, i: F.when(v == 0, i + 1)), lambda x: x.isNotNull())
     reasons = F.filter(
         F.array(
-            F.when(F.size(page_array) != expected_pages, "page_count_mismatch"),
-            F.when(F.exists(visible, lambda v: v < MIN_VISIBLE_PER_PAGE), "low_text_density"),
-            F.when(ratio > MAX_REPLACEMENT_RATIO, "replacement_characters"),
-            F.when(F.size(empty) > 0, "empty_pages"),
+            F.when(F.size(page_array) != expected_pages, QUALITY_REASONS[0]),
+            F.when(F.exists(visible, lambda v: v < MIN_VISIBLE_PER_PAGE), QUALITY_REASONS[1]),
+            F.when(ratio > MAX_REPLACEMENT_RATIO, QUALITY_REASONS[2]),
+            F.when(F.size(empty) > 0, QUALITY_REASONS[3]),
         ),
         lambda x: x.isNotNull(),
     )
-    return F.struct(total.alias("visible"), ratio.alias("replacement_ratio"), empty.alias("empty_pages"), reasons.alias("reasons"), F.when(F.size(reasons) > 0, "needs_review").otherwise("accepted").alias("verdict"))
+    return F.struct(total.alias("visible"), ratio.alias("replacement_ratio"), empty.alias("empty_pages"), reasons.alias("reasons"), F.when(F.size(reasons) > 0, QUALITY_VERDICTS[1]).otherwise(QUALITY_VERDICTS[0]).alias("verdict"))
 
 
 def collision_key(values: Column) -> Column:

@@ -142,7 +142,7 @@ def bundle_paths(spark, d):
 WITH p AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: x <> '') AS pages FROM documents),
 v AS (SELECT doc_id, pages, list_transform(pages, lambda x: length(regexp_replace(x, '\\s', '', 'g'))) AS vis FROM p)
 SELECT doc_id, CAST(list_sum(vis) AS BIGINT) AS visible, len(list_filter(vis, lambda x: x = 0)) AS n_empty, 
-  array_to_string(list_filter([CASE WHEN len(pages) <> 3 + doc_id % 4 THEN 'page_count_mismatch' END, CASE WHEN len(list_filter(vis, lambda x: x < 40)) > 0 THEN 'low_text_density' END], lambda x: x IS NOT NULL), ',') AS reasons FROM v""")
+  array_to_string(list_filter([CASE WHEN len(pages) <> 3 + doc_id % 4 THEN 'page_count_mismatch' END, CASE WHEN len(list_filter(vis, lambda x: x < 40)) > 0 THEN 'too_few_characters' END], lambda x: x IS NOT NULL), ',') AS reasons FROM v""")
 def text_quality(spark, d):
     """Visible characters, empty pages, reasons in order."""
     pages = F.filter(F.split("text", "\n"), lambda x: x != "")
@@ -170,7 +170,7 @@ def table_cells(spark, d):
 
 
 @query(r"""
-SELECT page_id, CASE WHEN x = '' THEN 'file' ELSE regexp_replace(left(x, 100), '[ ._]+$', '') END AS name FROM (
+SELECT page_id, CASE WHEN x = '' THEN 'datei' ELSE regexp_replace(left(x, 100), '[ ._]+$', '') END AS name FROM (
   SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(url_decode(url), '[\x00-\x1f\x7f]', '', 'g'), '[<>:"/\\|?*]+', '_', 'g'), '\s+', ' ', 'g'), '^[ ._]+|[ ._]+$', '', 'g') AS x FROM pages)""")
 def safe_names(spark, d):
     """I4: portable display names."""

@@ -45,7 +45,7 @@ def front_matter(spark, d):
 
 
 @query("""
-SELECT doc_id, md5(string_agg('<!-- page ' || k || ' -->' || chr(10) || chr(10) || page, chr(10) || chr(10) ORDER BY k) || chr(10)) AS marked
+SELECT doc_id, md5(string_agg('<!-- page: ' || k || ' -->' || chr(10) || page, chr(10) || chr(10) ORDER BY k) || chr(10)) AS marked
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS page, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents) GROUP BY doc_id""")
 def page_markers(spark, d):
     """Pages with numbered markers."""

@@ -51,15 +51,15 @@ def test_redaction_and_names(spark):
     assert value(spark, t.safe_component(F.lit("a%2Fb: c  d. "))) == "a_b_ c d"
     assert value(spark, t.table_cell(F.lit("a|b&[c]\n<d>"))) == "a&#124;b&amp;&#91;c&#93; &lt;d&gt;"
     assert value(spark, t.pages(F.lit("a\fb\f"))) == ["a", "b"] and value(spark, t.pages(F.lit("a"))) is None
-    assert value(spark, t.page_markers(F.array(F.lit("a\n\n"), F.lit("b")))) == "<!-- page 1 -->\n\na\n\n<!-- page 2 -->\n\nb\n"
+    assert value(spark, t.page_markers(F.array(F.lit("a\n\n"), F.lit("b")))) == "<!-- page: 1 -->\na\n\n<!-- page: 2 -->\nb\n"
     assert value(spark, t.collision_key(F.col("x")), x="StraßE") == "strasse"
 
 
 def test_quality_reasons_in_order(spark):
     q = value(spark, t.quality(F.array(F.lit("\xa0 "), F.lit("�" * 50)), F.lit(3)))
-    assert q["reasons"] == ["page_count_mismatch", "low_text_density", "replacement_characters", "empty_pages"]
+    assert q["reasons"] == ["page_count_mismatch", "too_few_characters", "replacement_ratio", "empty_pages"]
     assert q["empty_pages"] == [1] and q["verdict"] == "needs_review"
-    assert value(spark, t.quality(F.array(F.lit("x" * 40)), F.lit(1)))["verdict"] == "accepted"
+    assert value(spark, t.quality(F.array(F.lit("x" * 40)), F.lit(1)))["verdict"] == "good"
 
 
 def test_identity(spark):
@@ -137,3 +137,17 @@ def test_listing(spark):
 
 def test_front_matter(spark):
     assert value(spark, plans.front_matter({"a": F.lit('x"y'), "b": F.lit(None).cast("string")})) == '---\na: "x\\"y"\nb: null\n---\n'
+
+
+def test_fixed_codes(spark):
+    """Values that must match, told literally."""
+    from pyspark.sql import functions as F
+
+    from folioflow.functions import text as t
+
+    q = spark.range(1).select(t.quality(F.array(F.lit("ab\ufffd"), F.lit(" ")), F.lit(3)).alias("bad"), t.quality(F.array(F.lit("x" * 40)), F.lit(1)).alias("good"), t.safe_component(F.lit(" ._")).alias("name")).first()
+    assert q["bad"]["reasons"] == ["page_count_mismatch", "too_few_characters", "replacement_ratio", "empty_pages"] and q["bad"]["verdict"] == "needs_review"
+    assert q["good"]["reasons"] == [] and q["good"]["verdict"] == "good" and q["name"] == "datei"
+    urls = ["https://a.b/c?d#e", "ftp://a.b/c", "/relative", "http://u:p@a.b/", "http:///x", "HTTP://a.b"]
+    got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(t.sanitize_url(F.col("u"))).collect()]
+    assert got == ["https://a.b/c", "[REDACTED-URL]", "[REDACTED-URL]", "[REDACTED-URL]", "[REDACTED-URL]", "HTTP://a.b"]
