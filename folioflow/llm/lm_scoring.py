@@ -21,7 +21,8 @@ blocks, and levels come back to the part.  Both ways give the same levels.
 
 Defined results: null and empty texts have the end token alone; a null doc_id is in the training folds; an empty
 training set has N = V = 0, so every token has P1 = 0.5/0.5 and both scores are 0; repeated rows count and are
-scored as often as they stand there.  N-grams are told apart by 64 bits of a mix of XXH64 hashes of words.
+scored as often as they stand there.  N-grams are counted by 64 bits of a mix of XXH64
+hashes of words; a block of the filter tells its own apart by 32 bits.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ folder, and counted as they are; the counts are scaled to the table; then docume
 partitions and encoded.
 
 File format: two Parquet tables, written by Spark's own committer (a lost task leaves nothing behind): ``table``, one row
-with the scaled frequencies and the block settings, and ``chunks``, a row for each chunk of whole documents.  A chunk holds its documents' ids, lengths and optional null marks, and
+with the scaled frequencies and the block settings, and ``chunks``, a row for each chunk of whole documents.  A chunk holds its documents' ids and lengths, and
 independent blocks of ``BLOCK`` symbols.  Symbol j of a block belongs to lane j % ``LANES``; lanes share one
 stream of 32-bit words.  Every ``CHECKPOINT`` rows of a block the lanes' states and the place in the stream are
 kept, so a decoder can begin at any checkpoint, and all of them are decoded side by side.  Each chunk carries
