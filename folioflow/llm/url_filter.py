@@ -10,9 +10,12 @@ captures with its whole history never arises; a capture has as many keys as its
 ``MAX_LABELS``, the limit of the DNS).  Captures are reduced to distinct (host, time) first.  The join is planned by Spark
 from sizes: a small list is broadcast, else the adaptive skew join splits hot keys.
 
+A host in brackets (IPv6) is one key with its brackets and has no domains above it; ports are no part of a host.
+
 Defined results: null or unparsable URLs have a null host and are kept; a null fetch time meets no entry and is kept;
 events with a null key, action or time are ignored; repeated events count once; of events of one key at one time the
-strictest holds (block, allow, drop); an empty list keeps everything; other columns pass through.
+strictest holds (block, allow, drop); an empty list keeps everything; other columns pass through, and a new column whose
+name a capture column already has gets underscores in front.
 """
 
 from __future__ import annotations
@@ -28,13 +31,13 @@ BUCKET_DAYS = 32
 
 def host_of(url: Column) -> Column:
     """Lower-cased host without a final dot; null if there is none."""
-    host = F.regexp_replace(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)), r"\.+$", "")
+    host = F.regexp_replace(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\[\]/?#@]+\]|[^/?#:@\[\]]+)", 1)), r"\.+$", "")
     return F.when(host != "", host)
 
 
 def suffixes(host: Column) -> Column:
     """The host and every domain above it, longest first."""
-    labels = F.split(host, r"\.")
+    labels = F.when(host.startswith("["), F.array(host)).otherwise(F.split(host, r"\."))
     return F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(MAX_LABELS))), lambda i: F.array_join(F.slice(labels, i, MAX_LABELS), "."))
 
 
@@ -48,8 +51,9 @@ def intervals(events: DataFrame) -> DataFrame:
 
 
 def judge(captures: DataFrame, events: DataFrame, url: str = "url", at: str = "fetched") -> DataFrame:
-    """``captures`` with host, entry (the key that decided), action, entry_begin and kept."""
-    host, when, verdict = fresh(captures, "host", "when", "verdict")
+    """``captures`` with host, entry (the key that decided), action, entry_begin and kept, in this order behind its own columns."""
+    new = fresh(captures, "host", "entry", "action", "entry_begin", "kept")
+    host, when, verdict = fresh(captures.select("*", *[F.lit(0).alias(c) for c in new]), "of_url", "when", "verdict")
     rows = captures.withColumn(host, host_of(F.col(url)))
     days = lambda c: F.floor(F.unix_timestamp(c.cast("timestamp")) / (86400 * BUCKET_DAYS))
     asked = rows.where(F.col(host).isNotNull() & F.col(at).isNotNull()).select(F.col(host), F.col(at).alias(when)).distinct()
@@ -68,7 +72,8 @@ def judge(captures: DataFrame, events: DataFrame, url: str = "url", at: str = "f
     of, then = fresh(rows, "of", "then")
     joined = rows.join(best.toDF(of, then, verdict), (F.col(host) == F.col(of)) & (F.col(at) == F.col(then)), "left")
     v = F.col(verdict)
-    return joined.select(*captures.columns, F.col(host).alias("host"), v["entry"].alias("entry"), v["action"].alias("action"), v["entry_begin"].alias("entry_begin"), F.coalesce(v["action"] != "block", F.lit(True)).alias("kept"))
+    found = (F.col(host), v["entry"], v["action"], v["entry_begin"], F.coalesce(v["action"] != "block", F.lit(True)))
+    return joined.select(*captures.columns, *[c.alias(name) for c, name in zip(found, new, strict=True)])
 
 
 def url_filter(captures: DataFrame, events: DataFrame, url: str = "url", at: str = "fetched") -> DataFrame:
