@@ -54,8 +54,21 @@ class Windows:
 
     def codes(self, row: tuple[int, ...], shingle: int) -> tuple[int, list[int]]:
         """Shingle size used for this window, and the code of the shingle at each offset."""
-        s, v = min(shingle, len(row)), len(self.vocab)
-        return s, [sum(w * v ** (s - 1 - k) for k, w in enumerate(row[i : i + s])) for i in range(len(row) - s + 1)]
+        s = min(shingle, len(row))
+        base = _base(len(self.vocab), s)
+        powers = [pow(base, s - 1 - k, 1 << 64) for k in range(s)]
+        return s, [_signed(sum(w * p for w, p in zip(row[i : i + s], powers, strict=True))) for i in range(len(row) - s + 1)]
+
+
+def _signed(x: int) -> int:
+    return (x + (1 << 63)) % (1 << 64) - (1 << 63)
+
+
+def _base(vocab: int, size: int) -> int:
+    """The base of shingle codes: the vocabulary's size where codes fit in 63 bits, else an odd number modulo 2**64.
+
+    Codes then are hashes: equal shingles have equal codes, and occurrences are verified word by word anyway."""
+    return vocab if vocab**size < 1 << 63 else 0x9E3779B97F4A7C15
 
 
 def cut(items: list[tuple[str | None, str | None]], window: int) -> Windows:
@@ -78,9 +91,9 @@ def _positions(ids: np.ndarray, size: int, vocab: int) -> tuple[np.ndarray, np.n
     for k in range(1, size):
         ok &= known[k : k + n]
     at = np.flatnonzero(ok)
-    code = ids[at]
+    code, base = ids[at], np.int64(_signed(_base(vocab, size)))
     for k in range(1, size):
-        code = code * vocab + ids[at + k]
+        code = code * base + ids[at + k]
     return at, code
 
 
