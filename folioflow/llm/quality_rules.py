@@ -171,7 +171,7 @@ def learn_decision_list(
     ).groupBy("y", "held", "b").agg(F.count("*").alias("n"))
     spark = labelled.sparkSession
     work = Workspace(spark, "quality-rules")
-    binned = work.save(binned.coalesce(8), "binned")
+    binned = work.save(binned, "binned")
     holds = lambda c: F.col("b")[features.index(c[0])] > c[1] if c[2] else F.col("b")[features.index(c[0])] <= c[1]
     found: list[list[tuple[str, int, bool]]] = []
     left = binned
