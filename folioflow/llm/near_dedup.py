@@ -237,8 +237,8 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE_WORDS, similarity: float
     count = F.element_at(F.create_map(*[F.lit(x) for c, n in sorted(tiles_of.items()) for x in (c, n)]), F.col("class")) if tiles_of else F.lit(1)
     placed = placed.withColumn("tile", F.pmod(F.xxhash64("pid"), count.cast("long")).cast("int"))
     tiles = work.save(placed.groupBy("class", "tile").agg(F.collect_list(F.struct("pid", "n", *_WORDS)).alias("points")), "tiles", codec="none")
-    pairs = [(c, i, d, j) for c in sorted(tiles_of) for d in (c, c + 1) if d in tiles_of for i in range(tiles_of[c]) for j in range(i if c == d else 0, tiles_of[d])]
-    names = docs.sparkSession.createDataFrame(pairs, "ca int, ta int, cb int, tb int") if len(pairs) < 100_000 else _pair_names(tiles)
+    dealing = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number, or few small pairs would share a task
+    names = _pair_names(tiles).repartition(dealing, "ca", "ta", "cb", "tb")
     a, b = (tiles.select(F.col("class").alias(f"c{x}"), F.col("tile").alias(f"t{x}"), F.col("points").alias(x)) for x in "ab")
     dealt = names.join(a, ["ca", "ta"]).join(b, ["cb", "tb"]).select(((F.col("ca") == F.col("cb")) & (F.col("ta") == F.col("tb"))).alias("own"), "a", "b")
     near, far = radius(similarity, 64), radius(similarity, 256)
@@ -279,9 +279,9 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE_WORDS, similarity: float
     for name in ("sets", "candidates", "judged", "tiles", "sketches"):
         work.drop(name)
     final.drop()
-    kept = docs.withColumns({of: id_or, mark: row_hash}).join(keep.withColumnRenamed(doc, of), [of, mark])
-    # rows of equal id and text are repetitions; the join has them next to each other
-    return kept.dropDuplicates([of, mark]).select(*docs.columns)
+    # rows of equal id and text are repetitions: one of them is left where they are read, so they never meet in the shuffle
+    one = docs.withColumns({of: id_or, mark: row_hash}).dropDuplicates([of, mark])
+    return one.join(keep.withColumnRenamed(doc, of), [of, mark]).select(*docs.columns)
 
 
 def _pair_names(tiles: DataFrame) -> DataFrame:
