@@ -29,14 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share.
 
-    It is ``spark.checkpoint.dir`` of the session.  Only where that is unset (local tests) a
-    temporary folder is made and set as the checkpoint folder of the context.
+    It is ``spark.checkpoint.dir`` of the session.  Only where that is unset on a local master (tests) a
+    temporary folder is made and set as the checkpoint folder of the context; on a cluster it must be set.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="folioflow-")
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
