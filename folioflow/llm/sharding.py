@@ -6,8 +6,11 @@ a seeded Fisher-Yates shuffle; the array is sorted first, so a repeated attempt
 writes it.  The position of a record in the whole order is its bucket's offset, a prefix sum over bucket counts,
 plus its position in the bucket; the order is cut into ``shards`` runs of equal count.
 
-A bucket that a repeated record makes larger than ``MAX_FILL`` times its share is split further by row number, so
-no bucket outgrows memory whatever the keys are.
+A record whose repetitions alone fill a bucket is scattered by row number over all buckets in place of its hash, so
+no bucket outgrows memory whatever the keys are, and its copies are spread over the whole order like any other rows.
+
+A bucket takes what a task's share of an executor's heap can hold several times over (``bucket_bytes_for``), so the
+number of buckets of a table falls as executors grow.
 
 Defined results: null text has size 1 and the checksum of no bytes, 0; null ids are scattered by their text;
 repeated rows take places of their own, and which of them takes which is of no matter because they are equal;
@@ -25,7 +28,9 @@ from ._common import Workspace, fresh, table, text_or_empty
 
 SHARDS = 8
 SEED = 29
-BUCKET_BYTES = 16 << 20
+MIN_BUCKET_BYTES = 16 << 20
+#: A bucket is held as rows, as an array, and as the sorted and the shuffled array, each wider than the text itself.
+HEAP_SHARE = 14
 MAX_FILL = 3
 
 
@@ -33,6 +38,15 @@ def record_bytes(text: str = "text") -> Column:
     return (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1).cast("long")
 
 
+def bucket_bytes_for(spark: SparkSession) -> int:
+    """The part of an executor's heap that one of its tasks may take for a bucket."""
+    context = spark.sparkContext
+    conf, local = context.getConf(), context.master.startswith("local")
+    heap = context._jvm.java.lang.Runtime.getRuntime().maxMemory() if local else context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get("spark.executor.memory", "1g"))
+    tasks = context.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
+    return max(MIN_BUCKET_BYTES, heap // max(1, tasks) // HEAP_SHARE)
+
+
 @dataclass
 class Shuffled:
     """Written buckets: every record with its bucket and position, and the offset of each bucket."""
@@ -44,23 +58,27 @@ class Shuffled:
     position: str
 
 
-def external_shuffle(docs: DataFrame, work: Workspace, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, extra: dict[str, Column] | None = None) -> Shuffled:
+def external_shuffle(docs: DataFrame, work: Workspace, seed: int = SEED, bucket_bytes: int | None = None, extra: dict[str, Column] | None = None) -> Shuffled:
     """Writes all records of ``docs`` (and the columns ``extra`` computed on the way) in shuffled order."""
-    bucket, position, packed, load = fresh(docs.select("*", *[c.alias(n) for n, c in (extra or {}).items()]), "bucket", "position", "packed", "load")
+    bucket, position, packed, load, hot = fresh(docs.select("*", *[c.alias(n) for n, c in (extra or {}).items()]), "bucket", "position", "packed", "load", "hot")
+    bucket_bytes = bucket_bytes or bucket_bytes_for(docs.sparkSession)
     draw = F.xxhash64(F.lit(seed), "doc_id", "text")
     total = docs.agg(F.sum(record_bytes())).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     cell = F.pmod(draw, F.lit(buckets)).cast("int")
-    # buckets that repeated records overfill get further partitions of their own; there are at most buckets / MAX_FILL of them
-    heavy = docs.groupBy(cell.alias("cell")).agg(F.sum(record_bytes()).alias("load")).where(F.col("load") > MAX_FILL * max(bucket_bytes, total // buckets)).orderBy("cell").collect()
-    first, where = buckets, cell
-    for row in heavy:
-        ways = -(-row["load"] // bucket_bytes)
-        where = F.when(cell == row["cell"], F.lit(first) + F.pmod(F.monotonically_increasing_id(), F.lit(ways)).cast("int")).otherwise(where)
-        first += ways
     columns = [*docs.columns, *(extra or {})]
-    frame = docs.withColumns({**(extra or {}), bucket: where})
-    dealt = frame.repartitionById(first, F.col(bucket))
+    frame = docs.withColumns(extra or {})
+    # at most buckets / MAX_FILL cells are overfull; in them, records whose repetitions fill a bucket: fewer than buckets
+    loads = docs.groupBy(cell.alias(bucket)).agg(F.sum(record_bytes()).alias(load))
+    full = work.save(loads.where(F.col(load) > MAX_FILL * max(bucket_bytes, total // buckets)).select(bucket), "full")
+    if full.isEmpty():
+        frame = frame.withColumn(bucket, cell)
+    else:
+        inside = docs.select(cell.alias(bucket), draw.alias(hot), record_bytes().alias(load)).join(F.broadcast(full), bucket, "left_semi")
+        often = work.save(inside.groupBy(hot).agg(F.sum(load).alias(load), F.count("*").alias(position)).where((F.col(load) > bucket_bytes) & (F.col(position) > 1)).select(hot), "hot")
+        anywhere = F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(buckets)).cast("int")
+        frame = frame.join(F.broadcast(often), draw == F.col(hot), "left").withColumn(bucket, F.when(F.col(hot).isNull(), cell).otherwise(anywhere)).drop(hot)
+    dealt = frame.repartitionById(buckets, F.col(bucket))
     # one bucket to a partition: sorted, then shuffled with the partition's seed
     lists = dealt.groupBy(bucket).agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(packed))
     shuffled = lists.select(bucket, F.posexplode(F.shuffle(F.col(packed), F.lit(seed))).alias(position, load))

@@ -529,3 +529,52 @@ def test_lm_a_bigram_seen_once_counts(spark):
     got = {r["doc_id"]: r["score"] for r in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[first] > got[second]
     assert lm_scoring.quantised(0) == 0 and lm_scoring.quantised(1) == 1 and 2 < lm_scoring.quantised(2) < 4
+
+
+def test_url_filter_addresses_and_clashing_names(spark):
+    from folioflow.llm import url_filter
+
+    urls = ["http://[2001:DB8::1]:80/x", "https://u:p@Example.org:8443/a", "http://h.example.org", "nonsense", None]
+    hosts = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "url string").select(url_filter.host_of(url_filter.F.col("url"))).collect()]
+    assert hosts == ["[2001:db8::1]", "example.org", "h.example.org", None, None]
+    pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "id int, url string, kept string").selectExpr("*", "TIMESTAMP '2024-06-01' AS fetched", "1 AS host", "2 AS action", "3 AS entry", "4 AS verdict", "5 AS of")
+    events = spark.createDataFrame([("[2001:db8::1]", "block"), ("example.org", "block")], "key string, action string").selectExpr("*", "TIMESTAMP '2024-01-01' AS at")
+    out = url_filter.judge(pages, events)
+    assert out.columns == [*pages.columns, "_host", "_entry", "_action", "entry_begin", "_kept"]
+    assert {r["id"]: r["_kept"] for r in out.collect()} == {0: False, 1: False, 2: False, 3: True, 4: True}
+
+
+def test_codes_beyond_63_bits(spark, monkeypatch):
+    """Shingle codes of a vocabulary whose cube does not fit: hashes, with the same results."""
+    docs = spark.createDataFrame([(1, "x a b c d e f g h i j z"), (2, "j i h g f e d c b a"), (3, "a b c")], "doc_id int, text string")
+    bench = spark.createDataFrame([("p", "a b c d e f g h i j"), ("q", "a b c"), ("r", "c b")], "item_id string, text string")
+    want = pairs(decontamination.contamination(docs, bench).collect(), "n_hit", "n_items")
+    assert want == [(1, 10, 2), (2, 2, 1), (3, 3, 1)]
+    windows = decontamination.cut([("p", "a b c d")], 10)
+    assert decontamination._base(3_000_000, 3) % 2 == 1 and decontamination._base(2_000_000, 3) == 2_000_000
+    big = decontamination.Windows({str(k).encode(): k for k in range(3_000_000)}, [(2_999_999, 2_999_998, 7, 2_999_999)], [["p"]])
+    s, codes = big.codes(big.rows[0], 3)
+    at, same = decontamination._positions(np.array(big.rows[0], np.int64), 3, 3_000_000)
+    assert s == 3 and at.tolist() == [0, 1] and same.tolist() == codes and windows.codes(windows.rows[0], 3)[1] == [0 * 16 + 1 * 4 + 2, 1 * 16 + 2 * 4 + 3]
+
+
+def test_sharding_of_hot_records(spark, sample):
+    """A record repeated for a third of all bytes is spread over the order; other rows keep their places whatever the files."""
+    hot = spark.range(3000).selectExpr("7L AS doc_id", "repeat('hot text ', 30) AS text")
+    docs = sample.select("doc_id", "text").unionByName(hot)
+    runs = [sharding.assign(d, bucket_bytes=50_000).collect() for d in (docs, docs.repartition(5))]
+    for got in runs:
+        sizes = collections.Counter(r["shard"] for r in got)
+        copies = collections.Counter(r["shard"] for r in got if r["size"] == 271 and r["doc_id"] == 7)
+        assert len(got) == sample.count() + 3000 and max(sizes.values()) - min(sizes.values()) <= 1
+        assert len(copies) == 8 and min(copies.values()) > 300 and max(copies.values()) < 460
+
+
+def test_no_local_work_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from folioflow.llm import _common
+
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: {}, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        _common.shared_folder(SimpleNamespace(sparkContext=context, conf={}))
