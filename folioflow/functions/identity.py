@@ -26,6 +26,46 @@ def fingerprint(*parts: Column) -> Column:
     return sha256(joined)
 
 
+def _scalar(value: Column) -> Column:
+    shown = F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})
+    return F.substring(shown, F.lit(6), F.length(shown) - 6)
+
+
+def stable_json(value, level: int = 0) -> Column:
+    """Indented JSON with sorted keys, ``,`` and ``: `` between parts, as an expression.
+
+    A dict is an object, a pair (array column, function from element to value) a list, a column a scalar.  Control
+    characters without a short form are written with upper-case digits."""
+    outer, inner = "  " * level, "  " * (level + 1)
+    if isinstance(value, dict):
+        parts = [F.concat(F.lit(f'{inner}"{name}": '), stable_json(value[name], level + 1)) for name in sorted(value)]
+        return F.concat(F.lit("{\n"), F.array_join(F.array(*parts), ",\n"), F.lit(f"\n{outer}}}")) if parts else F.lit("{}")
+    if isinstance(value, tuple):
+        array, of = value
+        rows = F.transform(array, lambda x: F.concat(F.lit(inner), stable_json(of(x), level + 1)))
+        return F.when(F.size(array) > 0, F.concat(F.lit("[\n"), F.array_join(rows, ",\n"), F.lit(f"\n{outer}]"))).otherwise(F.lit("[]"))
+    return _scalar(value if isinstance(value, Column) else F.lit(value))
+
+
+def stable_hash(value) -> Column:
+    """Hash of the stable JSON and a final newline."""
+    return sha256(F.concat(stable_json(value), F.lit("\n")))
+
+
+def conversion_fingerprint(source_sha256: Column, converter: Column, version: Column, options_sha256: Column, toolchain: Column, runtime: Column) -> Column:
+    """Hash of all that can change a conversion's output.  ``toolchain`` is an array of (name, version_output, executable_sha256,
+    argv, environment of (name, value)), ``runtime`` has platform, libc, shared_libraries and fonts of (name, sha256)."""
+    named = lambda x: {"name": x["name"], "sha256": x["sha256"]}
+    tool = lambda x: {
+        "name": x["name"], "version_output": x["version_output"], "executable_sha256": x["executable_sha256"], "argv": (x["argv"], lambda a: a),
+        "environment": (x["environment"], lambda e: {"name": e["name"], "value": e["value"]}), "ocr_settings": F.lit(None).cast("string"),
+    }
+    return stable_hash({
+        "source_sha256": source_sha256, "converter": converter, "converter_version": version, "options_sha256": options_sha256, "toolchain": (toolchain, tool),
+        "runtime": {"platform": runtime["platform"], "libc": runtime["libc"], "shared_libraries": (runtime["shared_libraries"], named), "fonts": (runtime["fonts"], named)},
+    })
+
+
 def canonical_bitstream(url: Column) -> Column:
     """Lower-case host, path quoted anew, of the query only ``sequence``.  An Arrow batch function: Spark's own
     URL functions quote differently."""

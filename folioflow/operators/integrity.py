@@ -5,6 +5,8 @@ Each check returns the violating rows, so an empty result is a pass and nothing
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +49,17 @@ def order_violations(frame: DataFrame, group: list[str], position: str, key: str
     return frame.withColumn("before", before).where(F.col("before") >= F.col(key)).select(*group, position, key, "before", F.when(F.col("before") == F.col(key), "repeated").otherwise("unsorted").alias("problem"))
 
 
+def _checkpoint_folder(frame: DataFrame) -> None:
+    """Sets the session's shared checkpoint folder; only a local master without one gets a temporary folder."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir():
+        return
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if not folder and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="folioflow-"))
+
+
 def on_cycles(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Nodes of (node, next) with one way out each that lie on a cycle or lead into one.
 
@@ -62,7 +75,8 @@ def on_cycles(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         jump = jump.join(hop, "at").select("node", F.col("then").alias("at"))
         step *= 2
         if k % 4 == 3:
-            jump = jump.checkpoint() if jump.sparkSession.sparkContext.getCheckpointDir() else jump
+            _checkpoint_folder(jump)
+            jump = jump.checkpoint()
     return jump.select("node")
 
 

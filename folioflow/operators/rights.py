@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.identity import fingerprint
+from ..functions.identity import stable_hash
 
 # Which visibilities a state allows.
 ALLOWED = {"approved": ("public", "repository_authorized", "internal", "restricted"), "internal_only": ("internal", "restricted")}
@@ -20,8 +20,12 @@ def evaluate(subjects: DataFrame, register: DataFrame, keys: list[str]) -> DataF
     return joined.withColumns({"state": state, "basis": F.coalesce("b", F.lit(DEFAULT_BASIS)), "decision_hash": F.col("h")}).drop("s", "b", "h")
 
 
-def decision_hash(version: str, *parts: Column) -> Column:
-    return fingerprint(F.lit(version), *parts)
+def decision_hash(version: int, source_id: Column, source_sha256: Column, state: Column, basis: Column, reviewed_by: Column, reviewed_at: Column) -> Column:
+    """Hash of the stable JSON of the decision's named fields."""
+    return stable_hash({
+        "policy_version": version, "source_id": source_id, "source_sha256": source_sha256, "state": state, "basis": basis,
+        "reviewed_by": reviewed_by, "reviewed_at": reviewed_at,
+    })
 
 
 def allowed(state: Column, visibility: Column) -> Column:

@@ -23,9 +23,13 @@ def running_inventory(events: DataFrame, run: str, order: str, size: str) -> Dat
 
 
 def to_append(existing: DataFrame, arriving: DataFrame, key: str, payload: str) -> DataFrame:
-    """What an immutable table does with arriving rows: append, no_op for the same payload, conflict for another."""
-    joined = arriving.alias("a").join(existing.alias("e"), F.col(f"a.{key}") == F.col(f"e.{key}"), "left")
-    return joined.select("a.*", F.when(F.col(f"e.{key}").isNull(), "append").when(F.col(f"a.{payload}").eqNullSafe(F.col(f"e.{payload}")), "no_op").otherwise("conflict").alias("effect"))
+    """What an immutable table does with arriving rows: append, no_op for the same payload, conflict for another.
+
+    Arriving rows of equal key and payload are one row; different payloads of one key in a batch are all conflicts."""
+    clash = arriving.groupBy(F.col(key).alias("_key")).agg((F.min(payload) != F.max(payload)).alias("_clash"))
+    once = arriving.dropDuplicates([key, payload]).join(clash, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    joined = once.alias("a").join(existing.alias("e"), F.col(f"a.{key}") == F.col(f"e.{key}"), "left")
+    return joined.select(*[F.col(f"a.{c}") for c in arriving.columns], F.when(F.col("_clash"), "conflict").when(F.col(f"e.{key}").isNull(), "append").when(F.col(f"a.{payload}").eqNullSafe(F.col(f"e.{payload}")), "no_op").otherwise("conflict").alias("effect"))
 
 
 def migration_plan(source: DataFrame, target: DataFrame, key: str, compare: list[str]) -> DataFrame:

@@ -9,10 +9,18 @@ from pyspark.sql import functions as F
 MAX_ENTRIES = 10_000
 
 
-def commit_plan(entries: DataFrame, group: str) -> DataFrame:
-    """Unique entries (path, sha256) of each group in path order, and the hash of their rows."""
-    rows = F.transform(F.array_sort(F.collect_set(F.struct("path", "sha256"))), lambda x: F.concat(x["sha256"], F.lit("  "), x["path"].cast("string"), F.lit("\n")))
-    return entries.groupBy(group).agg(F.sha2(F.array_join(rows, "").cast("binary"), 256).alias("commit_sha256"), F.size(F.collect_set(F.struct("path", "sha256"))).cast("long").alias("entries"))
+def commit_plan(entries: DataFrame, group: list[str], base: Column, dispatch: Column, scope: str = "archive") -> DataFrame:
+    """The commit of each group of entries (path, mode, sha256, task): base, unique entries in path order as a tree hash,
+    subject and body with the distinct tasks.  A group of more than ``MAX_ENTRIES`` entries stops the query."""
+    row = lambda x: F.concat(x["mode"], F.lit("\x00"), x["path"], F.lit("\x00"), x["sha256"], F.lit("\n"))
+    found = F.array_sort(F.collect_set(F.struct("path", "mode", "sha256")))
+    plans = entries.groupBy(*group).agg(F.count("*").alias("n"), found.alias("tree"), F.array_sort(F.collect_set("task")).alias("tasks"))
+    fits = F.when(F.col("n") <= MAX_ENTRIES, F.size("tree").cast("long")).otherwise(F.raise_error(F.lit("a commit has too many entries")).cast("long"))
+    lines = F.concat(F.array(F.lit("Tasks:")), F.transform("tasks", lambda x: F.concat(F.lit("- "), x)), F.array(F.lit(""), F.concat(F.lit("Dispatch-Plan-SHA256: "), dispatch)))
+    return plans.select(
+        *group, base.alias("expected_base_sha"), F.sha2(F.array_join(F.transform("tree", row), "").cast("binary"), 256).alias("tree_sha256"), fits.alias("entries"),
+        F.concat(F.lit(f"chore({scope}): apply "), F.size("tasks").cast("string"), F.lit(" scheduled task(s)")).alias("subject"), F.array_join(lines, "\n").alias("body"),
+    )
 
 
 def index_table(rows: DataFrame, month: Column, order: str, cells: list[Column]) -> DataFrame:

@@ -192,10 +192,24 @@ def handle_versions(spark, d):
     return v.select("conv_id", "turn", "handle", i.handle_version(F.col("handle")).alias("version"), i.supersedes(F.col("handle")).alias("supersedes"))
 
 
-@query("SELECT p_partkey, sha256(p_name || chr(0) || p_brand || chr(0) || p_type || chr(0) || p_size) AS fingerprint FROM part")
+@query("""
+SELECT p_partkey, sha256(array_to_string(['{', '  "converter": ' || to_json(p_brand) || ',', '  "converter_version": "1",', '  "options_sha256": "' || sha256(p_type) || '",', '  "runtime": {', '    "fonts": [],',
+  '    "libc": "c",', '    "platform": "p",', '    "shared_libraries": [', '      {', '        "name": "z",', '        "sha256": "' || sha256(p_brand) || '"', '      }', '    ]', '  },',
+  '  "source_sha256": "' || sha256(p_name) || '",', '  "toolchain": [', '    {', '      "argv": [', '        "-layout",', '        ' || to_json(p_type), '      ],', '      "environment": [],',
+  '      "executable_sha256": "' || sha256(p_type) || '",', '      "name": "t",', '      "ocr_settings": null,', '      "version_output": "' || p_size || '"', '    }', '  ]', '}', ''], chr(10))) AS fingerprint FROM part""")
 def conversion_fingerprints(spark, d):
-    """Hashes of parts with NUL between them."""
-    return read(spark, d, "part").select("p_partkey", i.fingerprint(F.col("p_name"), F.col("p_brand"), F.col("p_type"), F.col("p_size")).alias("fingerprint"))
+    """Hash of the stable JSON of source, converter, options, tools and runtime."""
+    h = {c: i.sha256(F.col(c)) for c in ("p_name", "p_brand", "p_type")}
+    named = "array<struct<name:string,sha256:string>>"
+    tool = F.struct(
+        F.lit("t").alias("name"), F.col("p_size").cast("string").alias("version_output"), h["p_type"].alias("executable_sha256"), F.array(F.lit("-layout"), "p_type").alias("argv"),
+        F.array().cast("array<struct<name:string,value:string>>").alias("environment"),
+    )
+    runtime = F.struct(
+        F.lit("p").alias("platform"), F.lit("c").alias("libc"), F.array(F.struct(F.lit("z").alias("name"), h["p_brand"].alias("sha256"))).alias("shared_libraries"), F.array().cast(named).alias("fonts"),
+    )
+    found = i.conversion_fingerprint(h["p_name"], F.col("p_brand"), F.lit("1"), h["p_type"], F.array(tool), runtime)
+    return read(spark, d, "part").select("p_partkey", found.alias("fingerprint"))
 
 
 @query("""
@@ -235,7 +249,14 @@ def limited_then_filtered(spark, d):
 
 
 @query("""
-SELECT source, sha256(string_agg(sha256(text) || '  ' || doc_id || chr(10), '' ORDER BY doc_id)) AS commit_sha256, count(*) AS entries FROM documents GROUP BY source""")
+SELECT source, part, repeat('0', 40) AS expected_base_sha, tree_sha256, entries, 'chore(archive): apply ' || len(tasks) || ' scheduled task(s)' AS subject,
+  array_to_string(['Tasks:'] || tasks || ['', 'Dispatch-Plan-SHA256: ' || sha256(CAST(part AS VARCHAR))], chr(10)) AS body
+FROM (SELECT source, doc_id // 1000 AS part, count(*) AS entries, list_sort(list_distinct(list('- ' || lang))) AS tasks,
+  sha256(string_agg('100644' || chr(0) || 'documents/' || lpad(CAST(doc_id AS VARCHAR), 12, '0') || '.md' || chr(0) || sha256(text) || chr(10), '' ORDER BY doc_id)) AS tree_sha256
+  FROM documents GROUP BY ALL)""")
 def commit_plans(spark, d):
-    """Unique entries in order, and their hash.  A commit has at most 10,000 entries."""
-    return plans.commit_plan(read(spark, d, "documents").select("source", F.col("doc_id").alias("path"), i.sha256(F.col("text")).alias("sha256")), "source")
+    """Base, unique entries in order, their tree hash, subject and body, for each thousand documents of a source."""
+    docs = read(spark, d, "documents").select(
+        "source", F.expr("doc_id div 1000").alias("part"), F.format_string("documents/%012d.md", "doc_id").alias("path"), F.lit("100644").alias("mode"), i.sha256(F.col("text")).alias("sha256"), F.col("lang").alias("task"),
+    )
+    return plans.commit_plan(docs, ["source", "part"], F.repeat(F.lit("0"), F.lit(40)), i.sha256(F.col("part").cast("string")))

@@ -183,11 +183,18 @@ def tree_hashes(spark, d):
 _REGISTER = """SELECT doc_id, CASE WHEN toxic = 1 THEN 'internal_only' WHEN quality = 1 THEN 'approved' ELSE 'unknown' END AS state,
   CASE WHEN quality = 1 THEN 'license' ELSE 'review' END AS basis, CASE WHEN quality = 1 OR toxic = 1 THEN 'r' || doc_id % 3 END AS reviewed_by,
   CASE WHEN quality = 1 THEN '2024-01-0' || (1 + doc_id % 9) END AS reviewed_at FROM labels"""
-_HASHED = f"SELECT *, sha256('1' || chr(0) || doc_id || chr(0) || state || chr(0) || basis || chr(0) || coalesce(reviewed_by, '') || chr(0) || coalesce(reviewed_at, '')) AS decision_hash FROM ({_REGISTER})"
+_HASHED = f"""SELECT *, sha256('{{' || chr(10) || '  "basis": ' || to_json(basis) || ',' || chr(10) || '  "policy_version": 1,' || chr(10)
+  || '  "reviewed_at": ' || coalesce(to_json(reviewed_at), 'null') || ',' || chr(10) || '  "reviewed_by": ' || coalesce(to_json(reviewed_by), 'null') || ',' || chr(10)
+  || '  "source_id": "document-' || doc_id || '",' || chr(10) || '  "source_sha256": "' || sha256(CAST(doc_id AS VARCHAR)) || '",' || chr(10)
+  || '  "state": ' || to_json(state) || chr(10) || '}}' || chr(10)) AS decision_hash FROM ({_REGISTER})"""
 _EVALUATED = f"""SELECT d.doc_id, d.source, CASE WHEN r.state IS NULL OR r.state = 'unknown' THEN 'metadata_only' ELSE r.state END AS state, coalesce(r.basis, 'rights_register_no_match') AS basis, r.decision_hash,
   CASE d.doc_id % 4 WHEN 0 THEN 'public' WHEN 1 THEN 'repository_authorized' WHEN 2 THEN 'internal' ELSE 'restricted' END AS visibility
   FROM documents d LEFT JOIN ({_HASHED}) r ON r.doc_id = d.doc_id"""
-_PARTS = ("doc_id", "state", "basis", "reviewed_by", "reviewed_at")
+
+
+def _decision_hash():
+    doc = F.col("doc_id").cast("string")
+    return rights.decision_hash(1, F.concat(F.lit("document-"), doc), i.sha256(doc), *map(F.col, ("state", "basis", "reviewed_by", "reviewed_at")))
 
 
 def register(spark, d):
@@ -196,7 +203,7 @@ def register(spark, d):
         F.when((F.col("quality") == 1) | (F.col("toxic") == 1), F.concat(F.lit("r"), (F.col("doc_id") % 3).cast("string"))).alias("reviewed_by"),
         F.when(F.col("quality") == 1, F.concat(F.lit("2024-01-0"), (1 + F.col("doc_id") % 9).cast("string"))).alias("reviewed_at"),
     )
-    return r.withColumn("decision_hash", rights.decision_hash("1", *[F.col(c) for c in _PARTS]))
+    return r.withColumn("decision_hash", _decision_hash())
 
 
 def evaluated(spark, d):
@@ -234,7 +241,7 @@ FROM ({_HASHED}) WHERE problem IS NOT NULL""")
 def invalid_decisions(spark, d):
     """C14: decisions that contradict themselves."""
     r = register(spark, d)
-    return rights.invalid_decisions(r, rights.decision_hash("1", *[F.col(c) for c in _PARTS])).select("doc_id", "problem")
+    return rights.invalid_decisions(r, _decision_hash()).select("doc_id", "problem")
 
 
 @query(f"""

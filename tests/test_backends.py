@@ -37,3 +37,40 @@ def test_identities(spark):
     assert [r["ok"] for r in rows.select(identity.portable_identity(F.col("v")).alias("ok")).collect()] == [False, True, False, False, False, False, False]
     pairs = spark.createDataFrame([("source-12.2", "document-12.2"), ("source-12", "document-12.2"), ("x", "y")], "s string, d string")
     assert [r["ok"] for r in pairs.select(identity.same_provenance(F.col("s"), F.col("d")).alias("ok")).collect()] == [True, False, False]
+
+
+def test_one_batch_may_not_contradict_itself(spark, tmp_path):
+    b = backends.backend("table", spark, str(tmp_path / "t"))
+    rows = lambda *r: spark.createDataFrame(r, "key string, content binary")
+    with pytest.raises(ValueError):
+        b.put(rows(("a", b"1"), ("a", b"2")))
+    assert b.put(rows(("a", b"1"), ("objects/a", b"1"), ("b", b"2"))).count() == 2
+
+
+def test_hashes_of_named_fields(spark):
+    """Hashes are those of indented JSON with sorted keys and a final newline."""
+    import json
+
+    from folioflow.operators import rights
+    from folioflow.plans import documents
+
+    digest = lambda value: sha256((json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True, separators=(",", ": ")) + "\n").encode()).hexdigest()
+    decision = {"policy_version": 1, "source_id": "s\"ä\\\n", "source_sha256": "0" * 64, "state": "approved", "basis": "b", "reviewed_by": "r", "reviewed_at": None}
+    tool = {"name": "t", "version_output": "1", "executable_sha256": "e", "argv": ["-a", "-b"], "environment": [{"name": "n", "value": "v"}], "ocr_settings": None}
+    runtime = {"platform": "p", "libc": "c", "shared_libraries": [{"name": "l", "sha256": "h"}, {"name": "m", "sha256": "i"}], "fonts": []}
+    named, types = "array<struct<name:string,sha256:string>>", "name string, version_output string, executable_sha256 string, argv array<string>, environment array<struct<name:string,value:string>>"
+    tools = f"array<struct<{types.replace(' string', ':string').replace(' array', ':array')}>>"
+    row = spark.createDataFrame(
+        [(decision, [tuple(tool[k] if k != "environment" else [("n", "v")] for k in ("name", "version_output", "executable_sha256", "argv", "environment"))], ("p", "c", [("l", "h"), ("m", "i")], []))],
+        f"d struct<source_id:string,source_sha256:string,state:string,basis:string,reviewed_by:string,reviewed_at:string>, t {tools}, r struct<platform:string,libc:string,shared_libraries:{named},fonts:{named}>",
+    )
+    got = row.select(
+        rights.decision_hash(1, *[F.col(f"d.{c}") for c in ("source_id", "source_sha256", "state", "basis", "reviewed_by", "reviewed_at")]).alias("decision"),
+        identity.conversion_fingerprint(F.lit("s"), F.lit("c"), F.lit("1"), F.lit("o"), F.col("t"), F.col("r")).alias("conversion"),
+    ).first()
+    assert got["decision"] == digest(decision)
+    assert got["conversion"] == digest({"source_sha256": "s", "converter": "c", "converter_version": "1", "options_sha256": "o", "toolchain": [tool], "runtime": runtime})
+    entries = spark.createDataFrame([(1, "b", "100644", "y", "t2"), (1, "a", "100755", "x", "t1"), (1, "a", "100755", "x", "t1")], "g int, path string, mode string, sha256 string, task string")
+    plan = documents.commit_plan(entries, ["g"], F.lit("base"), F.lit("plan")).first()
+    assert plan["tree_sha256"] == sha256(b"100755\0a\0x\n100644\0b\0y\n").hexdigest() and plan["entries"] == 2
+    assert plan["subject"] == "chore(archive): apply 2 scheduled task(s)" and plan["body"] == "Tasks:\n- t1\n- t2\n\nDispatch-Plan-SHA256: plan"
