@@ -95,6 +95,30 @@ def archive_time(epoch: Column) -> Column:
     return clamped - F.pmod(clamped, F.lit(2))
 
 
+def _parts(epoch: Column) -> tuple[Column, ...]:
+    """Day and hour, minute, second of UTC, whatever the session's time zone."""
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(epoch / 86400).cast("int"))
+    second = F.pmod(epoch, F.lit(86400))
+    return day, F.floor(second / 3600).cast("int"), F.floor(F.pmod(second, F.lit(3600)) / 60).cast("int"), F.pmod(second, F.lit(60)).cast("int")
+
+
+def archive_datetime(epoch: Column) -> Column:
+    """A member's time as an array (year, month, day, hour, minute, even second)."""
+    day, *clock = _parts(archive_time(epoch))
+    return F.array(F.year(day), F.month(day), F.dayofmonth(day), *clock)
+
+
+def generated_at(epoch: Column) -> Column:
+    """A reproducible build time in UTC; null for a time before 1970."""
+    return F.when(epoch >= 0, F.format_string("%sT%02d:%02d:%02dZ", *(x.cast("string") if k == 0 else x for k, x in enumerate(_parts(epoch)))))
+
+
+def scope_valid(as_of: Column, from_year: Column, to_year: Column) -> Column:
+    """Whether a run's time has whole seconds and its years lie in order between 1990 and 9999."""
+    whole = F.coalesce(F.pmod(F.unix_micros(as_of.cast("timestamp")), F.lit(1_000_000)) == 0, F.lit(False))
+    return whole & F.coalesce((from_year >= 1990) & (from_year <= to_year) & (to_year <= 9999), F.lit(False))
+
+
 def duration_seconds(start: Column, end: Column) -> Column:
     """Seconds from start to end, not below zero, to three places."""
     return F.round(F.greatest(F.lit(0.0), (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 1e6), 3)

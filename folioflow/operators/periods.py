@@ -6,6 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as c
+from ..functions.identity import stable_hash
+
+# Fixed value: the version of an archive's form.
+ARCHIVE_FORMAT_VERSION = "1"
+#: Members of one archive; they are sorted in one task.
+MAX_MEMBERS = 10_000
 
 
 def affected(records: DataFrame, day: str, year: str | None = None) -> DataFrame:
@@ -78,13 +84,20 @@ def period_documents(documents: DataFrame, day: str, conversions: DataFrame, key
     return fan.select("p.kind", "p.value", *[x for x in documents.columns], "conversion_id", "state")
 
 
-def planned_archives(members: DataFrame) -> DataFrame:
-    """One archive for each (kind, value, format) with members (path, sha256, visibility): count, bytes, fingerprint over the
-    members in path order, and whether the visibilities are mixed or base names collide."""
+def planned_archives(members: DataFrame, prefix: str = "archive") -> DataFrame:
+    """One archive for each (kind, value, format) with members (path, bytes, sha256, visibility, epoch): count, bytes, hash of
+    its inputs, and whether the visibilities are mixed or base names collide.  More than ``MAX_MEMBERS`` members stop the query."""
     base = F.regexp_extract("path", r"([^/]+)$", 1)
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("path", "sha256"))), lambda m: F.concat(m["sha256"], F.lit("  "), m["path"], F.lit("\n")))
     out = members.withColumn("base", base).groupBy("kind", "value", "format").agg(
-        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("fingerprint"),
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(F.struct("path", "bytes", "sha256"))).alias("entries"),
+        F.min("visibility").alias("visibility"), F.max("epoch").alias("epoch"),
         (F.count_distinct("visibility") > 1).alias("mixed"), (F.count_distinct("base") < F.count("*")).alias("collision"),
     )
-    return out.withColumn("archive_id", F.concat_ws("-", F.lit("archive"), "kind", F.lower("value"), "format"))
+    out = out.withColumn("archive_id", F.concat_ws("-", F.lit(prefix), "kind", F.lower("value"), "format"))
+    hashed = stable_hash({
+        "format_version": ARCHIVE_FORMAT_VERSION, "archive": {"archive_id": F.col("archive_id"), "period": F.col("value"), "kind": F.concat_ws("-", "kind", "format")},
+        "zip_datetime": (c.archive_datetime(F.col("epoch")), lambda x: x), "visibility": F.col("visibility"),
+        "entries": (F.col("entries"), lambda x: {"path": x["path"], "bytes": x["bytes"], "sha256": x["sha256"]}),
+    })
+    n = F.when(F.col("n") <= MAX_MEMBERS, F.col("n")).otherwise(F.raise_error(F.lit("an archive has too many members")).cast("long"))
+    return out.select("kind", "value", "format", n.alias("n"), "bytes", hashed.alias("fingerprint"), "mixed", "collision", "archive_id")

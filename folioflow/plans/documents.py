@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Entries of one commit or index; a larger group is split by its caller.
 MAX_ENTRIES = 10_000
+# Forms of a header's fields.
+BULLETIN = r"^(?:0?[1-9]|[1-4][0-9]|5[0-3])/[0-9]{4}$"
+DOI = r"^10\.[0-9]{4,9}/\S+$"
+CONTROL = r"[\x00-\x1f\x7f]"
+MAX_TITLE, MAX_DOI, FIRST_YEAR = 1000, 300, 1990
 
 
 def commit_plan(entries: DataFrame, group: list[str], base: Column, dispatch: Column, scope: str = "archive") -> DataFrame:
@@ -35,3 +43,19 @@ def front_matter(fields: dict[str, Column]) -> Column:
     quoted = lambda c: F.when(c.isNull(), "null").otherwise(F.regexp_extract(F.to_json(F.struct(c.cast("string").alias("v"))), r'^\{"v":(.*)\}$', 1))
     lines = [F.concat(F.lit(f"{name}: "), quoted(c)) for name, c in fields.items()]
     return F.concat(F.lit("---\n"), F.concat_ws("\n", *lines), F.lit("\n---\n"))
+
+
+def header_problem(title: Column, day: Column, bulletin: Column, doi: Column) -> Column:
+    """The first field of a header that is not in its form (title, publication_date, bulletin_number, doi), else null; bulletin
+    and DOI may be null.  The composed form of the title is an Arrow batch function."""
+
+    def composed(batch):
+        return pa.array([v is not None and unicodedata.is_normalized("NFC", v) for v in batch.to_pylist()], pa.bool_())
+
+    fits = F.coalesce((title != "") & (F.length(title) <= MAX_TITLE) & ~title.rlike(CONTROL), F.lit(False)) & F.arrow_udf(composed, "boolean")(title)
+    return (
+        F.when(~fits, "title")
+        .when(day.isNull() | (F.year(day) < FIRST_YEAR), "publication_date")
+        .when(bulletin.isNotNull() & ~bulletin.rlike(BULLETIN), "bulletin_number")
+        .when(doi.isNotNull() & ((F.length(doi) > MAX_DOI) | doi.rlike(CONTROL) | ~doi.rlike(DOI)), "doi")
+    )

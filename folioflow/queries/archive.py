@@ -83,8 +83,10 @@ def period_documents(spark, d):
 @query("""
 WITH m AS (SELECT 'month' AS kind, strftime(o_orderdate, '%Y-%m') AS value, CASE WHEN o_orderkey % 2 = 0 THEN 'pdf' ELSE 'markdown' END AS format, 'x/' || o_orderkey % 3 || '/' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || '.f' AS path,
   'x' || o_orderkey AS base, sha256(CAST(o_orderkey AS VARCHAR)) AS h, o_orderkey % 1000 AS bytes, CASE WHEN o_orderkey % 501 = 0 THEN 'internal' ELSE 'public' END AS vis FROM orders)
-SELECT kind, value, format, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes, sha256(string_agg(h || '  ' || path || chr(10), '' ORDER BY path)) AS fingerprint,
-  count(DISTINCT vis) > 1 AS mixed, count(DISTINCT base) < count(*) AS collision, 'archive-' || kind || '-' || lower(value) || '-' || format AS archive_id FROM m GROUP BY ALL""")
+SELECT kind, value, format, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes, sha256(array_to_string(['{', '  "archive": {', '    "archive_id": "archive-' || kind || '-' || lower(value) || '-' || format || '",', '    "kind": "' || kind || '-' || format || '",', '    "period": "' || value || '"', '  },', '  "entries": [',
+    string_agg('    {' || chr(10) || '      "bytes": ' || bytes || ',' || chr(10) || '      "path": "' || path || '",' || chr(10) || '      "sha256": "' || h || '"' || chr(10) || '    }', ',' || chr(10) ORDER BY path), '  ],',
+    '  "format_version": "1",', '  "visibility": "' || min(vis) || '",', '  "zip_datetime": [', '    ' || CAST(left(value, 4) AS INT) || ',', '    ' || CAST(right(value, 2) AS INT) || ',', '    1,', '    6,', '    7,', '    8', '  ]', '}', ''], chr(10))) AS fingerprint,
+  count(DISTINCT vis) > 1 AS mixed, count(DISTINCT base) < count(*) AS collision, 'archive-' || kind || '-' || lower(value) || '-' || format AS archive_id FROM m GROUP BY kind, value, format""")
 def planned_archives(spark, d):
     """Archives of each period and format (an archive has at most 10,000 members)."""
     o = orders(spark, d)
@@ -93,6 +95,7 @@ def planned_archives(spark, d):
         F.lit("month").alias("kind"), F.date_format("day", "yyyy-MM").alias("value"), F.when(key % 2 == 0, "pdf").otherwise("markdown").alias("format"),
         F.concat(F.lit("x/"), (key % 3).cast("string"), F.lit("/"), F.lpad(key.cast("string"), 9, "0"), F.lit(".f")).alias("path"), i.sha256(key.cast("string")).alias("sha256"),
         (key % 1000).alias("bytes"), F.when(key % 501 == 0, "internal").otherwise("public").alias("visibility"),
+        (F.unix_date(F.trunc("day", "month")) * F.lit(86400).cast("long") + 6 * 3600 + 7 * 60 + 9).alias("epoch"),
     )
     return periods.planned_archives(members)
 

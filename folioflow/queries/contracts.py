@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import calendar as c
 from ..functions import identity as i
 from ..functions import text as t
 from ..functions import urls as u
@@ -84,3 +85,25 @@ def period_membership(spark, d):
     e = read(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("value"), F.col("o_orderkey").alias("doc"))
     p = e.withColumn("doc", F.when(F.col("doc") % 211 == 0, F.col("doc") + 100000000).otherwise(F.col("doc")))
     return membership_findings(e, p, ["value"], "doc")
+
+
+@query("SELECT o_orderkey, strftime(make_timestamp(o_orderkey * 98765 * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS generated_at, o_orderkey % 3 <> 0 AND o_orderkey % 7 + 1987 >= 1990 AND o_orderkey % 5 < 4 AS valid FROM orders")
+def run_clocks(spark, d):
+    """Reproducible build times; times and years of a run."""
+    key = F.col("o_orderkey")
+    first = (key % 7 + 1987).cast("int")
+    at = F.timestamp_micros(key * 1_000_000 + F.when(key % 3 == 0, 1).otherwise(0))
+    valid = c.scope_valid(at, first, F.when(key % 5 < 4, first + 5).otherwise(first - 1))
+    return read(spark, d, "orders").select("o_orderkey", c.generated_at(key * 98765).alias("generated_at"), valid.alias("valid"))
+
+
+@query(r"""
+SELECT p_partkey, CASE WHEN p_partkey % 13 = 0 THEN 'title' WHEN p_partkey % 11 = 0 THEN 'publication_date' WHEN NOT regexp_full_match(p_size || '/2024', '(0?[1-9]|[1-4][0-9]|5[0-3])/[0-9]{4}') THEN 'bulletin_number'
+  WHEN p_partkey % 4 <> 0 AND NOT regexp_full_match('10.' || p_partkey || '/' || p_type, '10\.[0-9]{4,9}/\S+') THEN 'doi' END AS problem FROM part""")
+def header_problems(spark, d):
+    """Fields of a header that are not in their form."""
+    key = F.col("p_partkey")
+    title = F.when(key % 26 == 0, F.concat("p_name", F.lit("\x07"))).when(key % 13 == 0, F.lit("e\u0301")).otherwise(F.col("p_name"))
+    doi = F.when(key % 4 != 0, F.concat(F.lit("10."), key.cast("string"), F.lit("/"), "p_type"))
+    day = F.when(key % 11 == 0, F.lit("1989-12-31")).otherwise(F.lit("1990-01-01")).cast("date")
+    return read(spark, d, "part").select("p_partkey", plans.header_problem(title, day, F.concat(F.col("p_size").cast("string"), F.lit("/2024")), doi).alias("problem"))

@@ -74,3 +74,25 @@ def test_hashes_of_named_fields(spark):
     plan = documents.commit_plan(entries, ["g"], F.lit("base"), F.lit("plan")).first()
     assert plan["tree_sha256"] == sha256(b"100755\0a\0x\n100644\0b\0y\n").hexdigest() and plan["entries"] == 2
     assert plan["subject"] == "chore(archive): apply 2 scheduled task(s)" and plan["body"] == "Tasks:\n- t1\n- t2\n\nDispatch-Plan-SHA256: plan"
+
+
+def test_archive_inputs_and_headers(spark):
+    """The hash of an archive's inputs, build times in UTC, and header fields, with literal values."""
+    import json
+
+    from folioflow.functions import calendar
+    from folioflow.operators import periods
+    from folioflow.plans import documents
+
+    payload = {
+        "format_version": "1", "archive": {"archive_id": "archive-week-2024-w05-pdf", "period": "2024-W05", "kind": "week-pdf"}, "zip_datetime": [2024, 2, 4, 23, 59, 58],
+        "visibility": "public", "entries": [{"path": "PDF/a.pdf", "bytes": 3, "sha256": "x"}, {"path": "PDF/b.pdf", "bytes": 4, "sha256": "y"}],
+    }
+    want = sha256((json.dumps(payload, indent=2, sort_keys=True, separators=(",", ": ")) + "\n").encode()).hexdigest()
+    members = spark.createDataFrame([("week", "2024-W05", "pdf", p, n, h, "public", 1707091199) for p, n, h in (("PDF/b.pdf", 4, "y"), ("PDF/a.pdf", 3, "x"))], "kind string, value string, format string, path string, bytes long, sha256 string, visibility string, epoch long")
+    assert periods.planned_archives(members).first()["fingerprint"] == want
+    times = spark.createDataFrame([(0,), (1707091199,), (-1,)], "e long").select(calendar.generated_at(F.col("e")).alias("t"))
+    assert [r["t"] for r in times.collect()] == ["1970-01-01T00:00:00Z", "2024-02-04T23:59:59Z", None]
+    heads = [("t", "1990-01-01", "53/2024", "10.1234/x"), ("", "1990-01-01", None, None), ("t", "1989-12-31", None, None), ("t", "1990-01-01", "54/2024", None), ("t", "1990-01-01", None, "10.1/x"), ("t", "1990-01-01", None, "10.1234/a b"), (None, None, None, None)]
+    got = spark.createDataFrame(heads, "t string, d string, b string, o string").select(documents.header_problem(F.col("t"), F.col("d").cast("date"), F.col("b"), F.col("o")).alias("p")).collect()
+    assert [r["p"] for r in got] == [None, "title", "publication_date", "bulletin_number", "doi", "doi", "title"]
