@@ -129,3 +129,42 @@ def word_codes(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         codes -= codes > void
         words.pop(void)
     return words, codes, many
+
+
+def bound(value: Column, f) -> Column:
+    """``f`` of a value that is worked out once, however often ``f`` names it."""
+    return F.transform(F.array(value), lambda x: f(x))[0]
+
+
+#: Matches whose places are summed up together: arrays that grow an element at a time stay this short.
+_MATCHES = 256
+
+
+def matches(text: Column, pattern: str, group: int = 0) -> Column:
+    """Array of (s, e, v) of all matches, in code points: the pieces between matches give the places; ``v`` is what the group matched.
+
+    Places are summed up within runs of matches, then over the runs, so the time is near linear in their number.
+    """
+    kind = "array<struct<s:int,e:int,v:string>>"
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.struct(whole.alias("m"), (F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole).alias("v"), F.split(text, pattern).alias("g"))
+
+    def grown(a: Column, x: Column) -> Column:
+        begin = a["at"] + F.length(x["g"])
+        end = begin + F.length(x["m"])
+        return F.struct(end.alias("at"), F.array_append(a["out"], F.struct(begin.alias("s"), end.alias("e"), x["v"].alias("v"))).alias("out"))
+
+    def run(pieces: Column) -> Column:
+        return F.aggregate(pieces, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), grown)
+
+    def joined(runs: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<from:int,spans:{kind}>>").alias("out"))
+        placed = F.aggregate(runs, start, lambda a, x: F.struct((a["at"] + x["at"]).alias("at"), F.array_append(a["out"], F.struct(a["at"].alias("from"), x["out"].alias("spans"))).alias("out")), lambda a: a["out"])
+        return F.flatten(F.transform(placed, lambda p: F.transform(p["spans"], lambda x: F.struct((x["s"] + p["from"]).alias("s"), (x["e"] + p["from"]).alias("e"), x["v"].alias("v")))))
+
+    def placed(x: Column) -> Column:
+        pieces = F.arrays_zip(x["m"].alias("m"), x["v"].alias("v"), F.slice(x["g"], 1, F.size(x["m"])).alias("g"))
+        cut = bound(pieces, lambda p: F.transform(F.sequence(F.lit(0), F.size(p) - 1, F.lit(_MATCHES)), lambda h: F.slice(p, h + 1, F.lit(_MATCHES))))
+        return F.when(F.size(x["m"]) > 0, joined(F.transform(cut, lambda c: run(c)))).otherwise(F.array().cast(kind))
+
+    return bound(found, placed)

@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .centroids import OP11_SQL, op11_centroids
 from .decontamination import OP2_SQL, op2_decontamination
+from .hard_negatives import OP12_SQL, op12_hard_negatives
 from .language_id import op8_language_id
 from .lm_scoring import op6_lm_scoring
 from .mixing import op4_mixing
 from .pii import op3_pii
 from .quality_rules import op1_quality_rules
+from .secret_scan import op13_secret_scan
 from .sharding import op9_sharding
 from .simhash import op7_simhash
 from .token_ids import op10_token_ids
@@ -30,10 +33,15 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_sharding": op9_sharding,
     "op10_token_ids": op10_token_ids,
+    "op11_centroids": op11_centroids,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 #: DuckDB SQL by query name.
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
     "op5_url_filter": OP5_SQL,
+    "op11_centroids": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
