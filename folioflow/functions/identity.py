@@ -18,24 +18,24 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def fingerprint(*parts: Column) -> Column:
-    """Hash of the parts with NUL between them; a null part is the empty one."""
-    joined = F.coalesce(parts[0].cast("string"), F.lit(""))
-    for p in parts[1:]:
-        joined = F.concat(joined, F.lit("\x00"), F.coalesce(p.cast("string"), F.lit("")))
-    return sha256(joined)
+#: Control characters whose escapes hold letters; Spark writes these in upper case.
+_LETTERED = ("000B", "000E", "000F", "001A", "001B", "001C", "001D", "001E", "001F")
 
 
-def _scalar(value: Column) -> Column:
+def json_scalar(value: Column) -> Column:
+    """A scalar as JSON: other than Spark's own writer, escapes of control characters have lower-case digits."""
     shown = F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})
+    lowered = shown
+    for code in _LETTERED:
+        lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*+)\\u{code}", rf"$1\\u{code.lower()}")
+    shown = F.when(shown.rlike(r"\\u00[01][A-F]"), lowered).otherwise(shown)
     return F.substring(shown, F.lit(6), F.length(shown) - 6)
 
 
 def stable_json(value, level: int = 0) -> Column:
     """Indented JSON with sorted keys, ``,`` and ``: `` between parts, as an expression.
 
-    A dict is an object, a pair (array column, function from element to value) a list, a column a scalar.  Control
-    characters without a short form are written with upper-case digits."""
+    A dict is an object, a pair (array column, function from element to value) a list, a column a scalar."""
     outer, inner = "  " * level, "  " * (level + 1)
     if isinstance(value, dict):
         parts = [F.concat(F.lit(f'{inner}"{name}": '), stable_json(value[name], level + 1)) for name in sorted(value)]
@@ -44,7 +44,7 @@ def stable_json(value, level: int = 0) -> Column:
         array, of = value
         rows = F.transform(array, lambda x: F.concat(F.lit(inner), stable_json(of(x), level + 1)))
         return F.when(F.size(array) > 0, F.concat(F.lit("[\n"), F.array_join(rows, ",\n"), F.lit(f"\n{outer}]"))).otherwise(F.lit("[]"))
-    return _scalar(value if isinstance(value, Column) else F.lit(value))
+    return json_scalar(value if isinstance(value, Column) else F.lit(value))
 
 
 def stable_hash(value) -> Column:

@@ -49,15 +49,16 @@ def order_violations(frame: DataFrame, group: list[str], position: str, key: str
     return frame.withColumn("before", before).where(F.col("before") >= F.col(key)).select(*group, position, key, "before", F.when(F.col("before") == F.col(key), "repeated").otherwise("unsorted").alias("problem"))
 
 
-def _checkpoint_folder(frame: DataFrame) -> None:
-    """Sets the session's shared checkpoint folder; only a local master without one gets a temporary folder."""
+def shared_folder(frame: DataFrame) -> str:
+    """The session's shared checkpoint folder, set if it was not; only a local master without one gets a temporary folder."""
     context = frame.sparkSession.sparkContext
     if context.getCheckpointDir():
-        return
+        return context.getCheckpointDir()
     folder = context.getConf().get("spark.checkpoint.dir")
     if not folder and not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="folioflow-"))
+    return context.getCheckpointDir()
 
 
 def on_cycles(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
@@ -75,7 +76,7 @@ def on_cycles(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         jump = jump.join(hop, "at").select("node", F.col("then").alias("at"))
         step *= 2
         if k % 4 == 3:
-            _checkpoint_folder(jump)
+            shared_folder(jump)
             jump = jump.checkpoint()
     return jump.select("node")
 

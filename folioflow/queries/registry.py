@@ -27,4 +27,4 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import archive, catalog, contracts, pages, runs, schemas  # noqa: E402,F401  they register their queries
+from . import archive, catalog, contracts, pages, publications, runs, schemas  # noqa: E402,F401  they register their queries

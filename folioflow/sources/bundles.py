@@ -10,6 +10,7 @@ from hashlib import sha256
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.calendar import ARCHIVE_TIME_HIGH, ARCHIVE_TIME_LOW
 from ..functions.payload import MAX_MEMBERS, MAX_TOTAL_BYTES
@@ -36,11 +37,14 @@ def pack(archive_id: str, members: list[tuple[str, bytes]], epoch: int) -> tuple
 def build(members: DataFrame) -> DataFrame:
     """One archive for each archive_id of (archive_id, epoch, path, content).
 
-    An archive is made in one task, and its limits (members and bytes) are what bounds that task; more is an error."""
+    An archive is made in one task, and its limits (members and bytes) are what bounds that task; an aggregation asks them before
+    anything is collected, and more is an error."""
+    sizes = members.groupBy("archive_id").agg(F.count("*").alias("n"), F.sum(F.octet_length("content")).alias("bytes"))
+    over = sizes.where((F.col("n") > MAX_MEMBERS) | (F.col("bytes") > MAX_TOTAL_BYTES)).select("archive_id").limit(1).collect()
+    if over:
+        raise ValueError(f"{over[0]['archive_id']} is over the limits of an archive")
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        if len(rows) > MAX_MEMBERS or rows["content"].map(len).sum() > MAX_TOTAL_BYTES:
-            raise ValueError(f"{key[0]} is over the limits of an archive")
         raw, fingerprint = pack(key[0], list(zip(rows["path"], map(bytes, rows["content"]), strict=True)), int(rows["epoch"].iloc[0]))
         return pd.DataFrame([(key[0], len(rows), raw, sha256(raw).hexdigest(), fingerprint)], columns=["archive_id", "members", "content", "output_sha256", "input_fingerprint"])
 

@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
 
     session = (
         SparkSession.builder.master("local[8]").appName("tests").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
