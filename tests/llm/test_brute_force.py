@@ -219,6 +219,37 @@ def test_mixing(spark, sample, odd):
             assert mixing.mixed_corpus(docs).count() == sum(r["copies"] for r in got)
 
 
+@pytest.mark.parametrize("run", [10_000, 7])
+def test_mixing_of_repeated_rows(spark, monkeypatch, run):
+    """Each source comes near its target, whatever part of it is one row repeated; the mix itself holds what the digest says."""
+    monkeypatch.setattr(mixing, "RUN", run)
+    rows = [(1, " ".join(["w"] * 10), "en", "a", 0)] * 100 + [(100 + k, " ".join(["w"] * 10), "en", "b", 0) for k in range(100)] + [(k, "x " * (k % 9 + 1), "de", "c", 0) for k in range(300, 330)] + [(9, "y " * 30, "en", "c", 0)] * 12
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    sizes = collections.Counter()
+    for _, text, _, source, _ in rows:
+        sizes[source] += len(text.split())
+    want, taken = expected_targets(sizes), collections.Counter()
+    got = mixing.mix(docs).collect()
+    source = {r[0]: r[3] for r in rows}
+    for r in got:
+        taken[source[r["doc_id"]]] += r["taken"]
+        assert 0 <= r["taken"] <= 3 * r["size"] and r["taken"] == r["copies"] * r["size"]
+    assert len(got) == len(rows) and all(abs(taken[s] - want[s]) <= 15 for s in want)
+    spread = {r["copies"] for r in got if r["doc_id"] == 1}
+    assert max(spread) - min(spread) <= 1
+    mixed = collections.Counter(r["source"] for r in mixing.mixed_corpus(docs).collect())
+    total = collections.Counter(source[r["doc_id"]] for r in got for _ in range(r["copies"]))
+    slack = 0 if run > 1000 else 1 + 100 // run
+    assert all(0 <= total[s] - mixed[s] <= slack for s in total)
+
+
+def test_unsettled_multipliers_are_an_error(spark, sample):
+    work = mixing.Workspace(spark, "unsettled")
+    sizes = sample.select("source", mixing.word_count(sample["text"]).alias("size")).selectExpr("*", "1L AS n")
+    with pytest.raises(ValueError, match="did not settle"):
+        mixing.solve_rates(sizes, mixing.targets(sizes), work, steps=1)
+
+
 def test_lm_scoring(spark, sample, odd):
     for docs in (sample, odd):
         rows = docs.collect()
