@@ -189,7 +189,7 @@ def period_manifests(spark, d):
 
 @query(_plans_sql("'month'") + """
 SELECT value, CASE WHEN problem IS NULL THEN CASE right(value, 2) WHEN '01' THEN 'not_canonical' WHEN '02' THEN 'schema' WHEN '03' THEN 'period' WHEN '04' THEN 'not_json' WHEN '05' THEN 'duplicate_key' WHEN '06' THEN 'fingerprint' WHEN '07' THEN 'archive_name'
-  WHEN '08' THEN 'schema' WHEN '09' THEN 'month_manifests' WHEN '10' THEN 'schema' END ELSE 'not_json' END AS problem FROM plans LEFT JOIN problems USING (kind, value)""")
+  WHEN '08' THEN CASE WHEN len(list_filter(documents, lambda x: x.doi IS NULL)) > 0 THEN 'schema' END WHEN '09' THEN 'month_manifests' WHEN '10' THEN 'schema' END ELSE 'not_json' END AS problem FROM plans LEFT JOIN problems USING (kind, value)""")
 def manifest_findings(spark, d):
     """Manifests read back, each month of the year with another fault."""
     made = publications.plan_archives(_documents(spark, d), _periods(spark, d, "month"), most=MOST)
