@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Workspace, fresh, table
+from ._common import Workspace, bound, fresh, matches, table
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "A-Za-z0-9._%+-"
@@ -65,24 +65,6 @@ SCORE_BINS = 40
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Array of (begin, end, value) of all matches, in code points: the pieces between matches give the places."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern)
-    return F.when(
-        F.size(found) > 0,
-        F.aggregate(
-            F.arrays_zip(found.alias("m"), F.slice(gaps, 1, F.size(found)).alias("g")),
-            F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,v:string>>").alias("out")),
-            lambda a, x: F.struct(
-                (a["at"] + F.length(x["g"]) + F.length(x["m"])).alias("at"),
-                F.concat(a["out"], F.array(F.struct((a["at"] + F.length(x["g"])).alias("s"), (a["at"] + F.length(x["g"]) + F.length(x["m"])).alias("e"), x["m"].alias("v")))).alias("out"),
-            ),
-            lambda a: a["out"],
-        ),
-    ).otherwise(F.array().cast("array<struct<s:int,e:int,v:string>>"))
-
-
 def _of(f, bound):
     """A function of one element: Spark would take a second parameter for the element's index."""
     return lambda x: f(x, bound)
@@ -138,29 +120,31 @@ def proposals(text: Column) -> dict[str, Column]:
 
 def _stretches(run: Column, low: int, high: int) -> Column:
     """All parts of a run of numbers, from the begin of one digit group to the end of another, that have ``low`` to ``high`` digits; a plus sign or
-    bracket before the first belongs to it."""
+    bracket before the first belongs to it.
+
+    The run is cut once into pieces, each a group with what stands before it.  A part has at most ``high`` groups and is joined from
+    its pieces, so the time is linear in the run's length; which ends fit is asked of the groups' lengths before any text is joined."""
     empty = F.array().cast("array<struct<s:int,e:int,v:string>>")
 
-    def parts(groups: Column) -> Column:
+    def parts(x: Column) -> Column:
+        groups, pieces, last = x["groups"], x["pieces"], F.size(x["pieces"]) - 1
+
         def until(i: Column) -> Column:
-            first = groups[i]
-            mark = F.regexp_extract(F.substring(run["v"], F.greatest(first["s"] - 1, F.lit(1)), F.least(first["s"], F.lit(2))), r"\+?\(?$", 0)
+            digits = lambda j: F.aggregate(F.slice(groups, i + 1, j - i + 1), F.lit(0), lambda a, g: a + g["e"] - g["s"])
+            ends = F.filter(F.sequence(i, F.least(i + high - 1, last)), lambda j: digits(j).between(low, high))
+            first = F.regexp_extract(pieces[i], r"\+?\(?[0-9]+$", 0)
 
-            def part(j: Column, begin: Column) -> Column:
-                return F.struct((run["s"] + begin).alias("s"), (run["s"] + groups[j]["e"]).alias("e"), F.substring(run["v"], begin + 1, groups[j]["e"] - begin).alias("v"))
+            def part(j: Column, first: Column) -> Column:
+                begin = groups[i]["e"] - F.length(first)
+                return F.struct((run["s"] + begin).alias("s"), (run["s"] + groups[j]["e"]).alias("e"), F.concat(first, F.array_join(F.slice(pieces, i + 2, j - i), "")).alias("v"))
 
-            ends = F.sequence(i, F.least(i + high - 1, F.size(groups) - 1))
-            return _bound(first["s"] - F.length(mark), lambda begin: F.filter(F.transform(ends, lambda j: part(j, begin)), lambda x: F.length(digits_of(x["v"])).between(low, high)))
+            return F.when((groups[i]["e"] - groups[i]["s"]) <= high, bound(first, lambda first: F.transform(ends, lambda j: part(j, first)))).otherwise(empty)
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(groups) - 1), lambda i: until(i)))
+        return F.flatten(F.transform(F.sequence(F.lit(0), last), lambda i: until(i)))
 
+    cut = F.struct(matches(run["v"], "[0-9]+").alias("groups"), F.regexp_extract_all(run["v"], F.lit("[^0-9]*+[0-9]+"), F.lit(0)).alias("pieces"))
     # a run that is too short has no part
-    return F.when(F.length(digits_of(run["v"])) >= low, _bound(matches(run["v"], "[0-9]+"), parts)).otherwise(empty)
-
-
-def _bound(value: Column, f) -> Column:
-    """``f`` of a value that is worked out once, however often ``f`` names it."""
-    return F.transform(F.array(value), lambda x: f(x))[0]
+    return F.when(F.length(digits_of(run["v"])) >= low, bound(cut, parts)).otherwise(empty)
 
 
 def rewritten(kind: str, v: Column) -> Column:
@@ -205,7 +189,7 @@ def features_of(kind: str, around: Column, v: Column) -> Column:
         v.alias("v"), digits_of(v).alias("digits"), F.regexp_extract_all(v, F.lit("[A-Za-z0-9]+"), F.lit(0)).alias("groups"),
         around["before"].alias("before"), F.when(around["before"] == "", "").otherwise(F.substring(around["before"], -1, 1)).alias("last"), around["after"].alias("after"),
     )
-    return _bound(parts, numbers)
+    return bound(parts, numbers)
 
 
 @dataclass(frozen=True)
@@ -318,14 +302,16 @@ def with_candidates(frame: DataFrame, text: str, base: str, wide: str) -> DataFr
     t = F.col(whole)
     b, w = fresh(step.select("*", *[F.lit(0).alias(c) for c in {base, wide}]), "found", "widest")
     step = step.withColumns({b: F.struct(*[c.alias(k) for k, c in base_matches(t).items()]), w: F.struct(*[c.alias(k) for k, c in proposals(t).items()])})
+    any_proposal = sum((F.size(F.col(w)[k]) for k in KINDS), F.lit(0)) > 0
+    step = step.withColumn(whole, F.when(any_proposal, _blocks(t)).otherwise(F.array().cast("array<string>")))
 
     def scored(k):
         def one(x: Column) -> Column:
             same = lambda z: (z["s"] == x["s"]) & (x["e"] == z["e"])
             is_base = F.exists(F.col(b)[k], lambda z: z["ok"] & same(z))
             unclear = F.exists(F.col(b)[k], lambda z: ~z["ok"] & (z["s"] < x["e"]) & (x["s"] < z["e"]) & ~same(z))
-            around = F.struct(F.substring(t, F.greatest(x["s"] - 23, F.lit(1)), F.least(x["s"], F.lit(24))).alias("before"), F.substring(t, x["e"] + 1, F.lit(1)).alias("after"))
-            return _bound(around, lambda c: F.struct(x["s"].alias("s"), x["e"].alias("e"), features_of(k, c, x["v"]).alias("x"), features_of(k, c, rewritten(k, x["v"])).alias("again"), F.when(is_base, 1).when(~unclear, 0).alias("y")))
+            around = F.struct(_cut(t, x["s"] - 24, x["s"]).alias("before"), _cut(t, x["e"], x["e"] + 1).alias("after"))
+            return bound(around, lambda c: F.struct(x["s"].alias("s"), x["e"].alias("e"), features_of(k, c, x["v"]).alias("x"), features_of(k, c, rewritten(k, x["v"])).alias("again"), F.when(is_base, 1).when(~unclear, 0).alias("y")))
 
         return F.transform(F.col(w)[k], lambda x: one(x))
 
@@ -333,6 +319,23 @@ def with_candidates(frame: DataFrame, text: str, base: str, wide: str) -> DataFr
     return step.withColumns({base: bare, wide: F.struct(*[scored(k).alias(k) for k in KINDS])}).drop(b, w, whole)
 
 
+#: Characters of the blocks that a text is cut into, so that a short part of it is found without reading all before.
+BLOCK = 2048
+
+
+def _blocks(text: Column) -> Column:
+    """The text in blocks of ``BLOCK`` characters."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{BLOCK}}}+"), F.lit(0))
+
+
+def _cut(blocks: Column, begin: Column, end: Column) -> Column:
+    """The characters from ``begin`` to ``end`` (code points, less than a block apart), as far as they are there."""
+    low = F.greatest(begin, F.lit(0))
+    at = F.floor(low / BLOCK).cast("int")
+    two = F.concat(F.coalesce(F.get(blocks, at), F.lit("")), F.coalesce(F.get(blocks, at + 1), F.lit("")))
+    return F.substring(two, low - at * BLOCK + 1, end - low)
+
+
 def histogram_of(candidates: DataFrame, wide: str, key: Column) -> DataFrame:
     """How often each (kind, held, y, x) occurs; every proposal counts as it is and rewritten."""
     both = [F.transform(F.col(wide)[k], _of(lambda r, which: F.struct(F.lit(which[0]).alias("kind"), r[which[1]].alias("x"), r["y"].alias("y")), (k, form))) for k in KINDS for form in ("x", "again")]

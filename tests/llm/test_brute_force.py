@@ -5,12 +5,14 @@ import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from folioflow.llm import decontamination, language_id, lm_scoring, mixing, near_dedup, pii, quality_rules, sharding, simhash, token_ids
 
@@ -120,6 +122,32 @@ def test_pii_base(spark, sample, odd):
             assert any(set(spans(t)) <= set(r["spans"].split(",") if r["spans"] else []) for t in text[r["doc_id"]])
 
 
+def stretches(text, low, high):
+    """All parts of the runs of numbers of a text, from the begin of a digit group to the end of another, with their marks."""
+    out = []
+    for run in re.finditer(r"[+(]{0,2}[0-9](?:[\x20()./-]{0,3}[0-9])+", text):
+        groups = [(m.start(), m.end()) for m in re.finditer("[0-9]+", run[0])]
+        for i, (s, _) in enumerate(groups):
+            s -= len(re.search(r"\+?\(?$", run[0][max(0, s - 2) : s])[0])
+            out += [(run.start() + s, run.start() + e, run[0][s:e]) for _, e in groups[i:] if low <= len(re.sub("[^0-9]", "", run[0][s:e])) <= high]
+    return sorted(out)
+
+
+def test_pii_stretches_equal_plain_python(spark):
+    texts = ["12 34 (56) 78-90 +1 (826) 555-4081 190.137.223.204", "+49 30 1234567 x 0123456789012345678901 12 3456789", "(555) 555-1234/555-9999", "1" * 50 + " 1234567", "ü +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7 8", "12", ""]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", pii.proposals(F.col("t"))["phone"].alias("p")).collect()
+    for r in got:
+        assert sorted((x["s"], x["e"], x["v"]) for x in r["p"]) == stretches(r["t"], *pii.STRETCH["phone"]), r["t"]
+
+
+def test_pii_very_long_runs_of_numbers(spark):
+    """Time grows with the run's length: a way that is quadratic takes some ten minutes for the first text."""
+    texts = ["12 " * 30_000, "7" * 300_000, "+1 (555) 555-1234 " * 2_000]
+    began = time.time()
+    got = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(got) == 3 and time.time() - began < 120
+
+
 def test_pii_learns_and_adds(spark):
     """Numbers that the base patterns read together with their neighbours, and forms that they never accept, are added; clean numbers are not."""
     from pyspark.sql import functions as F
