@@ -72,6 +72,13 @@ def clock_causes(clocks: DataFrame, now: Column, days: int) -> DataFrame:
     return clocks.select("clock", cause.alias("cause"))
 
 
+def watchdog_causes(clocks: dict[str, Column], now: Column, days: int) -> Column:
+    """Array of what wakes the watchdog, clocks in the order given: missing or stale ones, else a keep-alive."""
+    old = lambda at: F.unix_timestamp(at) < F.unix_timestamp(now) - days * 86400
+    causes = F.array_compact(F.array(*[F.when(at.isNull(), f"{name}_missing").when(old(at), f"{name}_stale") for name, at in clocks.items()]))
+    return F.when(F.size(causes) > 0, causes).otherwise(F.array(F.lit("scheduled_keepalive")))
+
+
 def watchdog(status: DataFrame, now: Column, days: int) -> DataFrame:
     """Deadline and alarm of each watched subject: the anchor is the last bark if it is not before the last reset."""
     anchor = F.when(F.col("last_bark") >= F.col("last_reset"), F.col("last_bark")).otherwise(F.col("last_reset"))

@@ -51,11 +51,12 @@ def made(spark, d):
     o = read(spark, d, "orders")
     key, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
     html = F.concat(
-        F.lit("<html><head><meta name='DC.date' content='"), F.when(key % 3 == 0, day).when(key % 3 == 1, "1997-13-40").otherwise(""), F.lit("'><meta property='rights' content='"),
-        F.when(key % 4 == 0, "open access").when(key % 4 == 1, "Closed-Access").otherwise("ask"), F.lit("'></head><body><h1>No. "), key.cast("string"), F.lit("</h1><p>Issued "), F.when(key % 2 == 0, day).otherwise("soon"),
+        F.lit("<html><head><meta name='DC.date' content='"), F.when(key % 3 == 0, day).when(key % 3 == 1, "1997-13-40").otherwise(""), F.lit("'><meta property='DC.rights.accessRights' content='"),
+        F.when(key % 4 == 0, "open access").when(key % 4 == 1, "Closed-Access").when(key % 8 == 2, "1").when(key % 8 == 6, "0").otherwise("ask"),
+        F.lit("'><meta name='license' content=' by-4 '><meta name='citation_doi' content='"), F.when(key % 6 == 0, F.concat(F.lit("doi:10.4321/"), key.cast("string"))).otherwise(""), F.lit("'></head><body><h1>No. "), key.cast("string"), F.lit("</h1><p>Issued "), F.when(key % 2 == 0, day).otherwise("soon"),
         F.lit(" DOI 10.1234/"), key.cast("string"), F.lit("</p><a href='/y/"), key.cast("string"), F.lit("'>"), F.year("o_orderdate").cast("string"), F.lit("</a><a href='/y/last'>"), F.year("o_orderdate").cast("string"),
-        F.lit("</a><a href='/f.pdf'>file MD5: "), F.md5(key.cast("string")), F.lit("</a><a href='/f.pdf'>"), F.when(key % 5 == 0, F.concat(F.lit("MD5: "), F.md5(F.lit("x")))).otherwise("again"), F.lit("</a><a class='next' href='/p/"),
-        (key + 1).cast("string"), F.lit("'>more</a></body></html>"),
+        F.lit("</a><a href='/f.pdf'>file MD5: "), F.md5(key.cast("string")), F.lit("</a><a href='/f.pdf'>"), F.when(key % 5 == 0, F.concat(F.lit("MD5: "), F.md5(F.lit("x")))).otherwise("again"), F.lit("</a><a class='"), F.when(key % 7 == 0, "x").otherwise("Pager-Next-1"), F.lit("' href='/p/"),
+        (key + 1).cast("string"), F.lit("'>"), F.when(key % 7 == 0, "›").otherwise("more"), F.lit("</a><a rel='next' href='/p/far'>next</a></body></html>"),
     )
     return o.select(key.alias("page_id"), F.year("o_orderdate").alias("y"), day.alias("day"), html.alias("html")).withColumn("p", h.parse(F.col("html")))
 
@@ -80,14 +81,15 @@ def next_pages(spark, d):
 SELECT o_orderkey AS page_id, CAST(CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 2 = 0 THEN CAST(o_orderdate AS DATE) END AS VARCHAR) AS published,
   CASE WHEN o_orderkey % 3 = 0 OR o_orderkey % 2 = 0 THEN year(o_orderdate) ELSE 
     CAST(coalesce(nullif(regexp_extract('No. ' || o_orderkey || ' Issued soon DOI 10.1234/' || o_orderkey || ' ' || year(o_orderdate), '\\b((?:19|20)\\d{2})\\b', 1), ''), '0') AS INTEGER) END AS y,
-  CASE o_orderkey % 4 WHEN 0 THEN true WHEN 1 THEN false END AS open_access, '10.1234/' || o_orderkey AS doi FROM orders""".replace("\\\\", "\\"))
+  CASE WHEN o_orderkey % 4 = 0 OR o_orderkey % 8 = 2 THEN true WHEN o_orderkey % 4 = 1 OR o_orderkey % 8 = 6 THEN false END AS open_access, CASE WHEN o_orderkey % 6 = 0 THEN '10.4321/' ELSE '10.1234/' END || o_orderkey AS doi, 'by-4' AS license FROM orders""".replace("\\\\", "\\"))
 def item_metadata(spark, d):
     """Dates, years, rights and DOI with their fallbacks."""
     m = made(spark, d)
-    day = h.publication_date(h.first_meta(F.col("p.metas"), ["DC.date"]), F.col("p.text"), F.col("p.heading"))
+    metas = F.col("p.metas")
+    day = h.publication_date(h.first_meta(metas, h.DATE_METAS), F.col("p.text"), F.col("p.heading"))
     return m.select(
         "page_id", day.cast("string").alias("published"), h.publication_year(day, F.col("p.text"), F.col("p.heading"), F.lit(0)).alias("y"),
-        h.open_access(h.first_meta(F.col("p.metas"), ["rights", "DC.rights"])).alias("open_access"), h.doi(F.col("p.text")).alias("doi"),
+        h.rights(metas)["open_access"].alias("open_access"), h.doi(h.first_meta(metas, h.DOI_METAS), F.col("p.text")).alias("doi"), h.rights(metas)["uri"].alias("license"),
     )
 
 

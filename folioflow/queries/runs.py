@@ -91,6 +91,18 @@ def clock_causes(spark, d):
     return life.clock_causes(e, F.lit("2024-02-06").cast("timestamp"), 7)
 
 
+@query("""
+WITH c AS (SELECT user_id, max(ts) FILTER (event_type = 'view') AS v, max(ts) FILTER (event_type = 'click') AS c FROM events GROUP BY user_id),
+w AS (SELECT user_id, CASE WHEN v IS NULL THEN 'view_missing' WHEN epoch(v) < epoch(TIMESTAMP '2024-02-06') - 7 * 86400 THEN 'view_stale' END AS a, CASE WHEN c IS NULL THEN 'click_missing' WHEN epoch(c) < epoch(TIMESTAMP '2024-02-06') - 7 * 86400 THEN 'click_stale' END AS b FROM c)
+SELECT user_id, coalesce(concat_ws(',', a, b), '') || CASE WHEN a IS NULL AND b IS NULL THEN 'scheduled_keepalive' ELSE '' END AS causes FROM w""")
+def watchdog_causes(spark, d):
+    """What wakes the watchdog of each user: missing and stale clocks, or a keep-alive."""
+    seen = lambda kind: F.max(F.when(F.col("event_type") == kind, F.col("ts").cast("timestamp"))).alias(kind)
+    e = read(spark, d, "events").groupBy("user_id").agg(seen("view"), seen("click"))
+    causes = life.watchdog_causes({"view": F.col("view"), "click": F.col("click")}, F.lit("2024-02-06").cast("timestamp"), 7)
+    return e.select("user_id", F.array_join(causes, ",").alias("causes"))
+
+
 @query("""
 SELECT user_id, count(*) FILTER (event_type = 'purchase') AS downloaded, count(*) FILTER (event_type = 'view') AS existing, count(*) FILTER (event_type = 'error') AS errors, bool_or(value > 400) AS large,
   CASE WHEN user_id % 10 = 0 THEN 'blocked' WHEN count(*) FILTER (event_type = 'error') > 0 AND count(*) FILTER (event_type <> 'error') > 0 THEN 'partial' WHEN count(*) FILTER (event_type = 'error') > 0 THEN 'failed' ELSE 'success' END AS outcome

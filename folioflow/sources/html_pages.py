@@ -20,7 +20,17 @@ _KIND = pa.struct(
     ]
 )
 PAGE = "struct<anchors:array<struct<pos:int,href:string,text:string,rel:string>>,metas:array<struct<pos:int,name:string,content:string>>,heading:string,text:string>"
-NEXT_TEXTS = ("next", "next page", "weiter", "nächste", ">", "»")
+# What names a next page, labels of open and closed access, names of metas in the order of their fields.
+NEXT_TEXTS = ("next", "weiter", ">", "›", "»")
+OPEN, CLOSED = ("1", "true", "yes", "open", "openaccess"), ("0", "false", "no", "closed", "closedaccess", "restricted", "restrictedaccess")
+DATE_METAS = ["dc.date", "dc.date.issued", "dcterms.issued", "citation_publication_date", "citation_date"]
+ACCESS_METAS = ["dc.rights.accessrights", "dcterms.accessrights", "citation_open_access", "eprints.accessrights"]
+RIGHTS_METAS = {
+    "label": ["dc.rights", "dcterms.rights", "citation_publication_rights"], "uri": ["dc.rights.uri", "dcterms.license", "license"], "copyright_notice": ["dc.rights.holder", "dcterms.rightsholder", "copyright"],
+}
+DOI_METAS = ["dc.identifier", "citation_doi", "dc.identifier.doi"]
+#: Characters of a page that are searched for a date or year.
+HEAD = 2000
 
 
 class _Page(HTMLParser):
@@ -92,8 +102,8 @@ def item_links(anchors: DataFrame, excluded: list[str] = ()) -> DataFrame:
 
 
 def next_page(anchors: DataFrame) -> DataFrame:
-    """The first anchor that is marked as the next page or says so."""
-    says = F.col("rel").rlike(r"\bnext\b") | F.lower("text").isin(*NEXT_TEXTS)
+    """The first anchor whose relation or class names a next page anywhere, or whose text says so."""
+    says = F.col("rel").contains("next") | F.lower("text").isin(*NEXT_TEXTS)
     return anchors.where(says).groupBy("page_id").agg(F.min_by("href", "pos").alias("next"))
 
 
@@ -114,23 +124,29 @@ def listing_bounds(text: Column) -> Column:
 def publication_date(meta: Column, text: Column, title: Column) -> Column:
     """The first valid date of the meta, the first 2000 characters, and the title."""
     found = lambda c: strict_date(F.regexp_extract(c, r"\b((?:19|20)\d{2}-[01]\d-[0-3]\d)\b", 1))
-    return F.coalesce(found(F.coalesce(meta, F.lit(""))), found(F.substring(text, 1, 2000)), found(F.coalesce(title, F.lit(""))))
+    return F.coalesce(found(F.coalesce(meta, F.lit(""))), found(F.substring(text, 1, HEAD)), found(F.coalesce(title, F.lit(""))))
 
 
 def publication_year(day: Column, text: Column, title: Column, fallback: Column) -> Column:
     found = lambda c: F.regexp_extract(c, r"\b((?:19|20)\d{2})\b", 1).try_cast("int")
-    return F.coalesce(F.year(day), found(text), found(F.coalesce(title, F.lit(""))), fallback)
+    return F.coalesce(F.year(day), found(F.substring(text, 1, HEAD)), found(F.coalesce(title, F.lit(""))), fallback)
 
 
 def open_access(value: Column) -> Column:
     """True, false or null (unsaid) of a rights label."""
     plain = F.lower(F.regexp_replace(value, r"[\s_-]", ""))
-    return F.when(plain.isin("openaccess", "open", "true", "yes"), True).when(plain.isin("closedaccess", "closed", "restricted", "restrictedaccess", "false", "no"), False)
+    return F.when(plain.isin(*OPEN), True).when(plain.isin(*CLOSED), False)
 
 
-def doi(value: Column, prefix: str = r"10\.\d{4,9}") -> Column:
-    found = F.regexp_extract(value, rf"(?i)\b({prefix}/[0-9]+(?:\.[0-9]+)?)\b", 1)
-    return F.when(found != "", F.lower(found))
+def rights(metas: Column) -> Column:
+    """Struct of what a page states on its rights, as it stands there: label, uri, copyright_notice, open_access."""
+    return F.struct(*[first_meta(metas, names).alias(k) for k, names in RIGHTS_METAS.items()], open_access(first_meta(metas, ACCESS_METAS)).alias("open_access"))
+
+
+def doi(meta: Column, text: Column, prefix: str = r"10\.\d{4,9}") -> Column:
+    """The DOI of the meta, else of the text, in lower case."""
+    found = lambda c: F.nullif(F.regexp_extract(c, rf"(?i)\b({prefix}/[0-9]+(?:\.[0-9]+)?)\b", 1), F.lit(""))
+    return F.lower(F.coalesce(found(F.coalesce(meta, F.lit(""))), found(text)))
 
 
 def file_candidates(anchors: DataFrame) -> DataFrame:

@@ -105,3 +105,22 @@ def test_transaction(spark):
     assert run([frame(("x", "1")), frame(("x", "2"))]).problems == ["conflicting effects"]
     assert run([frame(("x", "1"))], {"no x": lambda f: f.where("path = 'x'")}).status == "failed" and done == [2]
     assert run([frame(("x", "1"))], base="b").status == "blocked" and run([]).status == "no_op"
+
+
+def test_page_rules(spark):
+    """Literal expected values of the rules on item pages."""
+    from folioflow.sources import html_pages as h
+
+    metas = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(c).alias("content")) for n, c in (("dc.rights", " CC "), ("license", "by"), ("citation_open_access", "1"), ("citation_doi", "doi:10.1234/55.2 x"), ("dc.date.issued", "2020-02-30"))])
+    long = F.concat(F.repeat(F.lit("x "), 1000), F.lit("1999 2001-01-01"))
+    row = spark.range(1).select(
+        h.rights(metas).alias("rights"), h.doi(h.first_meta(metas, h.DOI_METAS), F.lit("10.9999/1")).alias("meta_doi"), h.doi(F.lit(None).cast("string"), F.lit("see DOI 10.9999/1.")).alias("text_doi"), h.doi(F.lit(""), F.lit("none")).alias("no_doi"),
+        h.publication_date(h.first_meta(metas, h.DATE_METAS), F.lit("of 2021-03-04"), F.lit("")).cast("string").alias("day"), h.publication_year(F.lit(None).cast("date"), long, F.lit("Year 1987"), F.lit(7)).alias("year"),
+        h.open_access(F.lit("0")).alias("closed"), h.open_access(F.lit("Restricted_Access")).alias("restricted"), h.open_access(F.lit("ask")).alias("unsaid"),
+    ).first()
+    assert tuple(row["rights"]) == ("CC", "by", None, True)
+    assert (row["meta_doi"], row["text_doi"], row["no_doi"], row["day"], row["year"]) == ("10.1234/55.2", "10.9999/1", None, "2021-03-04", 1987)
+    assert (row["closed"], row["restricted"], row["unsaid"]) == (False, False, None)
+    anchors = [(1, 0, "/a", "nächste", ""), (1, 1, "/b", "x", "pager-next"), (1, 2, "/c", "›", ""), (2, 0, "/d", "›", ""), (3, 0, "/e", "next page", "")]
+    found = h.next_page(spark.createDataFrame(anchors, "page_id int, pos int, href string, text string, rel string")).collect()
+    assert {r["page_id"]: r["next"] for r in found} == {1: "/b", 2: "/d"}
