@@ -81,6 +81,32 @@ def on_cycles(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     return jump.select("node")
 
 
+def missing_targets(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges (node, next) whose target is no node."""
+    return edges.where("next IS NOT NULL").join(nodes.select(F.col("node").alias("next")), "next", "left_anti").select("node", "next")
+
+
+def leading_into_cycles(edges: DataFrame) -> DataFrame:
+    """Nodes of (node, next), with any number of ways out, that lie on a cycle or lead into one.
+
+    Peeling: a round takes out all edges into nodes that have no way out left, until none goes.  Rounds are as many as the longest
+    chain has steps (:func:`on_cycles` takes the logarithm, for nodes with one way out); only edges that are left take part, and every
+    fourth round is cut with a checkpoint."""
+    left = edges.where("next IS NOT NULL").select("node", "next").distinct()
+    shared_folder(left)
+    left = left.checkpoint()
+    n, k = left.count(), 0
+    while n:
+        left = left.join(left.select(F.col("node").alias("next")).distinct(), "next", "left_semi").select("node", "next")
+        k += 1
+        if k % 4 == 0:
+            left = left.checkpoint()
+        n, before = left.count(), n
+        if n == before:
+            break
+    return left.select("node").distinct()
+
+
 def strict_lines(lines: DataFrame, canonical: Column, max_bytes: int = 1 << 20) -> DataFrame:
     """Problems of text lines (line_no, value): blank, too long, not JSON, or not in canonical form."""
     shown = lines.withColumn("canonical", canonical)

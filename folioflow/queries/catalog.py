@@ -355,3 +355,23 @@ def multiset_difference(spark, d):
     a = li.select(F.col("l_partkey").alias("k"), F.col("l_quantity").alias("q"))
     b = li.select("l_partkey", F.when(F.col("l_orderkey") % 50 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
     return a.exceptAll(b).agg(F.count("*").alias("n"))
+
+
+_LINKS = """SELECT p_partkey AS node, p_partkey + 1 AS next FROM part WHERE p_partkey % 7 <> 0 UNION ALL SELECT p_partkey, p_partkey + 2 FROM part WHERE p_partkey % 7 BETWEEN 1 AND 4
+  UNION ALL SELECT p_partkey, p_partkey - 3 FROM part WHERE p_partkey % 7 = 5 AND p_partkey % 3 = 0 UNION ALL SELECT p_partkey, -p_partkey FROM part WHERE p_partkey % 50 = 0"""
+
+
+@query(f"""
+WITH RECURSIVE e AS ({_LINKS}), reach AS (SELECT node, next FROM e UNION SELECT r.node, e.next FROM reach r JOIN e ON e.node = r.next)
+SELECT DISTINCT a.node, 'cycle' AS problem, CAST(NULL AS BIGINT) AS target FROM reach a JOIN reach b ON a.next = b.node AND b.node = b.next
+UNION ALL SELECT node, 'missing', next FROM e WHERE next NOT IN (SELECT p_partkey FROM part)""")
+def graph_problems(spark, d):
+    """A graph with forks and joins: nodes on or before a cycle, and links to what is not there."""
+    parts = read(spark, d, "part").select(F.col("p_partkey").alias("node"))
+    node = F.col("node")
+    ways = F.array_compact(F.array(
+        F.when(node % 7 != 0, node + 1), F.when((node % 7).between(1, 4), node + 2), F.when((node % 7 == 5) & (node % 3 == 0), node - 3), F.when(node % 50 == 0, -node),
+    ))
+    edges = parts.select("node", F.explode(ways).alias("next"))
+    cycles = integrity.leading_into_cycles(edges).select("node", F.lit("cycle").alias("problem"), F.lit(None).cast("long").alias("target"))
+    return cycles.unionByName(integrity.missing_targets(edges, parts).select("node", F.lit("missing").alias("problem"), F.col("next").alias("target")))
