@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from dataclasses import dataclass
 from urllib.parse import parse_qsl, quote, unquote, urlencode, urlsplit, urlunsplit
 
 import pyarrow as pa
@@ -32,11 +34,21 @@ def json_scalar(value: Column) -> Column:
     return F.substring(shown, F.lit(6), F.length(shown) - 6)
 
 
+@dataclass(frozen=True)
+class Nullable:
+    """A record that may be missing: null, or what ``of`` makes of the struct."""
+
+    struct: Column
+    of: Callable[[Column], dict]
+
+
 def stable_json(value, level: int = 0) -> Column:
     """Indented JSON with sorted keys, ``,`` and ``: `` between parts, as an expression.
 
-    A dict is an object, a pair (array column, function from element to value) a list, a column a scalar."""
+    A dict is an object, a pair (array column, function from element to value) a list, a :class:`Nullable` an object or null, a column a scalar."""
     outer, inner = "  " * level, "  " * (level + 1)
+    if isinstance(value, Nullable):
+        return F.when(value.struct.isNull(), "null").otherwise(stable_json(value.of(value.struct), level))
     if isinstance(value, dict):
         parts = [F.concat(F.lit(f'{inner}"{name}": '), stable_json(value[name], level + 1)) for name in sorted(value)]
         return F.concat(F.lit("{\n"), F.array_join(F.array(*parts), ",\n"), F.lit(f"\n{outer}}}")) if parts else F.lit("{}")
@@ -54,11 +66,13 @@ def stable_hash(value) -> Column:
 
 def conversion_fingerprint(source_sha256: Column, converter: Column, version: Column, options_sha256: Column, toolchain: Column, runtime: Column) -> Column:
     """Hash of all that can change a conversion's output.  ``toolchain`` is an array of (name, version_output, executable_sha256,
-    argv, environment of (name, value)), ``runtime`` has platform, libc, shared_libraries and fonts of (name, sha256)."""
+    argv, environment of (name, value), ocr_settings: null or dpi, color_mode, psm, oem, languages and tessdata of (name, sha256)),
+    ``runtime`` has platform, libc, shared_libraries and fonts of (name, sha256)."""
     named = lambda x: {"name": x["name"], "sha256": x["sha256"]}
+    ocr = lambda o: {k: o[k] for k in ("dpi", "color_mode", "psm", "oem")} | {"languages": (o["languages"], lambda x: x), "tessdata": (o["tessdata"], named)}
     tool = lambda x: {
         "name": x["name"], "version_output": x["version_output"], "executable_sha256": x["executable_sha256"], "argv": (x["argv"], lambda a: a),
-        "environment": (x["environment"], lambda e: {"name": e["name"], "value": e["value"]}), "ocr_settings": F.lit(None).cast("string"),
+        "environment": (x["environment"], lambda e: {"name": e["name"], "value": e["value"]}), "ocr_settings": Nullable(x["ocr_settings"], ocr),
     }
     return stable_hash({
         "source_sha256": source_sha256, "converter": converter, "converter_version": version, "options_sha256": options_sha256, "toolchain": (toolchain, tool),

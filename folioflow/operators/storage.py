@@ -43,10 +43,10 @@ def migration_plan(source: DataFrame, target: DataFrame, key: str, compare: list
 
 def owner_of(references: DataFrame, documents: DataFrame, keys: list[str], path: str) -> DataFrame:
     """The owner of each reference: equal keys, a row of the same path before others; more than one is ambiguous."""
-    joined = references.alias("r").join(documents.alias("d"), keys).withColumn("hit", (F.col(f"r.{path}") == F.col(f"d.{path}")).cast("int"))
-    best = joined.groupBy("artifact").agg(F.max("hit").alias("best"))
-    top = joined.join(best, "artifact").where("hit = best")
-    return top.groupBy("artifact").agg(F.min("document").alias("owner"), (F.count("*") > 1).alias("ambiguous"))
+    joined = references.alias("r").join(documents.alias("d"), keys).withColumn("hit", F.col(f"r.{path}") == F.col(f"d.{path}")).where("hit IS NOT NULL")
+    hit = F.when(F.col("hit"), F.col("document"))
+    found = joined.groupBy("artifact").agg(F.max("hit").alias("best"), F.min(hit).alias("same"), F.count_if("hit").alias("n_same"), F.min("document").alias("any"), F.count("*").alias("n"))
+    return found.select("artifact", F.when(F.col("best"), F.col("same")).otherwise(F.col("any")).alias("owner"), (F.when(F.col("best"), F.col("n_same")).otherwise(F.col("n")) > 1).alias("ambiguous"))
 
 
 def replace_partitions(current: DataFrame, rebuilt: DataFrame, keys: list[str]) -> DataFrame:

@@ -196,22 +196,28 @@ def handle_versions(spark, d):
 
 
 @query("""
-SELECT p_partkey, sha256(array_to_string(['{', '  "converter": ' || to_json(p_brand) || ',', '  "converter_version": "1",', '  "options_sha256": "' || sha256(p_type) || '",', '  "runtime": {', '    "fonts": [],',
+SELECT p_partkey, sha256(array_to_string(['{', '  "converter": ' || to_json(p_brand) || ',', '  "converter_version": "1",', '  "options_sha256": "' || sha256(concat('{', chr(10), '  "layout": "keep",', chr(10), '  "limits": {', chr(10), '    "pages": ', p_size, chr(10), '  }', chr(10), '}', chr(10))) || '",', '  "runtime": {', '    "fonts": [],',
   '    "libc": "c",', '    "platform": "p",', '    "shared_libraries": [', '      {', '        "name": "z",', '        "sha256": "' || sha256(p_brand) || '"', '      }', '    ]', '  },',
   '  "source_sha256": "' || sha256(p_name) || '",', '  "toolchain": [', '    {', '      "argv": [', '        "-layout",', '        ' || to_json(p_type), '      ],', '      "environment": [],',
-  '      "executable_sha256": "' || sha256(p_type) || '",', '      "name": "t",', '      "ocr_settings": null,', '      "version_output": "' || p_size || '"', '    }', '  ]', '}', ''], chr(10))) AS fingerprint FROM part""")
+  '      "executable_sha256": "' || sha256(p_type) || '",', '      "name": "t",', '      "ocr_settings": ' || CASE WHEN p_partkey % 2 = 0 THEN 'null,' ELSE concat_ws(chr(10), '{', '        "color_mode": "gray",', '        "dpi": ' || (300 + p_size) || ',', '        "languages": [', '          "deu",', '          "eng"', '        ],', '        "oem": 1,', '        "psm": 3,',
+    '        "tessdata": [', '          {', '            "name": "deu",', '            "sha256": "' || sha256(p_name) || '"', '          },', '          {', '            "name": "eng",', '            "sha256": "' || sha256(p_brand) || '"', '          }', '        ]', '      },') END, '      "version_output": "' || p_size || '"', '    }', '  ]', '}', ''], chr(10))) AS fingerprint FROM part""")
 def conversion_fingerprints(spark, d):
     """Hash of the stable JSON of source, converter, options, tools and runtime."""
     h = {c: i.sha256(F.col(c)) for c in ("p_name", "p_brand", "p_type")}
     named = "array<struct<name:string,sha256:string>>"
+    data = F.array(*[F.struct(F.lit(n).alias("name"), h[c].alias("sha256")) for n, c in (("deu", "p_name"), ("eng", "p_brand"))])
+    ocr = F.struct(
+        (F.col("p_size") + 300).alias("dpi"), F.lit("gray").alias("color_mode"), F.lit(3).alias("psm"), F.lit(1).alias("oem"), F.array(F.lit("deu"), F.lit("eng")).alias("languages"), data.alias("tessdata"),
+    )
+    options = i.stable_hash({"layout": "keep", "limits": {"pages": F.col("p_size")}})
     tool = F.struct(
         F.lit("t").alias("name"), F.col("p_size").cast("string").alias("version_output"), h["p_type"].alias("executable_sha256"), F.array(F.lit("-layout"), "p_type").alias("argv"),
-        F.array().cast("array<struct<name:string,value:string>>").alias("environment"),
+        F.array().cast("array<struct<name:string,value:string>>").alias("environment"), F.when(F.col("p_partkey") % 2 != 0, ocr).alias("ocr_settings"),
     )
     runtime = F.struct(
         F.lit("p").alias("platform"), F.lit("c").alias("libc"), F.array(F.struct(F.lit("z").alias("name"), h["p_brand"].alias("sha256"))).alias("shared_libraries"), F.array().cast(named).alias("fonts"),
     )
-    found = i.conversion_fingerprint(h["p_name"], F.col("p_brand"), F.lit("1"), h["p_type"], F.array(tool), runtime)
+    found = i.conversion_fingerprint(h["p_name"], F.col("p_brand"), F.lit("1"), options, F.array(tool), runtime)
     return read(spark, d, "part").select("p_partkey", found.alias("fingerprint"))
 
 

@@ -57,11 +57,15 @@ def test_hashes_of_named_fields(spark):
     digest = lambda value: sha256((json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True, separators=(",", ": ")) + "\n").encode()).hexdigest()
     decision = {"policy_version": 1, "source_id": "s\"ä\\\n", "source_sha256": "0" * 64, "state": "approved", "basis": "b", "reviewed_by": "r", "reviewed_at": None}
     tool = {"name": "t", "version_output": "1", "executable_sha256": "e", "argv": ["-a", "-b"], "environment": [{"name": "n", "value": "v"}], "ocr_settings": None}
+    settings = {"dpi": 300, "color_mode": "gray", "psm": 3, "oem": 1, "languages": ["deu"], "tessdata": [{"name": "deu", "sha256": "d"}]}
+    scan = tool | {"name": "scan", "ocr_settings": settings}
     runtime = {"platform": "p", "libc": "c", "shared_libraries": [{"name": "l", "sha256": "h"}, {"name": "m", "sha256": "i"}], "fonts": []}
     named, types = "array<struct<name:string,sha256:string>>", "name string, version_output string, executable_sha256 string, argv array<string>, environment array<struct<name:string,value:string>>"
-    tools = f"array<struct<{types.replace(' string', ':string').replace(' array', ':array')}>>"
+    ocr = f"ocr_settings:struct<dpi:int,color_mode:string,psm:int,oem:int,languages:array<string>,tessdata:{named}>"
+    tools = f"array<struct<{types.replace(' string', ':string').replace(' array', ':array')},{ocr}>>"
+    row_of = lambda t, o: (*[t[k] if k != "environment" else [("n", "v")] for k in ("name", "version_output", "executable_sha256", "argv", "environment")], o)
     row = spark.createDataFrame(
-        [(decision, [tuple(tool[k] if k != "environment" else [("n", "v")] for k in ("name", "version_output", "executable_sha256", "argv", "environment"))], ("p", "c", [("l", "h"), ("m", "i")], []))],
+        [(decision, [row_of(tool, None), row_of(scan, (300, "gray", 3, 1, ["deu"], [("deu", "d")]))], ("p", "c", [("l", "h"), ("m", "i")], []))],
         f"d struct<source_id:string,source_sha256:string,state:string,basis:string,reviewed_by:string,reviewed_at:string>, t {tools}, r struct<platform:string,libc:string,shared_libraries:{named},fonts:{named}>",
     )
     got = row.select(
@@ -69,7 +73,7 @@ def test_hashes_of_named_fields(spark):
         identity.conversion_fingerprint(F.lit("s"), F.lit("c"), F.lit("1"), F.lit("o"), F.col("t"), F.col("r")).alias("conversion"),
     ).first()
     assert got["decision"] == digest(decision)
-    assert got["conversion"] == digest({"source_sha256": "s", "converter": "c", "converter_version": "1", "options_sha256": "o", "toolchain": [tool], "runtime": runtime})
+    assert got["conversion"] == digest({"source_sha256": "s", "converter": "c", "converter_version": "1", "options_sha256": "o", "toolchain": [tool, scan], "runtime": runtime})
     entries = spark.createDataFrame([(1, "b", "100644", "y", "t2"), (1, "a", "100755", "x", "t1"), (1, "a", "100755", "x", "t1")], "g int, path string, mode string, sha256 string, task string")
     plan = documents.commit_plan(entries, ["g"], F.lit("base"), F.lit("plan")).first()
     assert plan["tree_sha256"] == sha256(b"100755\0a\0x\n100644\0b\0y\n").hexdigest() and plan["entries"] == 2
