@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ..functions import calendar as c
 from ..functions.identity import bundle_path, sha256, stable_hash, stable_json
 from ..functions.strict_json import read_objects
+from ..functions.text import table_cell
+from ..functions.urls import relative_link
 from ..plans.contracts import Contract, violations
 from .integrity import shared_folder
 from .periods import ARCHIVE_FORMAT_VERSION
@@ -180,6 +182,42 @@ def month_references(months: DataFrame, references: DataFrame) -> DataFrame:
     return out.withColumn("input_fingerprint", stable_hash((F.col("references"), of)))
 
 
+@dataclass(frozen=True)
+class Labels:
+    """Words of a month's index."""
+
+    title: str = "Articles"
+    count: str = "Articles"
+    columns: tuple[str, ...] = ("Date", "Title", "Handle", "Bitstream", "DOI", "PDF", "Markdown", "Conversion", "PDF SHA-256", "Markdown SHA-256", "Weekly archives")
+    weekly: str = "Weekly archives"
+    none: str = "—"
+
+
+def month_index(plans: DataFrame, references: DataFrame, labels: Labels = Labels()) -> DataFrame:
+    """value, index_path and body (Markdown) of each month: its documents in order, with links to their files and to the weekly archives
+    that share a day with the month."""
+    months = plans.where("kind = 'month'")
+    linked = months.join(month_references(months.select("value"), references).select(F.col("month").alias("value"), "references"), "value")
+    link = lambda name, target: F.concat(F.lit("["), name, F.lit("]("), relative_link(F.col("index_path"), target), F.lit(")"))
+    weekly = F.transform("references", lambda r: link(F.when(r["kind"] == "week-pdf", "PDF").otherwise("Markdown"), F.concat(r["relative_bundle"], F.lit("/archive.zip"))))
+    linked = linked.withColumn("links", F.array_join(weekly, " "))
+    none = F.lit(labels.none)
+    file = lambda d, form, name: F.when(d[form].isNotNull(), link(F.lit(name), d[form]["logical_key"])).otherwise(none)
+
+    def line(d: Column) -> Column:
+        cells = [
+            table_cell(d["publication_date"]), table_cell(d["title"]), table_cell(d["handle"]), table_cell(d["bitstream_id"]), F.coalesce(table_cell(d["doi"]), none), file(d, "pdf", "PDF"), file(d, "markdown", "Markdown"),
+            table_cell(d["conversion_state"]), F.coalesce(d["pdf"]["sha256"], none), F.coalesce(d["markdown"]["sha256"], none), F.col("links"),
+        ]
+        return F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
+
+    row = lambda cells: f"| {' | '.join(cells)} |"
+    head = F.array(F.concat(F.lit(f"# {labels.title} "), "value"), F.lit(""), F.concat(F.lit(f"{labels.count}: "), F.size("documents").cast("string")), F.lit(""), F.lit(row(labels.columns)), F.lit(row("---" for _ in labels.columns)))
+    foot = F.array(F.lit(""), F.lit(f"## {labels.weekly}"), F.lit(""), F.when(F.col("links") == "", none).otherwise(F.col("links")))
+    body = F.concat(F.array_join(F.concat(head, F.transform("documents", line), foot), "\n"), F.lit("\n"))
+    return linked.select("value", "index_path", body.alias("body"))
+
+
 def month_manifests(kind: Column, documents: Column, layout: Layout) -> Column:
     """The manifests of the months of a year's documents; of another period none."""
     months = F.array_sort(F.array_distinct(F.transform(documents, lambda d: F.substring(d["publication_date"], 1, 7))))

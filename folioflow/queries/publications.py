@@ -149,6 +149,25 @@ def month_references(spark, d):
     return found.select("month", F.size("references").cast("long").alias("n"), "input_fingerprint")
 
 
+_CELL = "replace(replace(replace({}, '|', '&#124;'), chr(92), '&#92;'), chr(10), ' ')"
+_FILE = "CASE WHEN q.{0} IS NOT NULL THEN '[{1}](../../../../../' || q.{0}.logical_key || ')' ELSE '—' END"
+
+
+@query(_plans_sql("'week', 'month'") + f""",
+weeks AS (SELECT s, e, strftime(s, '%Y') AS yy, strftime(s, '%m') AS mm, a.kind <> 'week-pdf' AS k, CASE WHEN a.kind = 'week-pdf' THEN 'PDF' ELSE 'Markdown' END AS name, split_part(a.relative_bundle, '/ZIP/', 2) AS tail FROM flat WHERE kind = 'week'),
+met AS (SELECT value, string_agg('[' || name || '](' || CASE WHEN yy || '-' || mm = value THEN '../ZIP/' WHEN yy = left(value, 4) THEN '../../' || mm || '/ZIP/' ELSE '../../../' || yy || '/' || mm || '/ZIP/' END || tail || '/archive.zip)', ' ' ORDER BY w.s, k) AS links
+  FROM plans p JOIN weeks w ON p.kind = 'month' AND w.s <= p.e AND w.e >= p.s GROUP BY value),
+m AS (SELECT value, s, documents, coalesce(links, '') AS links FROM plans LEFT JOIN met USING (value) WHERE kind = 'month')
+SELECT value, 'archive/months/' || strftime(s, '%Y/%m') || '/Markdown/index.md' AS index_path, sha256(concat('# Articles ', value, chr(10), chr(10), 'Articles: ', len(documents), chr(10), chr(10),
+  '| Date | Title | Handle | Bitstream | DOI | PDF | Markdown | Conversion | PDF SHA-256 | Markdown SHA-256 | Weekly archives |', chr(10), '|', repeat(' --- |', 11), chr(10),
+  array_to_string(list_transform(documents, lambda q: concat('| ', q.day, ' | ', {_CELL.format("q.title")}, ' | ', q.handle, ' | ', q.bitstream_id, ' | ', coalesce(q.doi, '—'), ' | ', {_FILE.format("pdf", "PDF")}, ' | ', {_FILE.format("markdown", "Markdown")}, ' | ',
+    q.conversion_state, ' | ', coalesce(q.pdf.sha256, '—'), ' | ', coalesce(q.markdown.sha256, '—'), ' | ', links, ' |')), chr(10)), chr(10), chr(10), '## Weekly archives', chr(10), chr(10), CASE WHEN links = '' THEN '—' ELSE links END, chr(10))) AS body_sha256 FROM m""")
+def linked_month_indexes(spark, d):
+    """The index of each month, with links to files and to the weekly archives that share a day with it."""
+    made = publications.plan_archives(_documents(spark, d), _periods(spark, d, "week", "month"), most=MOST)
+    return publications.month_index(made, publications.weekly_references(made)).select("value", "index_path", i.sha256(F.col("body")).alias("body_sha256"))
+
+
 def _builds(made, spoilt=None):
     """Builds of all archives: the hash of what they would hold follows from the id."""
     flat = made.select("value", "epoch", F.explode("archives").alias("a"))

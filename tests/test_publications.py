@@ -80,6 +80,14 @@ def test_references_of_months(spark, corpus):
     got = {r["month"]: [x["archive_id"] for x in r["references"]] for r in publications.month_references(plans.where("kind = 'month'").select("value"), references).collect()}
     w5 = ["archive-week-2024-w05-pdf", "archive-week-2024-w05-markdown"]
     assert got == {"2024-01": w5, "2024-02": [*w5, "archive-week-2024-w08-pdf"]}
+    index = {r["value"]: r for r in publications.month_index(plans, references).collect()}
+    weekly = "[PDF](../ZIP/weeks/articles-2024-01-29_to_2024-02-04-PDF/archive.zip) [Markdown](../ZIP/weeks/articles-2024-01-29_to_2024-02-04-Markdown/archive.zip)"
+    files = f"[PDF](../../../../../a/F1.pdf) | [Markdown](../../../../../a/F1.md) | persisted | {payload(1, 'pdf')[2]} | {payload(1, 'md')[2]}"
+    assert index["2024-01"]["index_path"] == "archive/months/2024/01/Markdown/index.md"
+    assert index["2024-01"]["body"].split("\n") == [
+        "# Articles 2024-01", "", "Articles: 1", "", "| Date | Title | Handle | Bitstream | DOI | PDF | Markdown | Conversion | PDF SHA-256 | Markdown SHA-256 | Weekly archives |", "| " + " | ".join(["---"] * 11) + " |",
+        f"| 2024-01-30 | t | 9/1 | bit-1 | — | {files} | {weekly} |", "", "## Weekly archives", "", weekly, "",
+    ]
     spoilt = references.withColumn("relative_bundle", F.when(F.col("value") == "2024-W08", "elsewhere").otherwise(F.col("relative_bundle")))
     assert [tuple(r) for r in publications.reference_problems(spoilt).collect()] == [("2024-W08", "archive-week-2024-w08-pdf", "relative_bundle")]
     assert {r["problem"] for r in publications.reference_problems(references.union(references)).collect()} == {"repeated"}
