@@ -31,7 +31,9 @@ def json_scalar(value: Column) -> Column:
     for code in _LETTERED:
         lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*+)\\u{code}", rf"$1\\u{code.lower()}")
     shown = F.when(shown.rlike(r"\\u00[01][A-F]"), lowered).otherwise(shown)
-    return F.substring(shown, F.lit(6), F.length(shown) - 6)
+    text, kind = value.cast("string"), F.typeof(value)  # the type is known when the query is planned, so only one branch is left
+    plain = (kind == "string") & ~text.rlike(r'[\x00-\x1f"\\]')
+    return F.when(value.isNull(), "null").when(plain, F.concat(F.lit('"'), text, F.lit('"'))).when(kind.isin("int", "bigint"), text).otherwise(F.substring(shown, F.lit(6), F.length(shown) - 6))
 
 
 @dataclass(frozen=True)

@@ -61,6 +61,12 @@ def shared_folder(frame: DataFrame) -> str:
     return context.getCheckpointDir()
 
 
+def kept(frame: DataFrame) -> DataFrame:
+    """The frame, worked out once: a checkpoint in the shared folder."""
+    shared_folder(frame)
+    return frame.checkpoint()
+
+
 def on_cycles(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Nodes of (node, next) with one way out each that lie on a cycle or lead into one.
 

@@ -88,7 +88,7 @@ SELECT kind, value, format, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes,
     '  "format_version": "1",', '  "visibility": "' || min(vis) || '",', '  "zip_datetime": [', '    ' || CAST(left(value, 4) AS INT) || ',', '    ' || CAST(right(value, 2) AS INT) || ',', '    1,', '    6,', '    7,', '    8', '  ]', '}', ''], chr(10))) AS fingerprint,
   count(DISTINCT vis) > 1 AS mixed, count(DISTINCT base) < count(*) AS collision, 'archive-' || kind || '-' || lower(value) || '-' || format AS archive_id FROM m GROUP BY kind, value, format""")
 def planned_archives(spark, d):
-    """Archives of each period and format (an archive has at most 10,000 members)."""
+    """Archives of each period and format."""
     o = orders(spark, d)
     key = F.col("o_orderkey")
     members = o.select(

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as c
 from ..functions import identity as i
-from ..operators import periods, publications
-from ..operators.integrity import shared_folder
+from ..operators import period_streams, periods, publications
+from ..operators.integrity import kept, shared_folder
 from ..sources import bundles, zip_members
 from .registry import query, read
 
@@ -45,6 +45,12 @@ def _periods(spark, d, *kinds):
     return periods.affected(_documents(spark, d), "publication_date").where(F.col("kind").isin(*kinds))
 
 
+def _facts(spark, d, asked):
+    """Documents, and the facts of the asked periods (a row a period), which are asked for once."""
+    docs = _documents(spark, d)
+    return docs, kept(period_streams.period_facts(docs, asked))
+
+
 def _json(value, level: int = 0) -> str:
     """SQL text of stable JSON: a dict of SQL texts, or (list, variable, record) for a list."""
     outer, inner = "  " * level, "  " * (level + 1)
@@ -111,9 +117,9 @@ _PLAN_SQL = {
 SELECT kind, value, len(documents) AS documents, len(archives) AS archives, problem, sha256({_json(_PLAN_SQL)} || chr(10)) AS plan_sha256 FROM plans LEFT JOIN problems USING (kind, value)""")
 def period_plans(spark, d):
     """Documents and archives of each week and month, with the hash of the plan."""
-    made = publications.plan_archives(_documents(spark, d), _periods(spark, d, "week", "month"), most=MOST)
-    hashed = publications.plan_fingerprints(made)
-    return made.select("kind", "value", F.size("documents").cast("long").alias("documents"), F.size("archives").cast("long").alias("archives"), "problem").join(hashed, ["kind", "value"])
+    docs, facts = _facts(spark, d, _periods(spark, d, "week", "month"))
+    hashed = period_streams.plan_digests(docs, facts)
+    return facts.select("kind", "value", F.col("n").alias("documents"), F.size("archives").cast("long").alias("archives"), "problem").join(hashed, ["kind", "value"])
 
 
 _RECENT = "QUALIFY row_number() OVER (PARTITION BY kind ORDER BY s DESC) <= CASE kind WHEN 'week' THEN 8 WHEN 'month' THEN 3 ELSE 1 END"
@@ -126,7 +132,7 @@ def plan_fingerprint(spark, d):
     newest = Window.partitionBy("kind").orderBy(F.desc("value"))
     most = F.when(F.col("kind") == "week", 8).when(F.col("kind") == "month", 3).otherwise(1)
     asked = _periods(spark, d, "week", "month", "year").withColumn("n", F.row_number().over(newest)).where(F.col("n") <= most)
-    return publications.plan_fingerprint(publications.plan_archives(_documents(spark, d), asked, most=MOST))
+    return period_streams.plan_digest(*_facts(spark, d, asked))
 
 
 _REFERENCE_SQL = {"period": "r.value", "archive_id": "r.a.archive_id", "kind": "r.a.kind", "relative_bundle": "r.a.relative_bundle", "input_fingerprint": "r.fingerprint", "output_sha256": "r.o", "bytes": "r.b"}
@@ -138,14 +144,12 @@ months AS (SELECT m.value AS month, list({{'value': r.value, 'a': r.a, 'fingerpr
 SELECT month, len(refs) AS n, sha256({_json(("refs", "r", _REFERENCE_SQL))} || chr(10)) AS input_fingerprint FROM months""")
 def month_references(spark, d):
     """The weekly archives of each month, planned now or published before (every third week of ten)."""
-    asked = _periods(spark, d, "week", "month")
-    whole = publications.plan_archives(_documents(spark, d), asked, most=MOST)
+    docs, facts = _facts(spark, d, _periods(spark, d, "week", "month"))
+    whole = period_streams.archive_digests(docs, facts.where("kind = 'week'"))
     old = F.col("value").rlike("-W.3$")
-    before = whole.where((F.col("kind") == "week") & old).select("value", F.explode("archives").alias("a")).select(
-        "value", "a.archive_id", "a.kind", "a.relative_bundle", i.sha256(F.col("a.archive_id")).alias("input_fingerprint"), i.sha256(F.col("value")).alias("output_sha256"), F.lit(77).cast("long").alias("bytes"),
-    )
-    references = publications.weekly_references(whole.where(~old), before)
-    found = publications.month_references(whole.where("kind = 'month'").select("value"), references)
+    before = period_streams.weekly_references(whole.where(old)).withColumns({"input_fingerprint": i.sha256(F.col("archive_id")), "output_sha256": i.sha256(F.col("value")), "bytes": F.lit(77).cast("long")})
+    references = period_streams.weekly_references(whole.where(~old)).unionByName(before)
+    found = publications.month_references(facts.where("kind = 'month'").select("value"), references)
     return found.select("month", F.size("references").cast("long").alias("n"), "input_fingerprint")
 
 
@@ -164,17 +168,17 @@ SELECT value, 'archive/months/' || strftime(s, '%Y/%m') || '/Markdown/index.md'
     q.conversion_state, ' | ', coalesce(q.pdf.sha256, '—'), ' | ', coalesce(q.markdown.sha256, '—'), ' | ', links, ' |')), chr(10)), chr(10), chr(10), '## Weekly archives', chr(10), chr(10), CASE WHEN links = '' THEN '—' ELSE links END, chr(10))) AS body_sha256 FROM m""")
 def linked_month_indexes(spark, d):
     """The index of each month, with links to files and to the weekly archives that share a day with it."""
-    made = publications.plan_archives(_documents(spark, d), _periods(spark, d, "week", "month"), most=MOST)
-    return publications.month_index(made, publications.weekly_references(made)).select("value", "index_path", i.sha256(F.col("body")).alias("body_sha256"))
+    docs, facts = _facts(spark, d, _periods(spark, d, "week", "month"))
+    references = period_streams.weekly_references(period_streams.archive_digests(docs, facts.where("kind = 'week'")))
+    return period_streams.month_index_digests(docs, facts, references)
 
 
-def _builds(made, spoilt=None):
+def _builds(stated, spoilt=None):
     """Builds of all archives: the hash of what they would hold follows from the id."""
-    flat = made.select("value", "epoch", F.explode("archives").alias("a"))
-    fingerprint = publications.archive_fingerprint(F.col("a"), F.col("value"), F.col("epoch"))
+    fingerprint = F.col("input_fingerprint")
     if spoilt is not None:
         fingerprint = F.when(spoilt, i.sha256(F.col("value"))).otherwise(fingerprint)
-    return flat.select("value", "a.archive_id", fingerprint.alias("input_fingerprint"), i.sha256(F.col("a.archive_id")).alias("output_sha256"), (F.size("a.entries") * 11).cast("long").alias("bytes"))
+    return stated.select("value", "a.archive_id", fingerprint.alias("input_fingerprint"), i.sha256(F.col("a.archive_id")).alias("output_sha256"), (F.col("a.n") * 11).alias("bytes"))
 
 
 def _manifest_sql(fingerprint: str | None) -> dict:
@@ -199,11 +203,12 @@ bodies AS (SELECT kind, value, 'archive/manifests/' || kind || '/' || value || '
 SELECT kind, value, manifest_path, CASE WHEN p IS NULL THEN input_fingerprint END AS input_fingerprint, CASE WHEN p IS NULL THEN sha256(body) END AS body_sha256, p AS problem FROM found""")
 def period_manifests(spark, d):
     """The manifest of each period, its own hash and that of its inputs; builds that are missing or of other inputs."""
-    made = publications.plan_archives(_documents(spark, d), _periods(spark, d, "week", "month", "year"), most=MOST)
-    builds = _builds(made, F.col("value").endswith("-11")).where(~(F.col("value").endswith("-07") & F.col("archive_id").endswith("-pdf")))
-    out = publications.render_manifests(made, builds)
+    docs, facts = _facts(spark, d, _periods(spark, d, "week", "month", "year"))
+    stated = kept(period_streams.archive_digests(docs, facts))
+    builds = _builds(stated, F.col("value").endswith("-11")).where(~(F.col("value").endswith("-07") & F.col("archive_id").endswith("-pdf")))
+    out = period_streams.manifest_digests(docs, facts, stated, builds)
     valid = F.col("problem").isNull()
-    return out.select("kind", "value", "manifest_path", F.when(valid, F.col("input_fingerprint")).alias("input_fingerprint"), F.when(valid, i.sha256(F.col("body"))).alias("body_sha256"), "problem")
+    return out.select("kind", "value", "manifest_path", F.when(valid, F.col("input_fingerprint")).alias("input_fingerprint"), F.when(valid, F.col("body_sha256")).alias("body_sha256"), "problem")
 
 
 @query(_plans_sql("'month'") + """
