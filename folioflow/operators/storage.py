@@ -42,11 +42,16 @@ def migration_plan(source: DataFrame, target: DataFrame, key: str, compare: list
 
 
 def owner_of(references: DataFrame, documents: DataFrame, keys: list[str], path: str) -> DataFrame:
-    """The owner of each reference: equal keys, a row of the same path before others; more than one is ambiguous."""
-    joined = references.alias("r").join(documents.alias("d"), keys).withColumn("hit", F.col(f"r.{path}") == F.col(f"d.{path}")).where("hit IS NOT NULL")
-    hit = F.when(F.col("hit"), F.col("document"))
-    found = joined.groupBy("artifact").agg(F.max("hit").alias("best"), F.min(hit).alias("same"), F.count_if("hit").alias("n_same"), F.min("document").alias("any"), F.count("*").alias("n"))
-    return found.select("artifact", F.when(F.col("best"), F.col("same")).otherwise(F.col("any")).alias("owner"), (F.when(F.col("best"), F.col("n_same")).otherwise(F.col("n")) > 1).alias("ambiguous"))
+    """The owner of each reference: equal keys, a row of the same path before others; more than one is ambiguous.
+
+    Documents are counted by keys, and by keys and path, before they are joined, so a reference meets one row of each."""
+    placed = documents.where(F.col(path).isNotNull())
+    every = placed.groupBy(*keys).agg(F.min("document").alias("_any"), F.count("*").alias("_n"))
+    there = placed.groupBy(*keys, path).agg(F.min("document").alias("_same"), F.count("*").alias("_n_same"))
+    joined = references.where(F.col(path).isNotNull()).join(every, keys).join(there, [*keys, path], "left")
+    found = joined.groupBy("artifact").agg(F.min("_same").alias("same"), F.sum("_n_same").alias("n_same"), F.min("_any").alias("any"), F.sum("_n").alias("n"))
+    best = F.col("n_same").isNotNull()
+    return found.select("artifact", F.when(best, F.col("same")).otherwise(F.col("any")).alias("owner"), (F.when(best, F.col("n_same")).otherwise(F.col("n")) > 1).alias("ambiguous"))
 
 
 def replace_partitions(current: DataFrame, rebuilt: DataFrame, keys: list[str]) -> DataFrame:
