@@ -89,6 +89,12 @@ def parse(html: Column) -> Column:
     return F.arrow_udf(pages, PAGE)(html)
 
 
+def written_title(html: Column) -> Column:
+    """The text of the first plain ``h1`` as the page writes it, white space collapsed: of references only ``&amp;`` is decoded."""
+    written = F.replace(F.regexp_extract(html, "<h1>([^<]*)</h1>", 1), F.lit("&amp;"), F.lit("&"))
+    return F.trim(F.regexp_replace(written, r"[\t\n\f\r ]+", " "))
+
+
 def year_collections(anchors: DataFrame) -> DataFrame:
     """(page, year, href) of anchors whose whole text is a year; the last of a year wins."""
     years = anchors.where(F.col("text").rlike(r"^(19|20)\d{2}$"))
