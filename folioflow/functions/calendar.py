@@ -109,8 +109,9 @@ def archive_datetime(epoch: Column) -> Column:
 
 
 def generated_at(epoch: Column) -> Column:
-    """A reproducible build time in UTC; null for a time before 1970."""
-    return F.when(epoch >= 0, F.format_string("%sT%02d:%02d:%02dZ", *(x.cast("string") if k == 0 else x for k, x in enumerate(_parts(epoch)))))
+    """A reproducible build time in UTC; null for a time before 1970.  Years after 9999 have more digits and no sign."""
+    day, *clock = _parts(epoch)
+    return F.when(epoch >= 0, F.format_string("%sT%02d:%02d:%02dZ", F.ltrim(day.cast("string"), F.lit("+")), *clock))
 
 
 def scope_valid(as_of: Column, from_year: Column, to_year: Column) -> Column:
