@@ -71,7 +71,8 @@ def on_cycles(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Nodes of (node, next) with one way out each that lie on a cycle or lead into one.
 
     Pointer doubling: after k rounds a pointer has gone 2**k steps or has left the graph; what has not left after more
-    steps than there are nodes never will.  Rounds are cut with checkpoints, so plans stay short."""
+    steps than there are nodes never will.  Rounds are cut with checkpoints, so plans stay short; both sides of a join have all nodes,
+    so they are shuffled and none is sent through the driver."""
     jump = edges.where("next IS NOT NULL").select("node", F.col("next").alias("at"))
     nodes = jump.count()
     step = 1
@@ -79,7 +80,7 @@ def on_cycles(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         if step > nodes:
             break
         hop = jump.select(F.col("node").alias("at"), F.col("at").alias("then"))
-        jump = jump.join(hop, "at").select("node", F.col("then").alias("at"))
+        jump = jump.join(hop.hint("merge"), "at").select("node", F.col("then").alias("at"))
         step *= 2
         if k % 4 == 3:
             shared_folder(jump)
