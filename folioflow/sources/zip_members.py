@@ -1,7 +1,7 @@
 """A data source of the members of ZIP archives: ``spark.read.format("zip_members").load(folder)`` after :func:`register`.
 
 Planning reads each archive's central directory only, and cuts its members into ranges of about ``split_bytes``; a partition is one
-range, so a large archive is read by many tasks and small ones don't become a task for each member.  A task seeks to its
+range, or several where there are more than ``MAX_TASKS``, so a large archive is read by many tasks and small ones don't become a task for each member.  A task seeks to its
 first member and reads on, a chunk at a time, so memory does not grow with members.  Nothing is unpacked to disk.
 
 Every member comes with its size, check sum and SHA-256, and what is wrong: not_zip (an archive that cannot be opened, no member), too_many,
@@ -20,6 +20,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import groupby
 
 import pandas as pd
 from pyarrow import fs
@@ -29,6 +30,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "archive string, member string, header_offset long, stored long, bytes long, crc32 long, sha256 string, problem string"
 SPLIT_BYTES, MAX_MEMBERS, CHUNK = 64 << 20, 100_000, 1 << 20
+#: Tasks of one reading; more ranges than these share tasks.
+MAX_TASKS = 256
 _LOCAL = struct.Struct("<4s5H3I2H")
 
 
@@ -43,14 +46,24 @@ class Member:
     problem: str | None
 
 
-@dataclass
-class Range(InputPartition):
+@dataclass(frozen=True)
+class Range:
+    """Members from ``first`` to before ``end`` in the order of their places."""
+
     archive: str
-    members: tuple[Member, ...]
+    first: int
+    end: int
     problem: str | None = None
 
+
+@dataclass
+class Ranges(InputPartition):
+    """What one task reads.  It holds places only; the task reads the directories of its archives again."""
+
+    ranges: tuple[Range, ...]
+
     def __post_init__(self):
-        super().__init__(self.archive)
+        super().__init__(self.ranges[0].archive)
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
@@ -123,7 +136,7 @@ class _Reader(DataSourceReader):
         self.path, self.split, self.most = options["path"], int(options.get("split_bytes", SPLIT_BYTES)), int(options.get("max_members", MAX_MEMBERS))
         self.suffix = options.get("suffix", ".zip")
 
-    def partitions(self) -> list[Range]:
+    def partitions(self) -> list[Ranges]:
         store, path = opened(self.path)
         info = store.get_file_info(path)
         files = [info] if info.type == fs.FileType.File else [x for x in store.get_file_info(fs.FileSelector(path, recursive=True)) if x.type == fs.FileType.File and x.path.endswith(self.suffix)]
@@ -132,28 +145,29 @@ class _Reader(DataSourceReader):
             with store.open_input_file(f.path) as file:
                 members, problem = directory(file, self.most)
             if problem or not members:
-                out.append(Range(f.path, (), problem))
-            part, size = [], 0
-            for m in members:
-                part.append(m)
+                out.append(Range(f.path, 0, 0, problem))
+            first = size = 0
+            for k, m in enumerate(members):
                 size += m.stored
-                if size >= self.split:
-                    out.append(Range(f.path, tuple(part)))
-                    part, size = [], 0
-            if part:
-                out.append(Range(f.path, tuple(part)))
-        return out
-
-    def read(self, partition: Range) -> Iterator[tuple]:
-        if partition.problem:
-            yield (partition.archive, None, None, None, None, None, None, partition.problem)
-        if not partition.members:
-            return
+                if size >= self.split or k + 1 == len(members):
+                    out.append(Range(f.path, first, k + 1))
+                    first, size = k + 1, 0
+        each = -(-len(out) // MAX_TASKS) or 1
+        return [Ranges(tuple(out[k : k + each])) for k in range(0, len(out), each)]
+
+    def read(self, partition: Ranges) -> Iterator[tuple]:
         store, _ = opened(self.path)
-        with store.open_input_file(partition.archive) as file:
-            for m in partition.members:
-                digest = None if m.problem else _digest(file, m)
-                yield (partition.archive, m.name, m.offset, m.stored, m.size, m.crc, digest, m.problem or (None if digest else "damaged"))
+        for archive, ranges in groupby(partition.ranges, lambda r: r.archive):
+            with store.open_input_file(archive) as file:
+                members = None
+                for r in ranges:
+                    if r.problem:
+                        yield (archive, None, None, None, None, None, None, r.problem)
+                    if r.first < r.end and members is None:
+                        members, _ = directory(file, self.most)
+                    for m in members[r.first : r.end] if members else ():
+                        digest = None if m.problem else _digest(file, m)
+                        yield (archive, m.name, m.offset, m.stored, m.size, m.crc, digest, m.problem or (None if digest else "damaged"))
 
 
 class ZipMembers(DataSource):
