@@ -3,6 +3,8 @@ at a time; everything after it is expressions over arrays."""
 
 from __future__ import annotations
 
+import re
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -20,6 +22,8 @@ _KIND = pa.struct(
     ]
 )
 PAGE = "struct<anchors:array<struct<pos:int,href:string,text:string,rel:string>>,metas:array<struct<pos:int,name:string,content:string>>,heading:string,text:string>"
+#: Parts of a page.
+PARTS = ("anchors", "metas", "heading", "text")
 # What names a next page, labels of open and closed access, names of metas in the order of their fields.
 NEXT_TEXTS = ("next", "weiter", ">", "›", "»")
 OPEN, CLOSED = ("1", "true", "yes", "open", "openaccess"), ("0", "false", "no", "closed", "closedaccess", "restricted", "restrictedaccess")
@@ -33,22 +37,37 @@ DOI_METAS = ["dc.identifier", "citation_doi", "dc.identifier.doi"]
 HEAD = 2000
 
 
+#: What a plain page is made of: tags with quoted attributes, and text.  Pages that hold anything else go to Python's parser.
+_TOKEN = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\n\r\f]+[a-zA-Z][a-zA-Z0-9:_-]*=(?:'[^'<>&]*'|"[^"<>&]*"))*)[ \t\n\r\f]*>|([^<]+)""", re.ASCII)
+_ATTRIBUTE = re.compile(r"""([a-zA-Z][a-zA-Z0-9:_-]*)=(?:'([^']*)'|"([^"]*)")""", re.ASCII)
+#: Elements whose content has rules of its own.
+_RAW = {"script", "style", "textarea", "title", "plaintext", "xmp", "iframe", "noembed", "noframes", "noscript"}
+#: Pages that are turned into one Arrow array at a time.
+CHUNK = 64
+
+
 class _Page(HTMLParser):
-    def __init__(self):
+    """``wants`` names the parts that are kept: anchors, metas, heading, text."""
+
+    def __init__(self, wants=PARTS):
         super().__init__(convert_charrefs=True)
+        self.wants = wants
         self.anchors, self.metas, self.words, self.heading = [], [], [], None
         self.open, self.skip, self.title = None, 0, None
 
     def handle_starttag(self, tag, attrs):
-        a = {k: v or "" for k, v in attrs}
         if tag == "a":
             self.close_anchor()
-            self.open = [a.get("href"), [], f"{a.get('rel', '')} {a.get('class', '')}".strip().lower()]
-        elif tag == "meta" and (a.get("name") or a.get("property")):
-            self.metas.append({"pos": len(self.metas), "name": (a.get("name") or a.get("property")).lower(), "content": a.get("content", "")})
+            if "anchors" in self.wants:
+                a = {k: v or "" for k, v in attrs}
+                self.open = [a.get("href"), [], f"{a.get('rel', '')} {a.get('class', '')}".strip().lower()]
+        elif tag == "meta":
+            a = {k: v or "" for k, v in attrs}
+            if "metas" in self.wants and (a.get("name") or a.get("property")):
+                self.metas.append({"pos": len(self.metas), "name": (a.get("name") or a.get("property")).lower(), "content": a.get("content", "")})
         elif tag in ("script", "style"):
             self.skip += 1
-        elif tag in ("h1", "h2") and self.heading is None and self.title is None:
+        elif tag in ("h1", "h2") and self.heading is None and self.title is None and "heading" in self.wants:
             self.title = []
 
     def handle_endtag(self, tag):
@@ -62,29 +81,60 @@ class _Page(HTMLParser):
     def handle_data(self, data):
         if self.skip:
             return
-        self.words.append(data)
-        for part in (self.open and self.open[1], self.title):
-            if part is not None and part is not False:
-                part.append(data)
+        if "text" in self.wants:
+            self.words.append(data)
+        if self.open is not None:
+            self.open[1].append(data)
+        if self.title is not None:
+            self.title.append(data)
 
     def close_anchor(self):
         if self.open is not None and self.open[0] is not None:
             self.anchors.append({"pos": len(self.anchors), "href": self.open[0], "text": " ".join("".join(self.open[1]).split()), "rel": self.open[2]})
         self.open = None
 
-
-def parse(html: Column) -> Column:
-    """Struct of anchors and metas in document order, the first heading, and the visible text."""
+    def plain(self, html: str) -> bool:
+        """Reads a plain page; false, and nothing is said of it, if it is none."""
+        tokens = list(_TOKEN.finditer(html))
+        end = 0
+        for m in tokens:
+            if m.start() != end or m[2] and m[2].lower() in _RAW or m[1] and m[3]:
+                return False
+            end = m.end()
+        if end != len(html) or tokens and tokens[-1][4] and "&" in tokens[-1][4]:
+            return False
+        for m in tokens:
+            if m[4]:
+                if "text" in self.wants or self.open is not None or self.title is not None:
+                    self.handle_data(unescape(m[4]) if "&" in m[4] else m[4])
+            elif m[1]:
+                self.handle_endtag(m[2].lower())
+            else:
+                tag = m[2].lower()
+                self.handle_starttag(tag, [(x[1].lower(), x[2] if x[2] is not None else x[3]) for x in _ATTRIBUTE.finditer(m[3])] if tag in ("a", "meta") else ())
+        return True
+
+
+def _read(html: str, wants) -> dict:
+    p = _Page(wants)
+    if not p.plain(html):
+        p = _Page(wants)
+        p.feed(html)
+        p.close()
+    p.close_anchor()
+    return {"anchors": p.anchors, "metas": p.metas, "heading": p.heading, "text": " ".join(" ".join(p.words).split())}
+
+
+def parse(html: Column, wants: tuple[str, ...] = PARTS) -> Column:
+    """Struct of anchors and metas in document order, the first heading, and the visible text; parts that are not among ``wants`` are empty.
+
+    A batch becomes Arrow arrays a few pages at a time, so the worker never holds a batch as Python objects."""
+    if set(wants) - set(PARTS):
+        raise ValueError(f"no such part of a page: {wants}")
 
     def pages(batch):
-        out = []
-        for v in batch.to_pylist():
-            p = _Page()
-            p.feed(v or "")
-            p.close()
-            p.close_anchor()
-            out.append({"anchors": p.anchors, "metas": p.metas, "heading": p.heading, "text": " ".join(" ".join(p.words).split())})
-        return pa.array(out, _KIND)
+        out = [pa.array([_read(v or "", wants) for v in batch.slice(at, CHUNK).to_pylist()], _KIND) for at in range(0, len(batch), CHUNK)]
+        return pa.concat_arrays(out) if out else pa.array([], _KIND)
 
     return F.arrow_udf(pages, PAGE)(html)
 
