@@ -217,6 +217,9 @@ SELECT value, CASE WHEN problem IS NULL THEN CASE right(value, 2) WHEN '01' THEN
 def manifest_findings(spark, d):
     """Manifests read back, each month of the year with another fault."""
     made = publications.plan_archives(_documents(spark, d), _periods(spark, d, "month"), most=MOST)
+    flat = made.select("value", "epoch", F.explode("archives").alias("a"))
+    named = F.struct(F.col("a.archive_id").alias("archive_id"), F.size("a.entries").cast("long").alias("n"))
+    stated = flat.select("value", named.alias("a"), publications.archive_fingerprint(F.col("a"), F.col("value"), F.col("epoch")).alias("input_fingerprint"))
     body = F.col("body")
     month = F.substring("value", -2, 2)
     swap = lambda a, b: F.replace(body, F.lit(a), F.lit(b))
@@ -226,7 +229,7 @@ def manifest_findings(spark, d):
         .when(month == "07", swap('"relative_bundle": "archive/', '"relative_bundle": "elsewhere/')).when(month == "08", swap('"doi": null', '"doi": 5')).when(month == "09", swap('"month_manifests": []', '"month_manifests": ["x"]'))
         .when(month == "10", swap('"version": ', '"extra": 1,\n "version": ')).otherwise(body)
     )
-    files = publications.render_manifests(made, _builds(made)).select(F.concat("value", F.lit(".json")).alias("path"), F.coalesce(spoilt, F.lit("{")).cast("binary").alias("content"))
+    files = publications.render_manifests(made, _builds(stated)).select(F.concat("value", F.lit(".json")).alias("path"), F.coalesce(spoilt, F.lit("{")).cast("binary").alias("content"))
     root = f"{shared_folder(files)}/manifests-{uuid.uuid4().hex}"
     zip_members.write_files(files, root).write.format("noop").mode("overwrite").save()
     back = spark.read.format("binaryFile").load(root).select(F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("value"), F.col("content").alias("raw"))
