@@ -10,6 +10,7 @@ A frame is written with marks where its lists belong (:func:`_framed`); marks ar
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from ..functions.identity import sha256, stable_json
 from ..functions.text import table_cell
 from ..functions.urls import relative_link
 from .chains import digests
+from .integrity import kept
 from .periods import ARCHIVE_FORMAT_VERSION
 from .publications import _DOCUMENT, FORMATS, VERSION, ZONE, Labels, Layout, dated, month_references
 
@@ -212,6 +214,26 @@ def month_index_digests(documents: DataFrame, facts: DataFrame, references: Data
 _KEPT = ("document_id", "bitstream_id", "doi", "version", "source_id", "publication_date", "pdf_artifact_id", "pdf_sha256", "markdown_artifact_id", "markdown_sha256")
 
 
+def _manifest_frame(period: dict[str, Column], stored: Callable[[Column], Column]) -> Column:
+    """Pieces of a manifest's frame, of the columns ``n``, ``built`` and ``months``: an array of (section, text, sep, late).  The fingerprint of
+    the inputs stands before ``late``; ``stored`` gives an archive's storage reference."""
+    mark = _mark()
+    frame = stable_json({
+        "schema_version": F.lit(VERSION), **period, "documents": F.lit(f"{mark}documents"), "month_manifests": (F.col("months"), lambda m: m),
+        "archives": (F.col("built"), lambda a: {x: a[x] for x in ("archive_id", "kind", "relative_bundle", "input_fingerprint", "output_sha256", "bytes")} | {"storage_reference": stored(a)}),
+    })
+    frame = F.concat(F.when(F.col("n") == 0, F.replace(frame, F.lit(f'"{mark}documents"'), F.lit("[]"))).otherwise(frame), F.lit("\n"))
+    cut = '\n  "kind": '  # the fingerprint of the inputs stands before this line
+    return F.transform(_framed(frame, mark, {"documents": (1, "\n  ]")}), lambda p: F.struct(
+        p["section"].alias("section"), F.when(F.contains(p["text"], F.lit(cut)), F.concat(F.substring_index(p["text"], cut, 1), F.lit("\n"))).otherwise(p["text"]).alias("text"), p["sep"].alias("sep"),
+        F.when(F.contains(p["text"], F.lit(cut)), F.concat(F.lit(cut[1:]), F.substring_index(p["text"], cut, -1))).alias("late"),
+    ))
+
+
+def _manifest_text(document: Column) -> Column:
+    return _shown(F.concat(F.lit("    "), stable_json({x: (document[x].cast("string") if x == "publication_date" else document[x]) for x in _KEPT}, 2)), None)
+
+
 def manifest_pieces(documents: DataFrame, facts: DataFrame, stated: DataFrame, builds: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
     """Periods with ``problem`` as :func:`publications.render_manifests` finds it, the pieces of all manifests, and the text of a piece."""
     made = builds.groupBy("archive_id").agg(F.count("*").alias("b"), *[F.min(x).alias(x) for x in ("input_fingerprint", "output_sha256", "bytes")])
@@ -221,29 +243,33 @@ def manifest_pieces(documents: DataFrame, facts: DataFrame, stated: DataFrame, b
     built = archives.groupBy(*_PERIOD).agg(F.array_sort(F.collect_list(row)).alias("built"), F.min(wrong).alias("wrong"))  # an archive for each format
     out = facts.join(built, _PERIOD, "left")
     out = out.withColumns({"built": F.coalesce("built", F.array().cast(out.schema["built"].dataType)), "problem": F.coalesce("problem", "wrong")})
-    mark = _mark()
-    frame = stable_json({
-        "schema_version": F.lit(VERSION), "kind": F.col("kind"), "period": F.col("value"), "timezone": F.lit(ZONE), "start_date": F.col("start").cast("string"), "end_date": F.col("end").cast("string"), "source_date_epoch": F.col("epoch"),
-        "documents": F.lit(f"{mark}documents"), "month_manifests": (F.col("months"), lambda m: m),
-        "archives": (F.col("built"), lambda a: {x: a[x] for x in ("archive_id", "kind", "relative_bundle", "input_fingerprint", "output_sha256", "bytes")} | {"storage_reference": F.lit(None).cast("string")}),
-    })
-    frame = F.concat(F.when(F.col("n") == 0, F.replace(frame, F.lit(f'"{mark}documents"'), F.lit("[]"))).otherwise(frame), F.lit("\n"))
-    cut = '\n  "kind": '  # the fingerprint of the inputs stands before this line
-    last = F.transform(_framed(frame, mark, {"documents": (1, "\n  ]")}), lambda p: F.struct(
-        p["section"].alias("section"), F.when(F.contains(p["text"], F.lit(cut)), F.concat(F.substring_index(p["text"], cut, 1), F.lit("\n"))).otherwise(p["text"]).alias("text"), p["sep"].alias("sep"),
-        F.when(F.contains(p["text"], F.lit(cut)), F.concat(F.lit(cut[1:]), F.substring_index(p["text"], cut, -1))).alias("late"),
-    ))
+    period = {"kind": F.col("kind"), "period": F.col("value"), "timezone": F.lit(ZONE), "start_date": F.col("start").cast("string"), "end_date": F.col("end").cast("string"), "source_date_epoch": F.col("epoch")}
+    last = _manifest_frame(period, lambda a: F.lit(None).cast("string"))
     frames = out.select(*_PERIOD, F.explode(last).alias("_f")).select(*_PERIOD, "_f.*")
-    d = F.col("d")
     slim = documents.withColumns({f"{f}_{x}": F.col(f)[x] for f in FORMATS for x in ("artifact_id", "sha256")}).withColumn("pdf", F.lit(None).cast("string")).drop("markdown")
     rows = _rows(fan_out(slim, facts), _PERIOD, {"documents": 1}, list(_KEPT)).drop("e")
-    text = _shown(F.concat(F.lit("    "), stable_json({x: (d[x].cast("string") if x == "publication_date" else d[x]) for x in _KEPT}, 2)), None)
-    return out, _whole(frames, rows), text
+    return out, _whole(frames, rows), _manifest_text(F.col("d"))
 
 
 FINGERPRINT = '  "input_fingerprint": "{}",\n'
 
 
+def with_fingerprint(text: Column, fingerprint: Column, late: Column) -> Column:
+    """The text of a piece with what comes late."""
+    before, after = FINGERPRINT.split("{}")
+    return F.when(late.isNull(), text).otherwise(F.concat(text, F.lit(before), fingerprint, F.lit(after), late))
+
+
+def manifest_bodies(documents: DataFrame, facts: DataFrame, stated: DataFrame, builds: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """The periods that have no problem (kind, value, manifest_path), the pieces of their manifests' bodies, and the text of a piece."""
+    out, pieces, text = manifest_pieces(documents, facts, stated, builds)
+    valid = kept(out.where("problem IS NULL").select(*_PERIOD, "manifest_path"))
+    pieces = pieces.join(F.broadcast(valid.select(*_PERIOD)), _PERIOD, "left_semi")
+    found = digests(pieces, _PERIOD, _ORDER, text, insert=FINGERPRINT).select(*_PERIOD, "inner")
+    ends = pieces.where("late IS NOT NULL").join(found, _PERIOD).withColumn("text", with_fingerprint(F.col("text"), F.col("inner"), F.col("late")))
+    return valid, pieces.where("late IS NULL").drop("late").unionByName(ends.drop("inner", "late")), text
+
+
 def manifest_digests(documents: DataFrame, facts: DataFrame, stated: DataFrame, builds: DataFrame) -> DataFrame:
     """kind, value, manifest_path, input_fingerprint, body_sha256 and problem, as of :func:`publications.render_manifests`."""
     out, pieces, text = manifest_pieces(documents, facts, stated, builds)

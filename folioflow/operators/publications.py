@@ -288,11 +288,10 @@ MANIFEST = Contract("period-manifest", VERSION, _fields(
         input_fingerprint=_HASH, output_sha256=_HASH, bytes={"type": "integer", "minimum": 0}, storage_reference=_nullable(_NAME),
     )},
 ))
-_TYPED = (
-    "struct<schema_version:string,kind:string,period:string,timezone:string,start_date:string,end_date:string,source_date_epoch:bigint,input_fingerprint:string,month_manifests:array<string>,"
-    "documents:array<struct<document_id:string,bitstream_id:string,doi:string,version:bigint,source_id:string,publication_date:string,pdf_artifact_id:string,pdf_sha256:string,markdown_artifact_id:string,markdown_sha256:string>>,"
-    "archives:array<struct<archive_id:string,kind:string,relative_bundle:string,input_fingerprint:string,output_sha256:string,bytes:bigint,storage_reference:string>>>"
-)
+_TYPED_FRAME = "schema_version:string,kind:string,period:string,timezone:string,start_date:string,end_date:string,source_date_epoch:bigint,input_fingerprint:string"
+_TYPED_DOCUMENT = "struct<document_id:string,bitstream_id:string,doi:string,version:bigint,source_id:string,publication_date:string,pdf_artifact_id:string,pdf_sha256:string,markdown_artifact_id:string,markdown_sha256:string>"
+_TYPED_ARCHIVE = "struct<archive_id:string,kind:string,relative_bundle:string,input_fingerprint:string,output_sha256:string,bytes:bigint,storage_reference:string>"
+_TYPED = f"struct<{_TYPED_FRAME},month_manifests:array<string>,documents:array<{_TYPED_DOCUMENT}>,archives:array<{_TYPED_ARCHIVE}>>"
 
 
 def validate_manifests(manifests: DataFrame, raw: str = "raw", layout: Layout = Layout()) -> DataFrame:

@@ -12,14 +12,11 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as c
 from ..functions import identity as i
-from ..operators import period_streams, periods, publications
+from ..operators import chains, manifest_files, period_streams, periods, publications
 from ..operators.integrity import kept, shared_folder
 from ..sources import bundles, zip_members
 from .registry import query, read
 
-#: Documents of one period in these queries; a year of the largest table has some 20,000.
-MOST = 100_000
-
 
 def _documents(spark, d, changed: str = "o_orderstatus = '?'"):
     """Orders as documents; those that fulfil ``changed`` have another version."""
@@ -216,24 +213,26 @@ SELECT value, CASE WHEN problem IS NULL THEN CASE right(value, 2) WHEN '01' THEN
   WHEN '08' THEN CASE WHEN len(list_filter(documents, lambda x: x.doi IS NULL)) > 0 THEN 'schema' END WHEN '09' THEN 'month_manifests' WHEN '10' THEN 'schema' END ELSE 'not_json' END AS problem FROM plans LEFT JOIN problems USING (kind, value)""")
 def manifest_findings(spark, d):
     """Manifests read back, each month of the year with another fault."""
-    made = publications.plan_archives(_documents(spark, d), _periods(spark, d, "month"), most=MOST)
-    flat = made.select("value", "epoch", F.explode("archives").alias("a"))
-    named = F.struct(F.col("a.archive_id").alias("archive_id"), F.size("a.entries").cast("long").alias("n"))
-    stated = flat.select("value", named.alias("a"), publications.archive_fingerprint(F.col("a"), F.col("value"), F.col("epoch")).alias("input_fingerprint"))
-    body = F.col("body")
-    month = F.substring("value", -2, 2)
+    docs, facts = _facts(spark, d, _periods(spark, d, "month"))
+    whole = facts.where("problem IS NULL")
+    stated = kept(period_streams.archive_digests(docs, whole))
+    valid, pieces, body = period_streams.manifest_bodies(docs, whole, stated, _builds(stated))
+    month = F.substring("path", -7, 2)
     swap = lambda a, b: F.replace(body, F.lit(a), F.lit(b))
+    begins, ends = F.col("section") == 0, F.col("section") == 2
     spoilt = (
-        F.when(month == "01", F.concat(body, F.lit(" "))).when(month == "02", swap('"timezone": "Europe/Berlin"', '"timezone": "UTC"')).when(month == "03", F.regexp_replace(body, '"end_date": "[0-9-]{8}', '"end_date": "1990-01-'))
-        .when(month == "04", F.concat(F.lit("{"), body)).when(month == "05", swap('  "timezone"', '  "timezone": "x",\n  "timezone"')).when(month == "06", swap('"source_id": "src:', '"source_id": "s:'))
+        F.when((month == "01") & ends, F.concat(body, F.lit(" "))).when(month == "02", swap('"timezone": "Europe/Berlin"', '"timezone": "UTC"')).when(month == "03", F.regexp_replace(body, '"end_date": "[0-9-]{8}', '"end_date": "1990-01-'))
+        .when((month == "04") & begins, F.concat(F.lit("{"), body)).when(month == "05", swap('  "timezone"', '  "timezone": "x",\n  "timezone"')).when(month == "06", swap('"source_id": "src:', '"source_id": "s:'))
         .when(month == "07", swap('"relative_bundle": "archive/', '"relative_bundle": "elsewhere/')).when(month == "08", swap('"doi": null', '"doi": 5')).when(month == "09", swap('"month_manifests": []', '"month_manifests": ["x"]'))
         .when(month == "10", swap('"version": ', '"extra": 1,\n "version": ')).otherwise(body)
     )
-    files = publications.render_manifests(made, _builds(stated)).select(F.concat("value", F.lit(".json")).alias("path"), F.coalesce(spoilt, F.lit("{")).cast("binary").alias("content"))
-    root = f"{shared_folder(files)}/manifests-{uuid.uuid4().hex}"
-    zip_members.write_files(files, root).write.format("noop").mode("overwrite").save()
-    back = spark.read.format("binaryFile").load(root).select(F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("value"), F.col("content").alias("raw"))
-    return publications.validate_manifests(back).select("value", "problem")
+    # a month without a manifest is written as what is no JSON
+    missing = facts.join(valid, ["kind", "value"], "left_anti").select("kind", "value", F.lit(0).alias("section"), F.lit("{").alias("text"))
+    pieces = pieces.unionByName(missing, allowMissingColumns=True).withColumn("path", F.concat("value", F.lit(".json")))
+    root = f"{shared_folder(docs)}/manifests-{uuid.uuid4().hex}"
+    chains.written(pieces, ["section", "k1", "k2", "k3"], F.when(F.col("text") == "{", "{").otherwise(spoilt), root).write.format("noop").mode("overwrite").save()
+    files = spark.read.format("binaryFile").load(root).select(F.regexp_extract("path", "([^/]+)$", 1).alias("path"))
+    return manifest_files.manifest_problems(files, root).select(F.regexp_extract("path", r"(.+)\.json$", 1).alias("value"), "problem")
 
 
 @query("""
