@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import sha256
 
 import pyarrow as pa
@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from ..sources.zip_members import opened
 
 
-def _sorted(pieces: DataFrame, group: list[str], order: list[str], text: Column, late: Column) -> DataFrame:
+def _sorted(pieces: DataFrame, group: list[str], order: list[str], text: Column, late: Column, changed: Callable[[Column], Column] | None = None) -> DataFrame:
     sort = pieces.repartition(*group).sortWithinPartitions(*group, *order)
+    if changed:
+        sort, text = sort.withColumn("text", text), changed(F.col("text"))
     section = F.concat_ws("/", *[F.col(x).cast("string") for x in order if x in ("rank", "start", "section")])
     return sort.select(*group, section.alias("section"), text.cast("binary").alias("text"), F.col("sep").cast("binary").alias("sep"), late.cast("binary").alias("late"))
 
@@ -77,11 +79,13 @@ def digests(pieces: DataFrame, group: list[str], order: list[str], text: Column,
     return shown.mapInArrow(chain, ", ".join([*names, "sha256 string", "inner string"]))
 
 
-def written(pieces: DataFrame, order: list[str], text: Column, root: str) -> DataFrame:
+def written(pieces: DataFrame, order: list[str], text: Column, root: str, changed: Callable[[Column], Column] | None = None) -> DataFrame:
     """Writes the pieces of each ``path`` below ``root`` as one file, in order and joined as in :func:`digests`, as they pass; returns path, bytes and sha256.
 
+    ``changed`` may change a text, which is worked out once, however often it is named.
+
     A file appears whole or not at all, as in :func:`zip_members.write_files`."""
-    shown = _sorted(pieces, ["path"], order, text, F.lit(None).cast("string"))
+    shown = _sorted(pieces, ["path"], order, text, F.lit(None).cast("string"), changed)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = opened(root)

@@ -216,21 +216,23 @@ def manifest_findings(spark, d):
     docs, facts = _facts(spark, d, _periods(spark, d, "month"))
     whole = facts.where("problem IS NULL")
     stated = kept(period_streams.archive_digests(docs, whole))
-    valid, pieces, body = period_streams.manifest_bodies(docs, whole, stated, _builds(stated))
-    month = F.substring("path", -7, 2)
-    swap = lambda a, b: F.replace(body, F.lit(a), F.lit(b))
-    begins, ends = F.col("section") == 0, F.col("section") == 2
-    spoilt = (
-        F.when((month == "01") & ends, F.concat(body, F.lit(" "))).when(month == "02", swap('"timezone": "Europe/Berlin"', '"timezone": "UTC"')).when(month == "03", F.regexp_replace(body, '"end_date": "[0-9-]{8}', '"end_date": "1990-01-'))
-        .when((month == "04") & begins, F.concat(F.lit("{"), body)).when(month == "05", swap('  "timezone"', '  "timezone": "x",\n  "timezone"')).when(month == "06", swap('"source_id": "src:', '"source_id": "s:'))
-        .when(month == "07", swap('"relative_bundle": "archive/', '"relative_bundle": "elsewhere/')).when(month == "08", swap('"doi": null', '"doi": 5')).when(month == "09", swap('"month_manifests": []', '"month_manifests": ["x"]'))
-        .when(month == "10", swap('"version": ', '"extra": 1,\n "version": ')).otherwise(body)
-    )
+    valid, pieces, text = period_streams.manifest_bodies(docs, whole, stated, _builds(stated))
+
+    def spoilt(body):
+        month, begins, ends = F.substring("path", -7, 2), F.col("section") == 0, F.col("section") == 2
+        swap = lambda a, b: F.replace(body, F.lit(a), F.lit(b))
+        return (
+            F.when(body == "{", body).when((month == "01") & ends, F.concat(body, F.lit(" "))).when(month == "02", swap('"timezone": "Europe/Berlin"', '"timezone": "UTC"')).when(month == "03", F.regexp_replace(body, '"end_date": "[0-9-]{8}', '"end_date": "1990-01-'))
+            .when((month == "04") & begins, F.concat(F.lit("{"), body)).when(month == "05", swap('  "timezone"', '  "timezone": "x",\n  "timezone"')).when(month == "06", swap('"source_id": "src:', '"source_id": "s:'))
+            .when(month == "07", swap('"relative_bundle": "archive/', '"relative_bundle": "elsewhere/')).when(month == "08", swap('"doi": null', '"doi": 5')).when(month == "09", swap('"month_manifests": []', '"month_manifests": ["x"]'))
+            .when(month == "10", swap('"version": ', '"extra": 1,\n "version": ')).otherwise(body)
+        )
+
     # a month without a manifest is written as what is no JSON
     missing = facts.join(valid, ["kind", "value"], "left_anti").select("kind", "value", F.lit(0).alias("section"), F.lit("{").alias("text"))
     pieces = pieces.unionByName(missing, allowMissingColumns=True).withColumn("path", F.concat("value", F.lit(".json")))
     root = f"{shared_folder(docs)}/manifests-{uuid.uuid4().hex}"
-    chains.written(pieces, ["section", "k1", "k2", "k3"], F.when(F.col("text") == "{", "{").otherwise(spoilt), root).write.format("noop").mode("overwrite").save()
+    chains.written(pieces, ["section", "k1", "k2", "k3"], text, root, spoilt).write.format("noop").mode("overwrite").save()
     files = spark.read.format("binaryFile").load(root).select(F.regexp_extract("path", "([^/]+)$", 1).alias("path"))
     return manifest_files.manifest_problems(files, root).select(F.regexp_extract("path", r"(.+)\.json$", 1).alias("value"), "problem")
 
